@@ -278,3 +278,57 @@ register("vital_series_case_96h", vital_series_sql("cases", "sepsis_onset", 96),
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}
+
+
+# ---------------------------------------------------------------------------
+# matching
+_cte("matched", """
+SELECT cj.icustay_id, cj.hadm_id, cj.intime, cj.outtime, cj.length_of_stay, cj.subject_id,
+       cj.intime + to_microseconds(CAST(round(ci.sepsis_onset_hour * 3600000000.0) AS BIGINT))
+         AS control_onset_time,
+       ci.sepsis_onset_hour AS control_onset_hour,
+       ci.icustay_id AS matched_case_icustay_id
+FROM (SELECT *, row_number() OVER (ORDER BY md5('42|' || CAST(icustay_id AS VARCHAR)), icustay_id) - 1 AS j
+      FROM (SELECT DISTINCT * FROM controls) d) cj
+CROSS JOIN (SELECT (SELECT count(DISTINCT icustay_id) FROM cases) AS nc,
+                   (SELECT count(DISTINCT icustay_id) FROM controls) AS nk) n
+JOIN (SELECT icustay_id, sepsis_onset_hour, row_number() OVER (ORDER BY icustay_id) - 1 AS i FROM cases) ci
+  ON ci.i = ((cj.j + 1) * n.nc + n.nk - 1) // n.nk - 1
+WHERE ci.sepsis_onset_hour < cj.length_of_stay""", ["cases", "controls"])
+
+register("match_controls", "SELECT * FROM matched", ["matched"])
+register("match_ratio", """
+SELECT (SELECT count(DISTINCT icustay_id) FROM cases) AS n_cases,
+       (SELECT count(DISTINCT icustay_id) FROM controls) AS n_controls,
+       CAST((SELECT count(DISTINCT icustay_id) FROM controls) AS DOUBLE)
+         / (SELECT count(DISTINCT icustay_id) FROM cases) AS ratio,
+       (SELECT count(*) FROM matched) AS n_matched""", ["cases", "controls", "matched"])
+for _h in (48, 96):
+    register(f"lab_series_control_{_h}h", lab_series_sql("matched", "control_onset_time", _h),
+             ["matched", "labevents", "icustays"])
+    register(f"vital_series_control_{_h}h", vital_series_sql("matched", "control_onset_time", _h),
+             ["matched", "chartevents", "icustays"])
+
+register("lab_events_before", f"""
+SELECT icustay_id, label, charttime, valuenum
+FROM (
+  SELECT a.icustay_id, le.charttime,
+         CASE WHEN le.itemid BETWEEN 1000 AND 1019 THEN 'C' || CAST((le.itemid - 1000) // 10 AS VARCHAR) END AS label,
+         {LAB_VALUE.replace('itemid', 'le.itemid').replace('valuenum', 'le.valuenum')} AS valuenum
+  FROM (SELECT s.icustay_id, s.suspected_infection_time, ie.hadm_id
+        FROM suspicion s JOIN icustays ie ON s.icustay_id = ie.icustay_id) a
+  LEFT JOIN labevents le ON le.hadm_id = a.hadm_id
+   AND le.charttime BETWEEN a.suspected_infection_time - INTERVAL 48 HOUR AND a.suspected_infection_time
+   AND {LAB_ITEMS.replace('itemid', 'le.itemid')}
+   AND le.valuenum IS NOT NULL AND le.valuenum > 0
+) c
+WHERE valuenum IS NOT NULL""", ["suspicion", "icustays", "labevents"])
+
+register("window_join_48h", """
+SELECT a.icustay_id, a.suspected_infection_time, a.subject_id, a.hadm_id,
+       le.charttime, le.itemid, le.valuenum
+FROM (SELECT s.icustay_id, s.suspected_infection_time, ie.subject_id, ie.hadm_id
+      FROM suspicion s JOIN icustays ie ON s.icustay_id = ie.icustay_id) a
+LEFT JOIN labevents le ON le.subject_id = a.subject_id AND le.hadm_id = a.hadm_id
+ AND le.charttime BETWEEN a.suspected_infection_time - INTERVAL 48 HOUR AND a.suspected_infection_time""",
+         ["suspicion", "icustays", "labevents"])

@@ -97,3 +97,72 @@ def _series(kind: str, hours: int):
 for _kind in ("lab", "vital"):
     for _h in (48, 96):
         QUERIES[f"{_kind}_series_case_{_h}h"] = _series(_kind, _h)
+
+
+# ---------------------------------------------------------------------------
+from wardline.operators.joins import window_join  # noqa: E402
+from wardline.operators.matching import match_controls, match_ratio  # noqa: E402
+from wardline.specs import LabelSpec  # noqa: E402
+
+MATCH_SEED = 42
+MATCHED_COLUMNS = ["icustay_id", "hadm_id", "intime", "outtime", "length_of_stay", "subject_id",
+                   "control_onset_time", "control_onset_hour", "matched_case_icustay_id"]
+
+
+def matched_of(tb: Testbed) -> DataFrame:
+    m = match_controls(materialize(cases_of(tb)), materialize(controls_of(tb)), seed=MATCH_SEED)
+    # Stored schema of the matched-controls table: onset column projected out.
+    return m.select(*MATCHED_COLUMNS)
+
+
+@query("match_controls")
+def q_match_controls(spark, sf_dir):
+    return matched_of(Testbed(spark, sf_dir))
+
+
+@query("match_ratio")
+def q_match_ratio(spark, sf_dir):
+    tb = Testbed(spark, sf_dir)
+    cases, controls = materialize(cases_of(tb)), materialize(controls_of(tb))
+    m = match_controls(cases, controls, seed=MATCH_SEED)
+    return match_ratio(cases, controls, m)
+
+
+def _control_series(kind: str, hours: int):
+    def run(spark, sf_dir):
+        tb = Testbed(spark, sf_dir)
+        fn = lab_series if kind == "lab" else vital_series
+        return fn(tb, materialize(matched_of(tb)), "control_onset_time", hours)
+    return run
+
+
+for _kind in ("lab", "vital"):
+    for _h in (48, 96):
+        QUERIES[f"{_kind}_series_control_{_h}h"] = _control_series(_kind, _h)
+
+
+def hourly_lab_spec_test() -> LabelSpec:
+    """Long-form spec: only some fetched items are labelled (as in the original)."""
+    spec = lab_spec()
+    labelled = [(i, lab) for i, lab in spec.labels if i < 1020]
+    return LabelSpec(labelled, spec.bounds, [], [i for i, _ in spec.labels if i >= 1020])
+
+
+@query("lab_events_before")
+def q_lab_events_before(spark, sf_dir):
+    tb = Testbed(spark, sf_dir)
+    anchors = tb.suspicion.select("icustay_id", "suspected_infection_time").join(
+        tb.icustays.select("icustay_id", "hadm_id"), "icustay_id")
+    anchors = materialize(anchors)
+    return lab_events_before(anchors, tb.labevents, hourly_lab_spec_test(), keys="hadm_id",
+                             anchor_col="suspected_infection_time", time_col="charttime", hours=48)
+
+
+@query("window_join_48h")
+def q_window_join_48h(spark, sf_dir):
+    tb = Testbed(spark, sf_dir)
+    anchors = materialize(tb.suspicion.select("icustay_id", "suspected_infection_time").join(
+        tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id"))
+    ev = tb.labevents.select("subject_id", "hadm_id", "charttime", "itemid", "valuenum")
+    return window_join(anchors, ev, ["subject_id", "hadm_id"], "suspected_infection_time",
+                       "charttime", 48, how="left")
