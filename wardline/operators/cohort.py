@@ -192,7 +192,7 @@ def static_features(icustays: DataFrame, admissions: DataFrame, patients: DataFr
                             "has_chartevents_data").where(F.col("has_chartevents_data") == 1)
     j = (icustays.select("subject_id", "hadm_id", "icustay_id", "first_careunit", "intime", "outtime")
          .join(adm, "hadm_id").join(patients.select("subject_id", "gender", "dob"), "subject_id"))
-    secs = diff_seconds("admittime", "dob").cast("double") / F.lit(60.0 * 60 * 24 * specs.DAYS_PER_YEAR)
+    secs = diff_seconds("admittime", "dob").cast("double") / F.lit(specs.SECONDS_PER_YEAR)
     age = F.round(secs.cast("decimal(38,9)"), 4).cast("double")
     w_h = Window.partitionBy("_adm_subject").orderBy(F.col("admittime").asc_nulls_first())
     w_i = Window.partitionBy("hadm_id").orderBy(F.col("intime").asc_nulls_first())
@@ -201,9 +201,9 @@ def static_features(icustays: DataFrame, admissions: DataFrame, patients: DataFr
     return j.select(
         "subject_id", "hadm_id", "icustay_id", "gender", "admittime",
         age.alias("admission_age"), "ethnicity", "admission_type", "admission_location",
-        "first_careunit", hs.alias("hospstay_seq"),
+        "first_careunit", hs.cast("long").alias("hospstay_seq"),
         F.when(hs == 1, 1).otherwise(0).alias("first_hosp_stay"),
-        "intime", "outtime", ics.alias("icustay_seq"),
+        "intime", "outtime", ics.cast("long").alias("icustay_seq"),
         F.when(ics == 1, 1).otherwise(0).alias("first_icu_stay"))
 
 

@@ -166,3 +166,7 @@ def q_window_join_48h(spark, sf_dir):
     ev = tb.labevents.select("subject_id", "hadm_id", "charttime", "itemid", "valuenum")
     return window_join(anchors, ev, ["subject_id", "hadm_id"], "suspected_infection_time",
                        "charttime", 48, how="left")
+
+
+# register the remaining families
+import wardline.plans.queries_features  # noqa: E402,F401

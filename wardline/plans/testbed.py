@@ -35,6 +35,15 @@ from wardline.specs import LabelSpec, RuleSpec
 DIAGNOSIS_CODES = ["1-URGENT"]
 SURGICAL = ["CSURG", "TSURG"]
 SEGMENT_KEYWORDS = ["O", "BUILD", "AUTO", "HOUSE"]
+SEGMENT_DEFAULT = "OTHER"
+# per-subject lab panels over the part dictionary: (name, test, pattern, filter column)
+TEST_PANELS = [
+    ("econ", "like", "econ", "valuenum"),
+    ("promo", "like", "promo", "valuenum"),
+    ("standard", "like", "standard", "valuenum"),
+    ("ar", "like", "ar", "valuenum"),
+    ("medium", "in", "MEDIUM", "value"),
+]
 
 
 def _k() -> Column:
@@ -162,6 +171,31 @@ class Testbed:
                         F.when(F.col("value") >= 300, 1).otherwise(0).alias("error"))
 
 
+    @cached_property
+    def panel_events(self) -> DataFrame:
+        """Long lab log for per-subject panels: ``lineitem`` (subject = supplier,
+        item = part, numeric value = quantity unless no discount, text value =
+        return flag unless no tax)."""
+        li = self.table("lineitem")
+        return li.select(
+            F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("itemid"),
+            F.when(F.col("l_discount") == 0, F.lit(None)).otherwise(F.col("l_quantity")).alias("valuenum"),
+            F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.col("l_returnflag")).alias("value"))
+
+    @cached_property
+    def lab_dictionary(self) -> DataFrame:
+        return self.table("part").select(F.col("p_partkey").alias("itemid"), F.col("p_type").alias("label"))
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Binary outcome with a probability-like score: ``labels.quality`` and
+        ``n / (n + 2000)`` of the document length (ties kept)."""
+        d = self.table("documents").select("doc_id", "n_chars")
+        return self.table("labels").join(d, "doc_id").select(
+            "doc_id", F.col("quality").alias("y"),
+            (F.col("n_chars").cast("double") / (F.col("n_chars") + F.lit(2000.0))).alias("p"))
+
+
 # ---------------------------------------------------------------------------
 # Item specs for the synthetic items, built from rules.
 def lab_spec() -> LabelSpec:

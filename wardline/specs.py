@@ -142,6 +142,7 @@ ETHNICITY_DEFAULT = "OTHER"
 AGE_TOPCODE_ABOVE = 89
 AGE_TOPCODE_VALUE = 91.4
 DAYS_PER_YEAR = 365.242
+SECONDS_PER_YEAR = 31556908.8  # 60 * 60 * 24 * 365.242
 
 # FIXED VALUES: per-subject lab panels (name, dictionary-label test, value column)
 # 'like' = case-insensitive substring of the dictionary label, 'in' = exact label.
