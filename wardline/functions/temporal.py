@@ -52,12 +52,12 @@ def diff_hours_boundary(a, b) -> Column:
 
 def diff_days(a, b) -> Column:
     """``DATE_DIFF(a, b, DAY)``: midnights crossed (int)."""
-    return F.datediff(F.to_date(_col(a)), F.to_date(_col(b)))
+    return F.datediff(F.to_date(_col(a)), F.to_date(_col(b))).cast("long")
 
 
 def diff_years(a, b) -> Column:
     """``DATE_DIFF(a, b, YEAR)``: year boundaries crossed (int)."""
-    return F.year(_col(a)) - F.year(_col(b))
+    return (F.year(_col(a)) - F.year(_col(b))).cast("long")
 
 
 def add_hours(ts, hours: int) -> Column:

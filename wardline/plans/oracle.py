@@ -332,3 +332,235 @@ FROM (SELECT s.icustay_id, s.suspected_infection_time, ie.subject_id, ie.hadm_id
 LEFT JOIN labevents le ON le.subject_id = a.subject_id AND le.hadm_id = a.hadm_id
  AND le.charttime BETWEEN a.suspected_infection_time - INTERVAL 48 HOUR AND a.suspected_infection_time""",
          ["suspicion", "icustays", "labevents"])
+
+
+# ---------------------------------------------------------------------------
+# panels (lineitem as lab log, part as dictionary)
+_cte("panel_events", """
+SELECT l_suppkey AS subject_id, l_partkey AS itemid,
+       CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity END AS valuenum,
+       CASE WHEN l_tax = 0 THEN NULL ELSE l_returnflag END AS value
+FROM lineitem""")
+_cte("lab_dictionary", "SELECT p_partkey AS itemid, p_type AS label FROM part")
+
+register("group_stats", """
+SELECT subject_id, round(avg(valuenum), 6) AS econ_avg, max(valuenum) AS econ_max,
+       min(valuenum) AS econ_min, round(coalesce(stddev_samp(valuenum), 0), 6) AS econ_stddev
+FROM panel_events
+WHERE itemid IN (SELECT itemid FROM lab_dictionary WHERE lower(label) LIKE '%econ%')
+  AND valuenum IS NOT NULL
+GROUP BY subject_id""", ["panel_events", "lab_dictionary"])
+
+_PANELS = [("econ", "lower(label) LIKE '%econ%'", "valuenum"),
+           ("promo", "lower(label) LIKE '%promo%'", "valuenum"),
+           ("standard", "lower(label) LIKE '%standard%'", "valuenum"),
+           ("ar", "lower(label) LIKE '%ar%'", "valuenum"),
+           ("medium", "label IN ('MEDIUM')", "value")]
+for _n, _cond, _col in _PANELS:
+    _cte(f"p_{_n}", f"""
+SELECT subject_id, avg(valuenum) AS {_n}_avg, max(valuenum) AS {_n}_max,
+       min(valuenum) AS {_n}_min, coalesce(stddev_samp(valuenum), 0) AS {_n}_stddev
+FROM panel_events WHERE itemid IN (SELECT itemid FROM lab_dictionary WHERE {_cond})
+  AND {_col} IS NOT NULL GROUP BY subject_id""", ["panel_events", "lab_dictionary"])
+_panel_cols = ",\n  ".join(
+    f"round(p_{n}.{n}_avg, 6) AS {n}_avg, p_{n}.{n}_max AS {n}_max, p_{n}.{n}_min AS {n}_min, "
+    f"round(p_{n}.{n}_stddev, 6) AS {n}_stddev" for n, _, _ in _PANELS)
+_panel_joins = "\n".join(f"LEFT JOIN p_{n} ON p_{n}.subject_id = s.subject_id" for n, _, _ in _PANELS)
+_panel_union = " UNION ".join(f"SELECT subject_id FROM p_{n}" for n, _, _ in _PANELS)
+register("panel_stats", f"""
+SELECT s.subject_id,
+  {_panel_cols}
+FROM ({_panel_union}) s
+{_panel_joins}""", [f"p_{n}" for n, _, _ in _PANELS])
+
+# ---------------------------------------------------------------------------
+# static features, demographics
+_cte("static", """
+SELECT ie.subject_id, ie.hadm_id, ie.icustay_id, pat.gender, adm.admittime,
+       CAST(round(CAST(CAST(date_diff('second', pat.dob, adm.admittime) AS DOUBLE) / 31556908.8
+                       AS DECIMAL(38, 9)), 4) AS DOUBLE) AS admission_age,
+       adm.ethnicity, adm.admission_type, adm.admission_location, ie.first_careunit,
+       dense_rank() OVER (PARTITION BY adm.subject_id ORDER BY adm.admittime NULLS FIRST) AS hospstay_seq,
+       CASE WHEN dense_rank() OVER (PARTITION BY adm.subject_id ORDER BY adm.admittime NULLS FIRST) = 1
+            THEN 1 ELSE 0 END AS first_hosp_stay,
+       ie.intime, ie.outtime,
+       dense_rank() OVER (PARTITION BY ie.hadm_id ORDER BY ie.intime NULLS FIRST) AS icustay_seq,
+       CASE WHEN dense_rank() OVER (PARTITION BY ie.hadm_id ORDER BY ie.intime NULLS FIRST) = 1
+            THEN 1 ELSE 0 END AS first_icu_stay
+FROM icustays ie
+JOIN admissions adm ON ie.hadm_id = adm.hadm_id
+JOIN patients pat ON ie.subject_id = pat.subject_id
+WHERE adm.has_chartevents_data = 1""", ["icustays", "admissions", "patients"])
+register("static_features", "SELECT * FROM static", ["static"])
+
+
+def _demographics_sql(with_dx: bool) -> str:
+    pat = ("JOIN dx b ON a.subject_id = b.subject_id" if with_dx
+           else "LEFT JOIN dx b ON a.subject_id = b.subject_id WHERE b.subject_id IS NULL")
+    return f"""
+SELECT *, date_diff('year', dob, admit_time) AS age_admit, date_diff('year', dob, dod) AS age_death
+FROM (
+  SELECT DISTINCT a.subject_id, gender, dob, dod, ethnicity, marital_status, insurance, los, admit_time
+  FROM (SELECT DISTINCT a.subject_id, dob, dod, gender FROM patients a {pat}) a
+  JOIN (SELECT f.*, l.los
+        FROM (SELECT DISTINCT subject_id, ethnicity, marital_status, insurance,
+                     min(admittime) OVER (PARTITION BY subject_id) AS admit_time FROM admissions) f
+        JOIN (SELECT DISTINCT subject_id,
+                     CAST(sum(date_diff('day', admittime, dischtime)) OVER (PARTITION BY subject_id) AS BIGINT) AS los
+              FROM admissions) l ON f.subject_id = l.subject_id) b
+    ON a.subject_id = b.subject_id
+) d"""
+
+
+_cte("dx", "SELECT DISTINCT subject_id FROM diagnoses WHERE icd9_code IN ('1-URGENT')", ["diagnoses"])
+register("demographics_with", _demographics_sql(True), ["patients", "admissions", "dx"])
+register("demographics_without", _demographics_sql(False), ["patients", "admissions", "dx"])
+
+# ---------------------------------------------------------------------------
+# recodes and encodings
+_RECODE = ("CASE WHEN contains(c_mktsegment, 'HOUSE') THEN 'House' WHEN contains(c_mktsegment, 'AUTO') THEN 'Auto' "
+           "WHEN contains(c_mktsegment, 'BUILD') THEN 'Build' WHEN contains(c_mktsegment, 'O') THEN 'O' "
+           "ELSE 'Other' END")
+_VOCAB = ["Auto", "Build", "House", "O", "Other"]
+register("recode_one_hot", f"""
+SELECT c_custkey, eth AS ethnicity, {", ".join(f"CAST(eth = '{v}' AS INTEGER) AS {v}" for v in _VOCAB)}
+FROM (SELECT c_custkey, {_RECODE} AS eth FROM customer) r""", [])
+register("label_encode", """
+SELECT c_custkey, c_mktsegment, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS segment_code
+FROM customer""", [])
+
+# ---------------------------------------------------------------------------
+# splits and folds
+register("stratified_split", """
+SELECT doc_id, quality, toxic, CAST(ix < CAST(round(nl * 0.1) AS BIGINT) AS INTEGER) AS is_test
+FROM (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS ix,
+             count(*) OVER (PARTITION BY quality) AS nl
+      FROM labels) t""", [])
+register("random_split", """
+SELECT doc_id, quality, toxic,
+       CAST(CAST(('0x' || substr(md5('0|' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.25
+            AS INTEGER) AS is_test
+FROM labels""", [])
+register("stratified_folds", """
+SELECT doc_id, quality, toxic,
+       CAST((row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5
+            AS INTEGER) AS fold
+FROM labels""", [])
+
+# ---------------------------------------------------------------------------
+# evaluation
+_cte("scored", """
+SELECT l.doc_id, l.quality AS y, CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 2000.0) AS p
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id""")
+_cte("sc_g", """
+SELECT p AS score, CAST(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+       CAST(sum(CASE WHEN y != 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp
+FROM scored WHERE p IS NOT NULL AND y IS NOT NULL GROUP BY p""", ["scored"])
+_cte("sc_c", """
+SELECT *, CAST(sum(tp) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_tp,
+       CAST(sum(fp) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_fp,
+       row_number() OVER (ORDER BY score DESC) - 1 AS idx,
+       lead(tp) OVER (ORDER BY score DESC) AS ntp, lead(fp) OVER (ORDER BY score DESC) AS nfp,
+       (SELECT CAST(sum(tp) AS DOUBLE) FROM sc_g) AS npos, (SELECT CAST(sum(fp) AS DOUBLE) FROM sc_g) AS nneg
+FROM sc_g""", ["sc_g"])
+_cte("sc_pr", """
+SELECT * FROM sc_c WHERE score >= (SELECT max(score) FROM sc_c WHERE cum_tp >= npos)""", ["sc_c"])
+_cte("tm", """
+SELECT CAST(sum(CASE WHEN p > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+       CAST(sum(CASE WHEN p > 0.5 AND NOT (y = 1) THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+       CAST(sum(CASE WHEN NOT (p > 0.5) AND y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+       CAST(sum(CASE WHEN NOT (p > 0.5) AND NOT (y = 1) THEN 1 ELSE 0 END) AS BIGINT) AS tn
+FROM scored""", ["scored"])
+_TM_COLS = """round(CASE WHEN tp + fp + fn + tn = 0 THEN 0.0 ELSE CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) END, 9) AS accuracy,
+       round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 9) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 9) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) END, 9) AS f1"""
+register("threshold_metrics", f"SELECT {_TM_COLS} FROM tm", ["tm"])
+register("roc_curve", """
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL
+SELECT score, round(cum_fp / nneg, 9), round(cum_tp / npos, 9) FROM sc_c
+WHERE idx = 0 OR ntp IS NULL OR ntp != tp OR nfp != fp""", ["sc_c"])
+_ROC_AUC = "round(sum(fp / nneg * (cum_tp / npos + (cum_tp - tp) / npos) / 2.0), 9)"
+_PR_AUC = ("round(sum(tp / npos * (CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp) + "
+           "CASE WHEN (cum_tp - tp) + (cum_fp - fp) = 0 THEN 1.0 "
+           "ELSE CAST(cum_tp - tp AS DOUBLE) / ((cum_tp - tp) + (cum_fp - fp)) END) / 2.0), 9)")
+register("roc_auc", f"SELECT {_ROC_AUC} AS roc_auc FROM sc_c", ["sc_c"])
+register("pr_curve", """
+SELECT score AS threshold, round(cum_tp / npos, 9) AS recall,
+       round(CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp), 9) AS precision
+FROM sc_pr
+UNION ALL SELECT NULL, 0.0, 1.0""", ["sc_pr"])
+register("pr_auc", f"SELECT {_PR_AUC} AS pr_auc FROM sc_pr", ["sc_pr"])
+register("classification_metrics", f"""
+SELECT m.accuracy, r.roc_auc, p.pr_auc, m.precision, m.recall, m.f1
+FROM (SELECT {_TM_COLS} FROM tm) m, (SELECT {_ROC_AUC} AS roc_auc FROM sc_c) r,
+     (SELECT {_PR_AUC} AS pr_auc FROM sc_pr) p""", ["tm", "sc_c", "sc_pr"])
+_cte("fold_preds", """
+SELECT f.doc_id, m.model,
+       (f.p * 2000.0 / (1.0 - f.p) + CAST(m.model AS DOUBLE) * 100.0)
+       / (f.p * 2000.0 / (1.0 - f.p) + CAST(m.model AS DOUBLE) * 100.0 + 2000.0) AS p_model
+FROM scored f CROSS JOIN (SELECT range AS model FROM range(5)) m""", ["scored"])
+register("ensemble_mean", "SELECT doc_id, round(avg(p_model), 9) AS p_mean FROM fold_preds GROUP BY doc_id",
+         ["fold_preds"])
+register("cv_band", """
+SELECT CAST(model AS INTEGER) AS model, round(avg(p_model), 9) AS mean, round(stddev_pop(p_model), 9) AS sd,
+       round(avg(p_model) - 1.96 * stddev_pop(p_model), 9) AS lower,
+       round(avg(p_model) + 1.96 * stddev_pop(p_model), 9) AS upper
+FROM fold_preds GROUP BY model""", ["fold_preds"])
+register("weighted_mean", """
+SELECT l_returnflag, round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS weighted_mean
+FROM lineitem GROUP BY l_returnflag""", [])
+register("topk_sorted", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10""", [])
+
+# ---------------------------------------------------------------------------
+# set and join forms
+register("not_in", """
+SELECT c_custkey, c_mktsegment FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""", [])
+register("anti_missing", """
+SELECT a.subject_id, a.gender FROM patients a LEFT JOIN dx b ON a.subject_id = b.subject_id
+WHERE b.subject_id IS NULL""", ["patients", "dx"])
+register("semi_all", """
+SELECT c_custkey, c_name FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+  AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')""", [])
+register("concat_labelled", """
+SELECT icustay_id, intime, outtime, length_of_stay, sepsis_onset, sepsis_onset_day, sepsis_onset_hour,
+       subject_id, CAST(NULL AS BIGINT) AS hadm_id, 1 AS label FROM cases
+UNION ALL
+SELECT icustay_id, intime, outtime, length_of_stay, sepsis_onset, NULL, NULL, subject_id, hadm_id, 0
+FROM controls""", ["cases", "controls"])
+register("value_counts", "SELECT quality, toxic, count(*) AS count FROM labels GROUP BY quality, toxic", [])
+register("distinct_keys", "SELECT DISTINCT o_custkey, o_orderpriority FROM orders", [])
+
+# ---------------------------------------------------------------------------
+# scalar functions
+register("scalar_time", """
+SELECT l_orderkey, l_linenumber,
+       date_diff('second', o_orderdate, l_shipdate) AS d_seconds,
+       round(CAST(date_diff('second', o_orderdate, l_shipdate) AS DOUBLE) / 3600.0, 6) AS d_hours,
+       date_diff('hour', o_orderdate, l_shipdate) AS d_hour_boundaries,
+       date_diff('day', o_orderdate, l_shipdate) AS d_days,
+       date_diff('year', o_orderdate, l_shipdate) AS d_years,
+       o_orderdate - INTERVAL 48 HOUR AS minus_48h,
+       o_orderdate + to_microseconds(CAST(round(l_linenumber * 1.25 * 3600000000.0) AS BIGINT)) AS plus_frac,
+       l_shipdate BETWEEN o_orderdate + INTERVAL 720 HOUR AND o_orderdate + INTERVAL 2160 HOUR AS ships_1_3_months
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""", [])
+register("scalar_misc", """
+SELECT c_custkey,
+       round(c_acctbal / 365.242, 4) AS r4,
+       CAST(round(CAST(c_acctbal AS DECIMAL(38, 9)), 4) AS DOUBLE) AS num4,
+       CASE WHEN c_acctbal / 100.0 > 89 THEN 91.4 ELSE c_acctbal / 100.0 END AS topcoded,
+       substr(c_mktsegment, 1, 1) || lower(substr(c_mktsegment, 2)) AS cap,
+       lower(c_name) LIKE '%1%' AS name_has_1,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Yes' ELSE 'No' END AS is_building,
+       CAST(45 - ceil(c_acctbal / 250.0) AS BIGINT) AS rev_hour,
+       round(1.0 / (1.0 + exp(-(c_acctbal / 1000.0))), 9) AS sig,
+       CAST(1.0 / (1.0 + exp(-(c_acctbal / 1000.0))) > 0.5 AS INTEGER) AS pos,
+       round(c_acctbal / 1000.0 - 1.96 * 0.5, 9) AS band_lo,
+       round(c_acctbal / 1000.0 + 1.96 * 0.5, 9) AS band_hi,
+       CASE WHEN c_nationkey = 0 THEN NULL ELSE c_acctbal / c_nationkey END AS per_nation
+FROM customer""", [])
