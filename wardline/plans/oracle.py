@@ -263,6 +263,8 @@ def sql(name: str) -> str:
     if not names:
         return body
     withs = ",\n".join(f"{n} AS (\n{CTE[n]}\n)" for n in names)
+    if body.upper().startswith("WITH "):
+        return f"WITH {withs},\n{body[5:]}"
     return f"WITH {withs}\n{body}"
 
 
@@ -564,3 +566,179 @@ SELECT c_custkey,
        round(c_acctbal / 1000.0 + 1.96 * 0.5, 9) AS band_hi,
        CASE WHEN c_nationkey = 0 THEN NULL ELSE c_acctbal / c_nationkey END AS per_nation
 FROM customer""", [])
+
+# ---------------------------------------------------------------------------
+# series-derived frames
+LABC = ["C0", "C1", "C2", "C3", "C4", "V0", "V1", "V2"]
+VITC = ["HeartRate", "SpO2", "TempC", "SVV", "FiO2"]
+_cte("labs_case48", lab_series_sql("cases", "sepsis_onset", 48), ["cases", "labevents", "icustays"])
+_cte("vits_case48", vital_series_sql("cases", "sepsis_onset", 48), ["cases", "chartevents", "icustays"])
+_cte("labs_ctrl48", lab_series_sql("matched", "control_onset_time", 48), ["matched", "labevents", "icustays"])
+_cte("vits_ctrl48", vital_series_sql("matched", "control_onset_time", 48), ["matched", "chartevents", "icustays"])
+
+
+def _rnd(cols, digits=6, prefix=""):
+    return ", ".join(f"round({prefix}{c}, {digits}) AS {c}" for c in cols)
+
+
+_STATS5 = []
+for _c in LABC:
+    _STATS5 += [f"round(avg({_c}), 6) AS {_c}_mean", f"round(median({_c}), 6) AS {_c}_median",
+                f"round(stddev_samp({_c}), 6) AS {_c}_std", f"min({_c}) AS {_c}_min", f"max({_c}) AS {_c}_max"]
+register("agg_features", f"SELECT icustay_id, {', '.join(_STATS5)} FROM labs_case48 GROUP BY icustay_id",
+         ["labs_case48"])
+
+
+def _hourly_sql(series: str, anchors: str, anchor_col: str, cols) -> str:
+    hrs = f"CAST(date_diff('second', s.chart_time, a.{anchor_col}) AS DOUBLE) / 3600.0 - 3.0"
+    avgs = ", ".join(f"round(avg({c}), 6) AS {c}" for c in cols)
+    return f"""
+SELECT icustay_id, hr, {avgs}
+FROM (SELECT s.*, CAST(45 - ceil({hrs}) AS BIGINT) AS hr
+      FROM {series} s JOIN {anchors} a ON s.icustay_id = a.icustay_id
+      WHERE {hrs} >= 0) t
+GROUP BY icustay_id, hr"""
+
+
+_cte("hl_case", _hourly_sql("labs_case48", "cases", "sepsis_onset", LABC), ["labs_case48", "cases"])
+_cte("hv_case", _hourly_sql("vits_case48", "cases", "sepsis_onset", VITC), ["vits_case48", "cases"])
+_cte("hl_ctrl", _hourly_sql("labs_ctrl48", "matched", "control_onset_time", LABC), ["labs_ctrl48", "matched"])
+_cte("hv_ctrl", _hourly_sql("vits_ctrl48", "matched", "control_onset_time", VITC), ["vits_ctrl48", "matched"])
+
+
+def _merge_sql(hl: str, hv: str) -> str:
+    return f"""
+SELECT coalesce(l.icustay_id, v.icustay_id) AS icustay_id, coalesce(l.hr, v.hr) AS hr,
+       {", ".join(f"l.{c}" for c in LABC)}, {", ".join(f"v.{c}" for c in VITC)}
+FROM {hl} l FULL OUTER JOIN {hv} v ON l.icustay_id = v.icustay_id AND l.hr = v.hr"""
+
+
+_cte("merged_case", _merge_sql("hl_case", "hv_case"), ["hl_case", "hv_case"])
+_cte("merged_ctrl", _merge_sql("hl_ctrl", "hv_ctrl"), ["hl_ctrl", "hv_ctrl"])
+
+
+def _ffill_sql(src: str, extra: str = "") -> str:
+    fills = ", ".join(
+        f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY icustay_id ORDER BY hr "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS {c}" for c in LABC + VITC)
+    return f"SELECT icustay_id, hr{extra}, {fills} FROM {src}"
+
+
+register("hourly_mean", "SELECT * FROM hl_case", ["hl_case"])
+register("hourly_outer_merge", "SELECT * FROM merged_case", ["merged_case"])
+register("forward_fill", _ffill_sql("merged_case"), ["merged_case"])
+_cte("seq_all", """
+SELECT *, 1 AS label FROM merged_case
+WHERE icustay_id IN (SELECT icustay_id FROM hl_case) AND icustay_id IN (SELECT icustay_id FROM hv_case)
+UNION ALL
+SELECT *, 0 AS label FROM merged_ctrl
+WHERE icustay_id IN (SELECT icustay_id FROM hl_ctrl) AND icustay_id IN (SELECT icustay_id FROM hv_ctrl)""",
+     ["merged_case", "merged_ctrl", "hl_case", "hv_case", "hl_ctrl", "hv_ctrl"])
+register("sequence_frame", _ffill_sql("seq_all", ", label"), ["seq_all"])
+
+# wide per-stay frame: imputation and scaling
+FEATS = [f"{c}_{s}" for c in LABC for s in ("mean", "max")]
+_cte("wide", "SELECT icustay_id, " + ", ".join(
+    f"avg({c}) AS {c}_mean, max({c}) AS {c}_max" for c in LABC) + " FROM labs_case48 GROUP BY icustay_id",
+     ["labs_case48"])
+register("impute_median", "SELECT icustay_id, " + ", ".join(
+    f"round(coalesce({f}, (SELECT median({f}) FROM wide)), 6) AS {f}" for f in FEATS) + " FROM wide", ["wide"])
+_cte("wide_split", """
+SELECT *, CAST(CAST(('0x' || substr(md5('0|' || CAST(icustay_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.25
+               AS INTEGER) AS is_test
+FROM wide""", ["wide"])
+_cte("wide_stats", "SELECT " + ", ".join(f"min({f}) AS min_{f}, max({f}) AS max_{f}" for f in FEATS)
+     + " FROM wide_split WHERE is_test = 0", ["wide_split"])
+register("minmax_scale", "SELECT icustay_id, is_test, " + ", ".join(
+    f"round(({f} - min_{f}) / CASE WHEN max_{f} - min_{f} = 0 THEN 1.0 ELSE max_{f} - min_{f} END, 6) AS {f}"
+    for f in FEATS) + " FROM wide_split, wide_stats", ["wide_split", "wide_stats"])
+register("static_measure_merge", """
+SELECT st.icustay_id, st.gender, st.admission_age, round(l.C0_mean, 6) AS C0_mean, round(l.V0_mean, 6) AS V0_mean,
+       round(v.HeartRate_mean, 6) AS HeartRate_mean
+FROM (SELECT * FROM static WHERE icustay_id IN (SELECT icustay_id FROM cases)) st
+JOIN (SELECT icustay_id, avg(C0) AS C0_mean, avg(V0) AS V0_mean FROM labs_case48 GROUP BY icustay_id) l
+  ON st.icustay_id = l.icustay_id
+JOIN (SELECT icustay_id, avg(HeartRate) AS HeartRate_mean FROM vits_case48 GROUP BY icustay_id) v
+  ON st.icustay_id = v.icustay_id""", ["static", "cases", "labs_case48", "vits_case48"])
+
+# model frame and Table 1
+_RECODE_ETH = _RECODE.replace("c_mktsegment", "ethnicity")
+_cte("mf", f"""
+SELECT icustay_id, gender, admission_age, 1 AS label, {_RECODE_ETH} AS eth
+FROM static WHERE icustay_id IN (SELECT icustay_id FROM cases)
+UNION ALL
+SELECT icustay_id, gender, admission_age, 0 AS label, {_RECODE_ETH} AS eth
+FROM static WHERE icustay_id IN (SELECT icustay_id FROM matched)""", ["static", "cases", "matched"])
+register("model_frame", f"""
+SELECT icustay_id, admission_age, label, {", ".join(f"CAST(eth = '{v}' AS INTEGER) AS {v}" for v in _VOCAB)},
+       dense_rank() OVER (ORDER BY gender) - 1 AS gender,
+       CAST(row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(icustay_id AS VARCHAR)), icustay_id) - 1
+            < CAST(round(count(*) OVER (PARTITION BY label) * 0.1) AS BIGINT) AS INTEGER) AS is_test
+FROM mf""", ["mf"])
+
+
+def _pop_part(static_ids: str, labs: str, vits: str, flag: str, prio: int) -> str:
+    return f"""
+SELECT subject_id, admission_age, CASE WHEN gender = 'F' THEN 'Female' ELSE 'Male' END AS gender,
+       {_RECODE_ETH} AS ethnicity, '{flag}' AS sepsis, {prio} AS prio
+FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY admission_age NULLS FIRST, icustay_id) AS rn
+      FROM static WHERE icustay_id IN (SELECT icustay_id FROM {static_ids})) t
+WHERE rn = 1
+  AND subject_id IN (SELECT subject_id FROM {labs} WHERE chart_time IS NOT NULL)
+  AND subject_id IN (SELECT subject_id FROM {vits})"""
+
+
+_cte("pop", f"""
+SELECT subject_id, admission_age, gender, ethnicity, sepsis
+FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY prio) AS r
+      FROM ({_pop_part("cases", "labs_case48", "vits_case48", "Yes", 0)}
+            UNION ALL {_pop_part("matched", "labs_ctrl48", "vits_ctrl48", "No", 1)}) u) v
+WHERE r = 1""", ["static", "cases", "matched", "labs_case48", "vits_case48", "labs_ctrl48", "vits_ctrl48"])
+register("summary_population", "SELECT * FROM pop", ["pop"])
+register("summary_categorical", """
+WITH base AS (SELECT 'gender' AS variable, gender AS level, sepsis AS grp FROM pop WHERE gender IS NOT NULL
+              UNION ALL SELECT 'ethnicity', ethnicity, sepsis FROM pop WHERE ethnicity IS NOT NULL),
+     per AS (SELECT variable, level, grp, count(*) AS n FROM base GROUP BY variable, level, grp),
+     allg AS (SELECT variable, level, grp, n FROM per
+              UNION ALL SELECT variable, level, 'Overall', CAST(sum(n) AS BIGINT) FROM per GROUP BY variable, level)
+SELECT variable, level, grp, CAST(n AS BIGINT) AS n,
+       round(CAST(n AS DOUBLE) * 100.0 / sum(n) OVER (PARTITION BY variable, grp), 6) AS pct
+FROM allg""", ["pop"])
+register("summary_numeric", """
+SELECT 'admission_age' AS variable, grp, count(v) AS n, round(quantile_cont(v, 0.5), 6) AS median,
+       round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.75), 6) AS q3
+FROM (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS grp FROM pop
+      UNION ALL SELECT CAST(admission_age AS DOUBLE), 'Overall' FROM pop) t
+GROUP BY grp""", ["pop"])
+
+
+def _chi2_sql(col: str) -> str:
+    return f"""
+SELECT '{col}' AS variable, round(sum((oc - e) * (oc - e) / e), 6) AS statistic, max(dof) AS dof
+FROM (SELECT *, CASE WHEN dof = 1 THEN o + sign(e - o) * least(0.5, abs(e - o)) ELSE o END AS oc
+      FROM (SELECT lvl, grp, CAST(o AS DOUBLE) AS o,
+                   CAST(sum(o) OVER (PARTITION BY lvl) AS DOUBLE) * sum(o) OVER (PARTITION BY grp)
+                     / sum(o) OVER () AS e,
+                   CAST(((SELECT count(DISTINCT {col}) FROM pop WHERE {col} IS NOT NULL AND sepsis IS NOT NULL) - 1)
+                        * ((SELECT count(DISTINCT sepsis) FROM pop WHERE {col} IS NOT NULL AND sepsis IS NOT NULL) - 1)
+                        AS BIGINT) AS dof
+            FROM (SELECT l.lvl, g.grp, coalesce(ct.o, 0) AS o
+                  FROM (SELECT DISTINCT CAST({col} AS VARCHAR) AS lvl FROM pop WHERE {col} IS NOT NULL AND sepsis IS NOT NULL) l
+                  CROSS JOIN (SELECT DISTINCT CAST(sepsis AS VARCHAR) AS grp FROM pop WHERE {col} IS NOT NULL AND sepsis IS NOT NULL) g
+                  LEFT JOIN (SELECT CAST({col} AS VARCHAR) AS lvl, CAST(sepsis AS VARCHAR) AS grp, count(*) AS o
+                             FROM pop WHERE {col} IS NOT NULL AND sepsis IS NOT NULL GROUP BY 1, 2) ct
+                    ON ct.lvl = l.lvl AND ct.grp = g.grp) grid) x) y"""
+
+
+register("chi2_stat", f"{_chi2_sql('gender')}\nUNION ALL\n{_chi2_sql('ethnicity')}", ["pop"])
+register("kruskal_stat", """
+WITH b AS (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS g FROM pop
+           WHERE admission_age IS NOT NULL AND sepsis IS NOT NULL),
+     r AS (SELECT v, g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk FROM b),
+     s AS (SELECT g, sum(rk) AS rs, count(*) AS n FROM r GROUP BY g),
+     t AS (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS ts FROM (SELECT count(*) AS c FROM b GROUP BY v) q),
+     h AS (SELECT 12.0 / (sum(n) * (sum(n) + 1)) * sum(rs * rs / n) - 3.0 * (sum(n) + 1) AS h,
+                  count(*) AS k, CAST(sum(n) AS DOUBLE) AS nn FROM s)
+SELECT 'admission_age' AS variable, round(h / (1.0 - ts / (nn * nn * nn - nn)), 6) AS statistic,
+       CAST(k - 1 AS BIGINT) AS dof
+FROM h, t""", ["pop"])
