@@ -471,3 +471,64 @@ def q_scalar_misc(spark, sf_dir):
 
 
 __all__ = ["QUERIES"]
+
+
+# ---------------------------------------------------------------------------
+# training (rows-only checks: statistical, not bit-equal)
+from wardline.operators import train as M  # noqa: E402
+
+MODEL_FEATURES = ["admission_age", "gender"] + X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
+
+
+def training_frames(tb: Testbed):
+    mf = materialize(model_frame(tb))
+    mf = X.stratified_split(mf, "icustay_id", "label", 0.1, seed=SEED)
+    stats = X.minmax_fit(mf.where(F.col("is_test") == 0), MODEL_FEATURES)
+    mf = materialize(X.minmax_apply(mf, stats, MODEL_FEATURES))
+    return mf.where(F.col("is_test") == 0), mf.where(F.col("is_test") == 1)
+
+
+@query("train_lr")
+def q_train_lr(spark, sf_dir):
+    train, test = training_frames(Testbed(spark, sf_dir))
+    model = M.train_lr(train, MODEL_FEATURES)
+    return M.predict(model, test).select("icustay_id", "label", "p")
+
+
+@query("train_svm")
+def q_train_svm(spark, sf_dir):
+    train, test = training_frames(Testbed(spark, sf_dir))
+    pairs = M.train_svm_calibrated(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED)
+    return M.predict_svm_calibrated(pairs, test, MODEL_FEATURES, "icustay_id").select("icustay_id", "label", "p")
+
+
+def _gbt(tb: Testbed):
+    train, test = training_frames(tb)
+    models, metrics = M.train_gbt_cv(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED,
+                                     max_iter=20, max_depth=3)
+    return models, metrics, test
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    models, _, test = _gbt(Testbed(spark, sf_dir))
+    return M.predict_ensemble(models, test, MODEL_FEATURES, "icustay_id").select("icustay_id", "label", "p")
+
+
+@query("gbt_fold_metrics")
+def q_gbt_fold_metrics(spark, sf_dir):
+    _, metrics, _ = _gbt(Testbed(spark, sf_dir))
+    return V.cv_band(metrics.withColumn("round", F.lit(0)), "round", "auc")
+
+
+@query("top_importance")
+def q_top_importance(spark, sf_dir):
+    models, _, _ = _gbt(Testbed(spark, sf_dir))
+    imp = spark.createDataFrame(M.mean_importance(models, MODEL_FEATURES), "feature string, importance double")
+    return V.top_k(imp, "importance", 10, ["feature"])
+
+
+@query("tune")
+def q_tune(spark, sf_dir):
+    train, _ = training_frames(Testbed(spark, sf_dir))
+    return M.tune(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED, trials=3, max_iter=10)
