@@ -38,18 +38,29 @@ def label_items(item, labels: Sequence[tuple[int, str]]) -> Column:
 
 def bound_values(item, value, bounds: Sequence[tuple[int, float | None, float | None]]) -> Column:
     """Per-item plausibility limits: a value below ``lower`` or above ``upper``
-    becomes NULL; other items and in-range values pass unchanged."""
+    becomes NULL; other items and in-range values pass unchanged.
+
+    Items sharing the same limits are tested with one IN-list branch, so the
+    CASE has one branch per distinct limit pair instead of one per item.
+    """
     item, value = _col(item), _col(value)
-    expr = None
+    per_item: dict[int, list[tuple[float | None, float | None]]] = {}
     for i, lo, hi in bounds:
+        per_item.setdefault(i, []).append((lo, hi))
+    groups: dict[tuple, list[int]] = {}
+    for i, lims in per_item.items():
+        groups.setdefault(tuple(lims), []).append(i)
+    expr = None
+    for lims, ids in groups.items():
         outside = []
-        if lo is not None:
-            outside.append(value < F.lit(float(lo)))
-        if hi is not None:
-            outside.append(value > F.lit(float(hi)))
+        for lo, hi in lims:
+            if lo is not None:
+                outside.append(value < F.lit(float(lo)))
+            if hi is not None:
+                outside.append(value > F.lit(float(hi)))
         if not outside:
             continue
-        cond = (item == F.lit(i)) & reduce(lambda a, b: a | b, outside)
+        cond = item.isin(ids) & reduce(lambda a, b: a | b, outside)
         expr = F.when(cond, F.lit(None)) if expr is None else expr.when(cond, F.lit(None))
     return value if expr is None else expr.otherwise(value).cast("double")
 

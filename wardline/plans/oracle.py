@@ -742,3 +742,20 @@ WITH b AS (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS g FROM pop
 SELECT 'admission_age' AS variable, round(h / (1.0 - ts / (nn * nn * nn - nn)), 6) AS statistic,
        CAST(k - 1 AS BIGINT) AS dof
 FROM h, t""", ["pop"])
+
+register("window_join_96h", """
+SELECT a.icustay_id, a.suspected_infection_time, a.subject_id, a.hadm_id,
+       le.charttime, le.itemid, le.valuenum
+FROM (SELECT s.icustay_id, s.suspected_infection_time, ie.subject_id, ie.hadm_id
+      FROM suspicion s JOIN icustays ie ON s.icustay_id = ie.icustay_id) a
+LEFT JOIN labevents le ON le.subject_id = a.subject_id AND le.hadm_id = a.hadm_id
+ AND le.charttime BETWEEN a.suspected_infection_time - INTERVAL 96 HOUR AND a.suspected_infection_time""",
+         ["suspicion", "icustays", "labevents"])
+register("split_sequences", _ffill_sql("seq_all", ", label").replace("SELECT icustay_id, hr, label,", """
+SELECT s.*, CAST(t.ix < CAST(round(t.nl * 0.1) AS BIGINT) AS INTEGER) AS is_test
+FROM (SELECT icustay_id, hr, label,""", 1) + """) s
+JOIN (SELECT icustay_id, row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(icustay_id AS VARCHAR)),
+                                            icustay_id) - 1 AS ix,
+             count(*) OVER (PARTITION BY label) AS nl
+      FROM (SELECT DISTINCT icustay_id, label FROM seq_all) d) t ON s.icustay_id = t.icustay_id""", ["seq_all"])
+register("roc_curve_auc", f"SELECT {_ROC_AUC} AS roc_auc FROM sc_c", ["sc_c"])

@@ -532,3 +532,33 @@ def q_top_importance(spark, sf_dir):
 def q_tune(spark, sf_dir):
     train, _ = training_frames(Testbed(spark, sf_dir))
     return M.tune(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED, trials=3, max_iter=10)
+
+
+# ---------------------------------------------------------------------------
+@query("window_join_96h")
+def q_window_join_96h(spark, sf_dir):
+    from wardline.operators.joins import window_join
+    tb = Testbed(spark, sf_dir)
+    anchors = materialize(tb.suspicion.select("icustay_id", "suspected_infection_time").join(
+        tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id"))
+    ev = tb.labevents.select("subject_id", "hadm_id", "charttime", "itemid", "valuenum")
+    return window_join(anchors, ev, ["subject_id", "hadm_id"], "suspected_infection_time",
+                       "charttime", 96, how="left")
+
+
+@query("split_sequences")
+def q_split_sequences(spark, sf_dir):
+    """C14: stays split (stratified by label) and their hourly rows routed to train / test."""
+    tb = Testbed(spark, sf_dir)
+    seq = materialize(rounded(sequence_frame(tb), LAB_COLS + VIT_COLS))
+    stays = seq.select("icustay_id", "label").distinct()
+    split = X.stratified_split(stays, "icustay_id", "label", 0.1, seed=SEED).select("icustay_id", "is_test")
+    return seq.join(split, "icustay_id")
+
+
+@query("roc_curve_auc")
+def q_roc_curve_auc(spark, sf_dir):
+    """Trapezoid area of the stored ROC points (equals the exact AUC)."""
+    pts = V.roc_curve(Testbed(spark, sf_dir).scored, "y", "p")
+    pts = pts.withColumn("_ord", F.col("fpr") * F.lit(2.0) + F.col("tpr"))
+    return rounded(V.curve_auc(pts, "_ord", "fpr", "tpr").withColumnRenamed("auc", "roc_auc"), ["roc_auc"], 9)
