@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workflow this library re-expresses has no stream, watermark or state
+code; its "hourly" tables are event data processed in batch.  Every
+operator here is a batch DataFrame function.  (Because they are plain
+DataFrame transformations, the stateless ones -- item labelling, bounds,
+range rules, the wide projection -- also apply unchanged to a streaming
+DataFrame if a caller ever needs it.)
+"""
