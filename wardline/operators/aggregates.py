@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.indexing import global_cumsum
+from wardline.operators.joins import bounded_broadcast
 
 
 def _list(x) -> list[str]:
@@ -63,7 +64,9 @@ def panel_stats(events: DataFrame, dictionary: DataFrame, panels, *, key: str =
     # item -> panels it belongs to (one row per pair); bounded by the dictionary.
     item_panels = (dictionary.select(F.col(item_col), F.explode(F.array(*member)).alias("_panel"))
                    .where(F.col("_panel").isNotNull()).distinct())
-    ev = events.join(F.broadcast(item_panels), item_col)
+    # The map is bounded by the dictionary, not by the event log; size checked.
+    item_panels, _ = bounded_broadcast(item_panels, 5_000_000)
+    ev = events.join(item_panels, item_col)
     present = None
     aggs = []
     for name, _, _, fcol in panels:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wardline.functions.scalar import capitalise, recode_contains
 from wardline.functions.temporal import diff_hours
 from wardline.operators.indexing import global_index, hash_prefix_bucket
+from wardline.operators.joins import bounded_broadcast
 from wardline.operators.matching import seeded_order_key
 
 
@@ -151,7 +152,8 @@ def stratified_split(df: DataFrame, id_col: str, label: str, frac: float, *, see
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
     idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix", bucket=hash_prefix_bucket("_h"))
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
-    j = idx.join(F.broadcast(n), label)
+    n, _ = bounded_broadcast(n, 1_000_000)      # one row per label value, size checked
+    j = idx.join(n, label)
     cut = F.round(F.col("_nl") * F.lit(float(frac))).cast("long")
     return j.withColumn(name, (F.col("_ix") < cut).cast("int")).drop("_h", "_ix", "_nl")
 

@@ -79,6 +79,16 @@ def _offsets(small: DataFrame, group: list[str], value: str) -> DataFrame:
     return small.withColumn("_off", F.sum(value).over(w) - F.col(value))
 
 
+def _broadcast_offsets(offsets: DataFrame, group: list[str]) -> DataFrame:
+    """Without groups the offsets table has at most one row per bucket (a bound
+    known by construction: <= 4096 hash buckets or ``buckets`` + 1 quantile
+    buckets), so it is broadcast directly; with groups its size is checked."""
+    if not group:
+        return F.broadcast(offsets)
+    out, _ = bounded_broadcast(offsets, _MAX_OFFSET_ROWS)
+    return out
+
+
 def global_index(df: DataFrame, order, *, group: Sequence[str] = (), name: str = "idx",
                  bucket: Column | None = None, buckets: int = DEFAULT_BUCKETS,
                  ascending: bool = True) -> DataFrame:
@@ -90,7 +100,7 @@ def global_index(df: DataFrame, order, *, group: Sequence[str] = (), name: str =
     b = _with_bucket(df, order, bucket, buckets, ascending)
     counts = b.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, group, "_n").select(*group, "_b", "_off")
-    offsets, _ = bounded_broadcast(offsets, _MAX_OFFSET_ROWS)
+    offsets = _broadcast_offsets(offsets, group)
     w = Window.partitionBy(*group, "_b").orderBy(*_order_cols(order, ascending))
     out = b.join(offsets, [*group, "_b"]).withColumn(
         name, (F.col("_off") + F.row_number().over(w) - F.lit(1)).cast("long"))
@@ -107,7 +117,7 @@ def global_cumsum(df: DataFrame, order, cols: Sequence[str], *, group: Sequence[
     w0 = Window.partitionBy(*group).orderBy("_b") if group else Window.orderBy("_b")
     offsets = sums.select(*group, "_b", *[(F.sum(f"_s_{c}").over(w0) - F.col(f"_s_{c}")).alias(f"_o_{c}")
                                            for c in cols])
-    offsets, _ = bounded_broadcast(offsets, _MAX_OFFSET_ROWS)
+    offsets = _broadcast_offsets(offsets, group)
     w = (Window.partitionBy(*group, "_b").orderBy(*_order_cols(order, ascending))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = b.join(offsets, [*group, "_b"])
