@@ -88,16 +88,13 @@ def build_cohort(icustays: DataFrame, admissions: DataFrame, patients: DataFrame
     t1 = (ie.join(adm, "hadm_id").join(pat, "subject_id")
           .join(first_service, "hadm_id", "left")
           .join(sp, "icustay_id", "left"))
-    # First stay per subject over the joined rows (as the original numbers
-    # them): an aggregate joined back, so a subject with very many stays is
-    # combined map-side instead of sorted in one window task.
-    first_stay = first_per_key(t1.select("subject_id", "intime", "icustay_id"), "subject_id",
-                               ["intime", "icustay_id"]).select(
-        "subject_id", F.col("icustay_id").alias("_first_icustay"))
-    t1 = t1.join(first_stay, "subject_id", "left")
+    # Stay order per subject over the joined rows (as the original numbers
+    # them).  A window partitioned by subject: ICU stays per patient are a
+    # naturally small group, and this keeps the cohort join single in the plan.
+    t1 = order_number(t1, "subject_id", ["intime", "icustay_id"], "_rn")
     age = F.round(diff_days("admittime", "dob").cast("double") / F.lit(specs.DAYS_PER_YEAR), 4)
     susp = F.col("suspected_infection_time")
-    t1 = t1.withColumn("_age", age).withColumn("_rn1", F.col("icustay_id") == F.col("_first_icustay"))
+    t1 = t1.withColumn("_age", age).withColumn("_rn1", F.col("_rn") == 1)
     intime = F.col("intime")
     out = t1.select(
         "hadm_id", "icustay_id", "intime", "outtime",

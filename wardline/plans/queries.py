@@ -48,6 +48,15 @@ def controls_of(tb: Testbed) -> DataFrame:
                             tb.diagnoses, codes=DIAGNOSIS_CODES)
 
 
+def cases_m(tb: Testbed) -> DataFrame:
+    """Cases, checkpointed once per query (small, reused anchors)."""
+    return tb.memo("cases", lambda: materialize(cases_of(tb)))
+
+
+def controls_m(tb: Testbed) -> DataFrame:
+    return tb.memo("controls", lambda: materialize(controls_of(tb)))
+
+
 def lab_series(tb: Testbed, anchors: DataFrame, anchor_col: str, hours: int) -> DataFrame:
     a = anchors.select("icustay_id", anchor_col).join(
         tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
@@ -90,7 +99,7 @@ def _series(kind: str, hours: int):
     def run(spark, sf_dir):
         tb = Testbed(spark, sf_dir)
         fn = lab_series if kind == "lab" else vital_series
-        return fn(tb, cases_of(tb), "sepsis_onset", hours)
+        return fn(tb, cases_m(tb), "sepsis_onset", hours)
     return run
 
 
@@ -109,30 +118,33 @@ MATCHED_COLUMNS = ["icustay_id", "hadm_id", "intime", "outtime", "length_of_stay
                    "control_onset_time", "control_onset_hour", "matched_case_icustay_id"]
 
 
-def matched_of(tb: Testbed) -> DataFrame:
-    m = match_controls(materialize(cases_of(tb)), materialize(controls_of(tb)), seed=MATCH_SEED)
+def matched_lazy(tb: Testbed) -> DataFrame:
+    m = match_controls(cases_m(tb), controls_m(tb), seed=MATCH_SEED)
     # Stored schema of the matched-controls table: onset column projected out.
     return m.select(*MATCHED_COLUMNS)
 
 
+def matched_of(tb: Testbed) -> DataFrame:
+    """Matched controls, checkpointed once per query (anchors of later steps)."""
+    return tb.memo("matched", lambda: materialize(matched_lazy(tb)))
+
+
 @query("match_controls")
 def q_match_controls(spark, sf_dir):
-    return matched_of(Testbed(spark, sf_dir))
+    return matched_lazy(Testbed(spark, sf_dir))
 
 
 @query("match_ratio")
 def q_match_ratio(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
-    cases, controls = materialize(cases_of(tb)), materialize(controls_of(tb))
-    m = match_controls(cases, controls, seed=MATCH_SEED)
-    return match_ratio(cases, controls, m)
+    return match_ratio(cases_m(tb), controls_m(tb), matched_of(tb))
 
 
 def _control_series(kind: str, hours: int):
     def run(spark, sf_dir):
         tb = Testbed(spark, sf_dir)
         fn = lab_series if kind == "lab" else vital_series
-        return fn(tb, materialize(matched_of(tb)), "control_onset_time", hours)
+        return fn(tb, matched_of(tb), "control_onset_time", hours)
     return run
 
 

@@ -12,7 +12,7 @@ from wardline.operators import evaluate as V
 from wardline.operators import features as X
 from wardline.operators.cohort import demographics, first_per_key, static_features
 from wardline.operators.joins import anti, concat, not_in, outer_merge, semi_all
-from wardline.plans.queries import (QUERIES, cases_of, controls_of, lab_series, matched_of, query,
+from wardline.plans.queries import (QUERIES, cases_m, cases_of, controls_of, lab_series, matched_of, query,
                                     vital_series)
 from wardline.plans.testbed import (DIAGNOSIS_CODES, SEGMENT_DEFAULT, SEGMENT_KEYWORDS, TEST_PANELS,
                                     Testbed)
@@ -47,7 +47,7 @@ def q_panel_stats(spark, sf_dir):
 
 
 def case_lab_series(tb: Testbed) -> DataFrame:
-    return lab_series(tb, cases_of(tb), "sepsis_onset", 48)
+    return lab_series(tb, cases_m(tb), "sepsis_onset", 48)
 
 
 @query("agg_features")
@@ -69,7 +69,7 @@ def hourly(tb: Testbed, series: DataFrame, anchors: DataFrame, anchor_col: str,
 @query("hourly_mean")
 def q_hourly_mean(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
-    cases = materialize(cases_of(tb))
+    cases = cases_m(tb)
     out = hourly(tb, lab_series(tb, cases, "sepsis_onset", 48), cases, "sepsis_onset", LAB_COLS)
     return rounded(out, LAB_COLS)
 
@@ -83,21 +83,21 @@ def merged_hourly(tb: Testbed, anchors: DataFrame, anchor_col: str) -> DataFrame
 @query("hourly_outer_merge")
 def q_hourly_outer_merge(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
-    return rounded(merged_hourly(tb, materialize(cases_of(tb)), "sepsis_onset"), LAB_COLS + VIT_COLS)
+    return rounded(merged_hourly(tb, cases_m(tb), "sepsis_onset"), LAB_COLS + VIT_COLS)
 
 
 @query("forward_fill")
 def q_forward_fill(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
-    m = merged_hourly(tb, materialize(cases_of(tb)), "sepsis_onset")
+    m = merged_hourly(tb, cases_m(tb), "sepsis_onset")
     return rounded(X.forward_fill(m, "icustay_id", "hr", LAB_COLS + VIT_COLS, 0.0), LAB_COLS + VIT_COLS)
 
 
 def sequence_frame(tb: Testbed) -> DataFrame:
     """Hourly labs + vitals of cases and matched controls, merged, filled,
     restricted to stays with both labs and vitals, with the label."""
-    cases = materialize(cases_of(tb))
-    matched = materialize(matched_of(tb))
+    cases = cases_m(tb)
+    matched = matched_of(tb)
     parts = []
     for anchors, col, label in ((cases, "sepsis_onset", 1), (matched, "control_onset_time", 0)):
         labs = hourly(tb, lab_series(tb, anchors, col, 48), anchors, col, LAB_COLS)
@@ -154,8 +154,8 @@ def q_demographics_without(spark, sf_dir):
 
 
 def static_frames(tb: Testbed):
-    st = static_of(tb)
-    case_st = st.join(cases_of(tb).select("icustay_id"), "icustay_id", "left_semi")
+    st = tb.memo("static", lambda: materialize(static_of(tb)))
+    case_st = st.join(cases_m(tb).select("icustay_id"), "icustay_id", "left_semi")
     ctrl_st = st.join(matched_of(tb).select("icustay_id"), "icustay_id", "left_semi")
     return case_st, ctrl_st
 
@@ -199,8 +199,8 @@ def summary_population(tb: Testbed) -> DataFrame:
     """First static row per subject (by age), subjects present in both the
     lab and vital series, case row wins over control row."""
     case_st, ctrl_st = static_frames(tb)
-    cases = materialize(cases_of(tb))
-    matched = materialize(matched_of(tb))
+    cases = cases_m(tb)
+    matched = matched_of(tb)
     parts = []
     for st, anchors, col, flag, prio in ((case_st, cases, "sepsis_onset", "Yes", 0),
                                          (ctrl_st, matched, "control_onset_time", "No", 1)):
@@ -289,7 +289,7 @@ def q_drop_sparse(spark, sf_dir):
 @query("static_measure_merge")
 def q_static_measure_merge(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
-    cases = materialize(cases_of(tb))
+    cases = cases_m(tb)
     st, _ = static_frames(tb)
     labs = A.agg_features(lab_series(tb, cases, "sepsis_onset", 48), "icustay_id", ["C0", "V0"], ("mean",))
     vits = A.agg_features(vital_series(tb, cases, "sepsis_onset", 48), "icustay_id", ["HeartRate"], ("mean",))

@@ -71,6 +71,13 @@ class Testbed:
     spark: SparkSession
     sf_dir: str
 
+    def memo(self, key: str, build):
+        """Build a derived frame once per binding (per query)."""
+        store = self.__dict__.setdefault("_memo", {})
+        if key not in store:
+            store[key] = build()
+        return store[key]
+
     def table(self, name: str) -> DataFrame:
         return load(self.spark, self.sf_dir, name)
 

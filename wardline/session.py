@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -69,4 +70,11 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     that later size checks are cheap.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    # Writing a reliable checkpoint re-runs its input unless that input is
+    # persisted; persist for the duration of the write only.
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist(blocking=False)
+    return out
