@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.functions.scalar import capitalise, recode_contains
+from wardline.functions.scalar import recode_contains
 from wardline.functions.temporal import diff_hours
 from wardline.operators.indexing import global_index, hash_prefix_bucket
 from wardline.operators.joins import bounded_broadcast
@@ -178,5 +178,3 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, *, seed
 def race_recode(df: DataFrame, col: str, patterns: Sequence[str], default: str) -> DataFrame:
     return df.withColumn(col, recode_contains(F.col(col), patterns, default))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["capitalise", "Column"]

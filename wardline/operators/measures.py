@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import window_join
-from wardline.specs import LabelSpec, RuleSpec
+from wardline.specs import LabelSpec
 
 
 def _col(c) -> Column:
