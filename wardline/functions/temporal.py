@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 _US_PER_SECOND = 1_000_000
 _US_PER_HOUR = 3_600 * _US_PER_SECOND
 
@@ -22,8 +21,20 @@ def _col(c) -> Column:
 
 
 def epoch_micros(ts) -> Column:
-    """Microseconds since 1970-01-01 of an NTZ (or zoned, read in UTC) timestamp."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _col(ts))
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ (civil time).
+
+    Built from the wall-clock parts (date, hour, minute, fractional second),
+    so it does not depend on the session time zone: casting NTZ to a zoned
+    timestamp would shift differences across daylight-saving changes when a
+    session is not in UTC.
+    """
+    c = _col(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.date_part(F.lit("SECOND"), c)                   # decimal(8,6): seconds with fraction
+    return (days * F.lit(86_400 * _US_PER_SECOND)
+            + F.hour(c).cast("long") * F.lit(_US_PER_HOUR)
+            + F.minute(c).cast("long") * F.lit(60 * _US_PER_SECOND)
+            + (secs * F.lit(_US_PER_SECOND)).cast("long"))
 
 
 def _floor_div(x: Column, unit: int) -> Column:
