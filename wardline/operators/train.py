@@ -95,23 +95,28 @@ def train_gbt_cv(train: DataFrame, features: Sequence[str], label: str = "label"
                  step_size: float = 0.1, subsample: float = 1.0, feature_subset: str = "all"):
     """Boosted trees, one model per fold (trained on the other folds).
 
-    Returns (models, fold_metrics) where ``fold_metrics`` is a DataFrame
-    (fold, auc) of held-out ROC AUC; test predictions are the fold-model mean
+    Returns (models, fold_metrics, curve): ``fold_metrics`` is a DataFrame
+    (fold, auc) of held-out ROC AUC, ``curve`` a DataFrame (fold, round, loss)
+    of the held-out log-loss after every boosting round (one number per
+    round and fold); test predictions are the fold-model mean
     (``predict_ensemble``)."""
     data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
     data = _assemble(features).transform(data).cache()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    models, rows = [], []
+    models, rows, curve = [], [], []
     for k in range(folds):
         gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                             stepSize=step_size, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
                             seed=seed)
         m = gbt.fit(data.where(F.col("fold") != k))
-        rows.append((k, float(ev.evaluate(m.transform(data.where(F.col("fold") == k))))))
+        held = data.where(F.col("fold") == k)
+        rows.append((k, float(ev.evaluate(m.transform(held)))))
+        curve += [(k, r + 1, float(v)) for r, v in enumerate(m.evaluateEachIteration(held))]
         models.append(m)
     data.unpersist()
-    metrics = train.sparkSession.createDataFrame(rows, "fold int, auc double")
-    return models, metrics
+    spark = train.sparkSession
+    metrics = spark.createDataFrame(rows, "fold int, auc double")
+    return models, metrics, spark.createDataFrame(curve, "fold int, round int, loss double")
 
 
 def predict_ensemble(models, df: DataFrame, features: Sequence[str], id_col: str, name: str = "p") -> DataFrame:

@@ -503,27 +503,38 @@ def q_train_svm(spark, sf_dir):
 
 
 def _gbt(tb: Testbed):
+    return tb.memo("gbt", lambda: _fit_gbt(tb))
+
+
+def _fit_gbt(tb: Testbed):
     train, test = training_frames(tb)
-    models, metrics = M.train_gbt_cv(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED,
-                                     max_iter=20, max_depth=3)
-    return models, metrics, test
+    models, metrics, curve = M.train_gbt_cv(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED,
+                                            max_iter=20, max_depth=3)
+    return models, metrics, curve, test
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf_dir):
-    models, _, test = _gbt(Testbed(spark, sf_dir))
+    models, _, _, test = _gbt(Testbed(spark, sf_dir))
     return M.predict_ensemble(models, test, MODEL_FEATURES, "icustay_id").select("icustay_id", "label", "p")
 
 
 @query("gbt_fold_metrics")
 def q_gbt_fold_metrics(spark, sf_dir):
-    _, metrics, _ = _gbt(Testbed(spark, sf_dir))
+    _, metrics, _, _ = _gbt(Testbed(spark, sf_dir))
     return V.cv_band(metrics.withColumn("round", F.lit(0)), "round", "auc")
 
 
+@query("gbt_cv_curve")
+def q_gbt_cv_curve(spark, sf_dir):
+    """Per boosting round, mean / sd / 95 % band of the held-out loss over folds."""
+    _, _, curve, _ = _gbt(Testbed(spark, sf_dir))
+    return V.cv_band(curve, "round", "loss")
+
+
 @query("top_importance")
 def q_top_importance(spark, sf_dir):
-    models, _, _ = _gbt(Testbed(spark, sf_dir))
+    models, _, _, _ = _gbt(Testbed(spark, sf_dir))
     imp = spark.createDataFrame(M.mean_importance(models, MODEL_FEATURES), "feature string, importance double")
     return V.top_k(imp, "importance", 10, ["feature"])
 
