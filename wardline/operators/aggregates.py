@@ -136,6 +136,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, group: S
         start = F.col("cum__t") - F.col("_t")        # 0-based first position of this value
         end = F.col("cum__t")                        # exclusive
         lo_hi.append((h, lo, hi, start, end))
+    # Only the value rows holding a needed order statistic reach the final aggregate.
+    needed = None
+    for h, lo, hi, start, end in lo_hi:
+        c = ((lo >= start) & (lo < end)) | ((hi >= start) & (hi < end))
+        needed = c if needed is None else needed | c
+    j = j.where(needed)
     aggs = []
     for (h, lo, hi, start, end), name in zip(lo_hi, names):
         v_lo = F.max(F.when((lo >= start) & (lo < end), F.col(col)))

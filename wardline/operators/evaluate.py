@@ -72,9 +72,9 @@ def roc_curve(df: DataFrame, y: str, p: str, *, drop_intermediate: bool = True)
     return origin.unionByName(body)
 
 
-def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, counts: DataFrame | None = None) -> DataFrame:
     """Exact area under the ROC curve (tied scores count one half)."""
-    c = score_counts(df, y, p)
+    c = score_counts(df, y, p) if counts is None else counts
     npos, nneg = _totals(c)
     tpr = F.col("cum_tp") / npos
     tpr_prev = (F.col("cum_tp") - F.col("tp")) / npos
@@ -101,9 +101,9 @@ def pr_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     return body.unionByName(end)
 
 
-def pr_auc(df: DataFrame, y: str, p: str) -> DataFrame:
+def pr_auc(df: DataFrame, y: str, p: str, counts: DataFrame | None = None) -> DataFrame:
     """Trapezoid area under the PR points of ``pr_curve`` (not average precision)."""
-    c = score_counts(df, y, p)
+    c = score_counts(df, y, p) if counts is None else counts
     npos, _ = _totals(c)
     pts = _pr_points(c, npos)
     prec = F.col("cum_tp").cast("double") / (F.col("cum_tp") + F.col("cum_fp"))
@@ -117,8 +117,9 @@ def pr_auc(df: DataFrame, y: str, p: str) -> DataFrame:
 def classification_metrics(df: DataFrame, y: str, p: str, cut: float = 0.5) -> DataFrame:
     """One row: accuracy, roc_auc, pr_auc, precision, recall, f1."""
     m = threshold_metrics(df, y, p, cut)
-    auc = roc_auc(df, y, p).select("roc_auc").scalar()
-    prc = pr_auc(df, y, p).select("pr_auc").scalar()
+    counts = score_counts(df, y, p)          # one per-score table for both areas
+    auc = roc_auc(df, y, p, counts).select("roc_auc").scalar()
+    prc = pr_auc(df, y, p, counts).select("pr_auc").scalar()
     return m.select("accuracy", auc.alias("roc_auc"), prc.alias("pr_auc"), "precision", "recall", "f1")
 
 
