@@ -146,11 +146,12 @@ def pad_sequences(df: DataFrame, key: str, seq: str = "seq", length: str = "leng
 
 # ---------------------------------------------------------------------------
 def stratified_split(df: DataFrame, id_col: str, label: str, frac: float, *, seed: int = 42,
-                     name: str = "is_test") -> DataFrame:
+                     name: str = "is_test", hash_digits: int = 3) -> DataFrame:
     """Per label, the first ``round(n_label * frac)`` rows of the seeded order
     are test (``is_test`` = 1), the rest train: same class proportions."""
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
-    idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix", bucket=hash_prefix_bucket("_h"))
+    idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix",
+                       bucket=hash_prefix_bucket("_h", hash_digits))
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
     n, _ = bounded_broadcast(n, 1_000_000)      # one row per label value, size checked
     j = idx.join(n, label)
@@ -167,11 +168,12 @@ def random_split(df: DataFrame, id_col: str, frac: float, *, seed: int = 0,
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, *, seed: int = 42,
-                     name: str = "fold") -> DataFrame:
+                     name: str = "fold", hash_digits: int = 3) -> DataFrame:
     """Fold = position in the seeded order within the label, modulo k: folds are
     disjoint, complete and balanced per label (sizes differ by at most 1)."""
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
-    idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix", bucket=hash_prefix_bucket("_h"))
+    idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix",
+                       bucket=hash_prefix_bucket("_h", hash_digits))
     return idx.withColumn(name, (F.col("_ix") % F.lit(k)).cast("int")).drop("_h", "_ix")
 
 

@@ -26,16 +26,20 @@ def seeded_order_key(id_col: str, seed: int) -> F.Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
 
 
-def shuffled_index(df: DataFrame, id_col: str, seed: int, name: str = "idx") -> DataFrame:
-    """0-based position in the seeded random order (ties on the hash by id)."""
+def shuffled_index(df: DataFrame, id_col: str, seed: int, name: str = "idx",
+                   hash_digits: int = 3) -> DataFrame:
+    """0-based position in the seeded random order (ties on the hash by id).
+
+    ``hash_digits`` hex digits of the hash form the buckets (16**digits)."""
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
     return global_index(keyed, ["_h", id_col], name=name,
-                        bucket=hash_prefix_bucket("_h")).drop("_h")
+                        bucket=hash_prefix_bucket("_h", hash_digits)).drop("_h")
 
 
 def match_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42,
                    id_col: str = "icustay_id", onset_hour_col: str = "sepsis_onset_hour",
-                   intime_col: str = "intime", los_col: str = "length_of_stay") -> DataFrame:
+                   intime_col: str = "intime", los_col: str = "length_of_stay",
+                   hash_digits: int = 3) -> DataFrame:
     """Assign every control to one case; the control inherits the case's onset hour.
 
     Output: control columns + ``control_onset_hour``, ``control_onset_time``
@@ -45,7 +49,7 @@ def match_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42,
     ctrl = controls.distinct()
     n_case = cases.select(F.count_distinct(id_col)).scalar()
     n_ctrl = ctrl.select(F.count_distinct(id_col)).scalar()
-    cj = shuffled_index(ctrl, id_col, seed, "_j")
+    cj = shuffled_index(ctrl, id_col, seed, "_j", hash_digits)
     cj = cj.withColumn("_i", F.floor(((F.col("_j") + F.lit(1)) * n_case + n_ctrl - F.lit(1)) / n_ctrl)
                        .cast("long") - F.lit(1))
     ci = global_index(cases.select(F.col(id_col).alias("matched_case_icustay_id"),
