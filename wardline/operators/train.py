@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
@@ -25,6 +26,15 @@ from pyspark.sql import functions as F
 from wardline.operators.features import stratified_folds
 
 
+def _per_fold(fit, folds: int, parallelism: int) -> list:
+    """Fit the folds concurrently (Spark runs jobs from several threads, as
+    ``CrossValidator(parallelism=...)`` does); results in fold order."""
+    if parallelism <= 1:
+        return [fit(k) for k in range(folds)]
+    with ThreadPoolExecutor(max_workers=min(parallelism, folds)) as pool:
+        return list(pool.map(fit, range(folds)))
+
+
 def _assemble(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
@@ -50,7 +60,7 @@ def predict(model, df: DataFrame, name: str = "p") -> DataFrame:
 
 def train_svm_calibrated(train: DataFrame, features: Sequence[str], label: str = "label", *,
                          id_col: str = "id", folds: int = 5, seed: int = 42, reg: float = 0.01,
-                         max_iter: int = 20):
+                         max_iter: int = 20, parallelism: int = 5):
     """Linear SVM with sigmoid (Platt) calibration by cross-validation.
 
     For each fold: fit ``LinearSVC`` on the other folds, fit a 1-D logistic
@@ -60,8 +70,8 @@ def train_svm_calibrated(train: DataFrame, features: Sequence[str], label: str =
     """
     data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
     data = _assemble(features).transform(data).cache()
-    pairs = []
-    for k in range(folds):
+
+    def fit_fold(k):
         svm = LinearSVC(featuresCol="features", labelCol=label, regParam=reg, maxIter=max_iter,
                         predictionCol="svm_pred", rawPredictionCol="svm_raw").fit(
             data.where(F.col("fold") != k))
@@ -70,7 +80,9 @@ def train_svm_calibrated(train: DataFrame, features: Sequence[str], label: str =
         cal = Pipeline(stages=[VectorAssembler(inputCols=["margin"], outputCol="mfeat"),
                                LogisticRegression(featuresCol="mfeat", labelCol=label, regParam=0.0,
                                                   maxIter=max_iter)]).fit(held)
-        pairs.append((svm, cal))
+        return svm, cal
+
+    pairs = _per_fold(fit_fold, folds, parallelism)
     data.unpersist()
     return pairs
 
@@ -92,7 +104,8 @@ def predict_svm_calibrated(pairs, df: DataFrame, features: Sequence[str], id_col
 
 def train_gbt_cv(train: DataFrame, features: Sequence[str], label: str = "label", *, id_col: str = "id",
                  folds: int = 5, seed: int = 42, max_iter: int = 50, max_depth: int = 3,
-                 step_size: float = 0.1, subsample: float = 1.0, feature_subset: str = "all"):
+                 step_size: float = 0.1, subsample: float = 1.0, feature_subset: str = "all",
+                 parallelism: int = 5):
     """Boosted trees, one model per fold (trained on the other folds).
 
     Returns (models, fold_metrics, curve): ``fold_metrics`` is a DataFrame
@@ -103,17 +116,20 @@ def train_gbt_cv(train: DataFrame, features: Sequence[str], label: str = "label"
     data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
     data = _assemble(features).transform(data).cache()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    models, rows, curve = [], [], []
-    for k in range(folds):
+    def fit_fold(k):
         gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                             stepSize=step_size, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
                             seed=seed)
         m = gbt.fit(data.where(F.col("fold") != k))
         held = data.where(F.col("fold") == k)
-        rows.append((k, float(ev.evaluate(m.transform(held)))))
-        curve += [(k, r + 1, float(v)) for r, v in enumerate(m.evaluateEachIteration(held))]
-        models.append(m)
+        auc = float(ev.evaluate(m.transform(held)))
+        return m, auc, [(k, r + 1, float(v)) for r, v in enumerate(m.evaluateEachIteration(held))]
+
+    fitted = _per_fold(fit_fold, folds, parallelism)
     data.unpersist()
+    models = [m for m, _, _ in fitted]
+    rows = [(k, auc) for k, (_, auc, _) in enumerate(fitted)]
+    curve = [row for _, _, c in fitted for row in c]
     spark = train.sparkSession
     metrics = spark.createDataFrame(rows, "fold int, auc double")
     return models, metrics, spark.createDataFrame(curve, "fold int, round int, loss double")
