@@ -128,7 +128,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, group: S
     if group:
         j = cum.join(totals, group)
     else:
-        j = cum.withColumn("_n", totals.select("_n").scalar())
+        j = cum.withColumn("_n", F.lit(totals.first()["_n"]))      # one number
     lo_hi = []
     for p in probs:
         h = (F.col("_n") - F.lit(1)) * F.lit(float(p))

@@ -30,8 +30,12 @@ def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def _totals(counts: DataFrame):
-    return (counts.select(F.sum("tp")).scalar().cast("double"),
-            counts.select(F.sum("fp")).scalar().cast("double"))
+    """Positive and negative totals as literals (one bounded one-row result).
+
+    Literals rather than scalar subqueries: an aggregate may not take a
+    subquery over a non-deterministic plan (e.g. model predictions)."""
+    r = counts.agg(F.sum("tp").cast("double").alias("p"), F.sum("fp").cast("double").alias("n")).first()
+    return F.lit(r["p"]), F.lit(r["n"])
 
 
 def threshold_metrics(df: DataFrame, y: str, p: str, cut: float = 0.5) -> DataFrame:
@@ -83,8 +87,8 @@ def roc_auc(df: DataFrame, y: str, p: str, counts: DataFrame | None = None) -> D
 
 
 def _pr_points(c: DataFrame, npos):
-    first_full = c.where(F.col("cum_tp") >= npos).select(F.max("score")).scalar()
-    return c.where(F.col("score") >= first_full)
+    first_full = c.where(F.col("cum_tp") >= npos).agg(F.max("score")).first()[0]
+    return c.where(F.col("score") >= F.lit(first_full))
 
 
 def pr_curve(df: DataFrame, y: str, p: str) -> DataFrame:

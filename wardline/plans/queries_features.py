@@ -573,3 +573,11 @@ def q_roc_curve_auc(spark, sf_dir):
     pts = V.roc_curve(Testbed(spark, sf_dir).scored, "y", "p")
     pts = pts.withColumn("_ord", F.col("fpr") * F.lit(2.0) + F.col("tpr"))
     return rounded(V.curve_auc(pts, "_ord", "fpr", "tpr").withColumnRenamed("auc", "roc_auc"), ["roc_auc"], 9)
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """J7-J11 on model output: metrics of the fold-ensemble predictions on the test split."""
+    models, _, _, test = _gbt(Testbed(spark, sf_dir))
+    preds = M.predict_ensemble(models, test, MODEL_FEATURES, "icustay_id")
+    return V.classification_metrics(preds, "label", "p")
