@@ -69,3 +69,13 @@ def test_rule_spec_inner(spark):
     out = measure_series(anchors, ev, spec, keys="icustay_id", anchor_col="onset", time_col="charttime",
                          hours=48, keep=("icustay_id",), event_filter=F.col("error") == 0).collect()
     assert len(out) == 1 and abs(out[0].TempC - 37.0) < 1e-9 and out[0].HeartRate is None
+
+
+def test_detect_onset_upper_boundary(spark):
+    susp = spark.createDataFrame([(1, ts("2024-01-05 10:30:00")), (2, ts("2024-01-05 10:30:00"))],
+                                 f"icustay_id long, suspected_infection_time {NTZ}")
+    rows = [(1, ts("2024-01-06 10:59:59"), 4),     # +24 hour boundaries: inside
+            (2, ts("2024-01-06 11:00:00"), 4)]     # +25: outside
+    sc = spark.createDataFrame(rows, f"icustay_id long, starttime {NTZ}, sofa_24hours int")
+    sc = sc.withColumn("endtime", F.col("starttime"))
+    assert [r.icustay_id for r in detect_onset(sc, susp).collect()] == [1]

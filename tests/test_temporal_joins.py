@@ -65,3 +65,11 @@ def test_exclude_drops_null(spark):
     df = spark.createDataFrame([(1, 20.0), (2, None), (3, 10.0)], "id long, age double")
     out = exclude(df, [F.col("age") <= 16])
     assert [r.id for r in out.collect()] == [1]
+
+
+def test_window_join_after_hours(spark):
+    anchors = spark.createDataFrame([(1, ts("2024-01-10 12:00:00"))], f"k long, anchor {NTZ}")
+    ev = spark.createDataFrame([(1, ts("2024-01-10 17:00:00"), 1.0), (1, ts("2024-01-10 17:00:00.000001"), 2.0),
+                                (1, ts("2024-01-09 12:00:00"), 3.0)], f"k long, t {NTZ}, v double")
+    out = window_join(anchors, ev, "k", "anchor", "t", 0, how="inner", after_hours=5)
+    assert [r.v for r in out.collect()] == [1.0]
