@@ -57,18 +57,24 @@ def controls_m(tb: Testbed) -> DataFrame:
     return tb.memo("controls", lambda: materialize(controls_of(tb)))
 
 
+def series_anchors(tb: Testbed, anchors: DataFrame, anchor_col: str) -> DataFrame:
+    """Anchor stays with their subject and admission, checkpointed once per
+    query and shared by the lab and vital extractions."""
+    def build():
+        a = anchors.select("icustay_id", anchor_col).join(
+            tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
+        return materialize(a)
+    return tb.memo(f"anchors:{id(anchors)}:{anchor_col}", build)
+
+
 def lab_series(tb: Testbed, anchors: DataFrame, anchor_col: str, hours: int) -> DataFrame:
-    a = anchors.select("icustay_id", anchor_col).join(
-        tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
-    a = materialize(a)
+    a = series_anchors(tb, anchors, anchor_col)
     return measure_series(a, tb.labevents, lab_spec(), keys=["subject_id", "hadm_id"],
                           anchor_col=anchor_col, time_col="charttime", hours=hours)
 
 
 def vital_series(tb: Testbed, anchors: DataFrame, anchor_col: str, hours: int) -> DataFrame:
-    a = anchors.select("icustay_id", anchor_col).join(
-        tb.icustays.select("icustay_id", "subject_id"), "icustay_id", "left")
-    a = materialize(a)
+    a = series_anchors(tb, anchors, anchor_col)
     return measure_series(a, tb.chartevents, vital_spec(), keys="icustay_id",
                           anchor_col=anchor_col, time_col="charttime", hours=hours,
                           event_filter=F.col("error") == 0)
