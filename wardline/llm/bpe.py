@@ -35,7 +35,7 @@ from wardline.llm.common import binary_rows, list_rows, pieces, prepare, texts_o
 
 #: Unicode White_Space, as fixed values (regular expressions of Python also count U+001C to U+001F).
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
-_CACHE_ROWS = 800_000
+_CACHE_ROWS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -92,7 +92,7 @@ class Vocabulary:
     def compatible(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 4_000_000:
+            if len(self.fits) > 500_000:
                 self.fits.clear()
             known = self.fits[a, b] = self._compatible(a, b)
         return known

@@ -57,7 +57,7 @@ def texts_of(docs: DataFrame, *cols: str, text_col: str = "text") -> DataFrame:
     return docs.select(*cols, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], col: str = "text", most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], col: str = "text", most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most_bytes`` of ``col`` each (one long row may
     exceed it), so that the working arrays of a task stay bounded."""
     for batch in batches:

@@ -34,7 +34,7 @@ from wardline.llm.common import binary_rows, list_rows, pieces, prepare, stage_t
 from wardline.llm.hashing import shingles, sorted_sets, words
 from wardline.llm.overlap import identity, verify
 
-_SEEN_CLASSES = 1_000_000
+_SEEN_CLASSES = 200_000
 
 
 def line_tokens(p: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,9 +54,13 @@ def rarity(texts: DataFrame, size: int, buckets: int) -> np.ndarray:
     """Occurrences of tokens per hash bucket: one array of ``buckets`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+        total, held = np.zeros(buckets, np.int64), []
         for p in pieces(batches):
-            total += np.bincount((line_tokens(p, size)[0] % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+            held.append((line_tokens(p, size)[0] % np.uint64(buckets)).astype(np.int32))
+            if sum(map(len, held)) > buckets:
+                total += np.bincount(np.concatenate(held), minlength=buckets)
+                held = []
+        total += np.bincount(np.concatenate([np.zeros(0, np.int32), *held]), minlength=buckets)
         at = np.flatnonzero(total)
         for k in range(0, len(at), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[k:k + 50_000]), pa.array(total[at[k:k + 50_000]])], ["bucket", "n"])
@@ -78,7 +82,7 @@ def line_classes(texts: DataFrame, counts: np.ndarray, size: int, threshold: flo
     buckets = np.uint64(len(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for p in pieces(batches):
             h, seg, row, line = line_tokens(p, size)
             h, seg, _ = sorted_sets(h, seg)
@@ -88,7 +92,7 @@ def line_classes(texts: DataFrame, counts: np.ndarray, size: int, threshold: flo
             place = np.arange(len(h)) - np.repeat(first, n)
             front = place < np.repeat(prefix_length(n, threshold), n)
             new = np.ones(len(own), bool)
-            for k, key in enumerate(zip(c1.tolist(), c2.tolist(), strict=True)):
+            for k, key in enumerate((c1 ^ (c2 << 1)).tolist()):
                 new[k] = key not in seen
                 if len(seen) < _SEEN_CLASSES:
                     seen.add(key)

@@ -23,12 +23,15 @@ they stand in; repeated rows are selected one by one; equal hashes are ordered b
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stage_table
+from wardline.llm.common import pieces, prepare, stage_table, texts_of, utf8
+from wardline.llm.hashing import SPACE, runs
 
 Path = tuple[str, ...]
 
@@ -79,10 +82,22 @@ def _open(leaf: Path, weights: Mapping[Path, float]) -> bool:
     return all(weights.get(leaf[:k], 1.0) > 0 for k in range(1, len(leaf) + 1))
 
 
-def word_count(text: str | Column = "text") -> Column:
-    """Tokens of a text, counted as runs of characters other than white space."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.regexp_count(c, F.lit(r"\S+")), F.lit(0)).cast("long")
+def with_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns other than the text, and ``n_tokens``: its words (runs of bytes that are no
+    ASCII white space)."""
+    rest = [c for c in docs.columns if c != text_col]
+    rows = texts_of(docs, *rest, text_col=text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in pieces(batches):
+            buf, off = utf8(p.column("text"))
+            start, _ = runs(~SPACE[buf], off)
+            n = np.bincount(np.searchsorted(off, start, "right") - 1, minlength=p.num_rows)
+            yield pa.RecordBatch.from_arrays([*p.columns[:-1], pa.array(n)], [*rest, "n_tokens"])
+
+    prepare(docs.sparkSession)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema[:-1])
+    return rows.mapInArrow(run, schema + "n_tokens long")
 
 
 def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *, tokens: Column | None = None,
@@ -95,8 +110,8 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     """
     path = F.array(*[F.coalesce(c.cast("string"), F.lit("(null)")) for c in levels])
     uid = F.col("uid") if "uid" in docs.columns else F.col(id_col).cast("long")
-    rows = stage_table(docs.select(F.col(id_col), uid.alias("uid"), path.alias("path"),
-                                   (word_count() if tokens is None else tokens).alias("n_tokens")), "mix")
+    rows = docs.select(F.col(id_col), uid.alias("uid"), path.alias("path"), F.col("text") if tokens is None else tokens.alias("n_tokens"))
+    rows = stage_table(with_word_count(rows) if tokens is None else rows, "mix")
     present = rows.groupBy("path").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).limit(max_leaves + 1).collect()
     if len(present) > max_leaves:
         raise ValueError(f"more than {max_leaves} leaves: the tree is no longer small")
