@@ -195,8 +195,10 @@ def _shared_ranks(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast((path, read_ranks(path)))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``ids`` (array of int) of each whole text.
+def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` (array of int) of each whole text; with ``decoded`` also the
+    bytes that these ids decode to, in the same pass.
 
     ``path`` is a rank file that the driver can read; ``pattern`` splits the text before
     the merges, and may use \\p{L}, \\p{N}, \\s and \\S.
@@ -214,11 +216,18 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
             parts = [encoder(t, not h) for t, h in zip(p.column("text").to_pylist(), high.tolist(), strict=True)]
             ends = np.cumsum([0, *map(len, parts)]) // 4
             ids = np.frombuffer(b"".join(parts), np.int32)
-            yield pa.RecordBatch.from_arrays([*p.columns[:-1], list_rows(pa.array(ids), ends)], [*keep, "ids"])
+            back = [_bytes(ids, ends, encoder.vocabulary.token)] if decoded else []
+            yield pa.RecordBatch.from_arrays([*p.columns[:-1], list_rows(pa.array(ids), ends), *back],
+                                             [*keep, "ids", "decoded"][: len(keep) + 1 + len(back)])
 
     prepare(docs.sparkSession)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema[:-1])
-    return rows.mapInArrow(run, schema + "ids array<int>")
+    return rows.mapInArrow(run, schema + "ids array<int>" + ", decoded binary" * decoded)
+
+
+def _bytes(ids: np.ndarray, ends: np.ndarray, token: dict[int, bytes]) -> pa.Array:
+    parts = [b"".join(map(token.__getitem__, ids[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return binary_rows(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
@@ -229,27 +238,23 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", name: str = "decode
         key = ("decoder", shared.value[0])
         if key not in _made:
             _made[key] = {i: t for t, i in shared.value[1].items()}
-        get = _made[key].__getitem__
+        token = _made[key]
         for b in batches:
             column = b.column(ids_col).fill_null([]) if b.column(ids_col).null_count else b.column(ids_col)
             off = column.offsets.to_numpy().astype(np.int64)
             ids = column.values.to_numpy(zero_copy_only=False)
             for start in range(0, b.num_rows, 200):
-                o = off[start:start + 201]
-                parts = [b"".join(map(get, ids[x:y].tolist())) for x, y in zip(o[:-1], o[1:], strict=True)]
-                raw = np.frombuffer(b"".join(parts), np.uint8)
                 out = b.slice(start, 200)
-                yield pa.RecordBatch.from_arrays([*out.columns, binary_rows(raw, np.cumsum([0, *map(len, parts)]))],
-                                                 [*out.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*out.columns, _bytes(ids, off[start:start + 201], token)], [*out.schema.names, name])
 
     prepare(rows.sparkSession)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema)
     return rows.mapInArrow(run, f"{schema}`{name}` binary")
 
 
-def digests(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
-    """``keep`` columns, n_tokens and the SHA-256 of the decimal ids and of the decoded bytes."""
-    return decode(encoded, path).select(
-        *keep, F.size("ids").cast("long").alias("n_tokens"),
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """n_tokens and the SHA-256 of the decimal ids and of the decoded bytes, after the columns ``more``."""
+    return decoded.select(
+        *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * with_ids)
+        F.sha2("decoded", 256).alias("decoded_sha256"))

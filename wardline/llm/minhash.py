@@ -13,10 +13,11 @@ signature needs about as many points as it has components, whatever the size
 Signatures are cut into bands (32 of 7 components: a pair with likeness 0.8 meets in a
 band with probability 0.9995, one with 0.5 in one of five).  Documents with equal multisets form
 a class, and only its first document goes on.  Within a band bucket every class is compared
-with the first one; links so found are joined to components; then pairs of classes that
-meet in a bucket but lie in different components are compared as well.  Pairs
-inside a component need no test, so a bucket of n alike texts costs n tests.  All tests
-compare the whole multisets.
+with one of them; links so found are joined to components; this is done again
+with other centres while many pairs of classes meet in a bucket but lie in different
+components, and what is left of such pairs is compared pair by pair.  Pairs inside a
+component need no test, so a bucket of n alike texts costs a few n tests and no link
+between components is lost.  All tests compare the whole multisets.
 
 Defined results: words are runs of bytes that are no ASCII white space, case counts; a
 text of one to four words has one shingle; null and empty texts and texts of white space
@@ -121,8 +122,16 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         run, f"`{id_col}` {kind}, uid long, c1 long, c2 long, n_items long, bands array<long>")
 
 
+def _verified(met: DataFrame, other: str, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) among the pairs of ``uid`` and the other column, after the filter by size."""
+    n, m = F.col("n_items"), F.col(f"{other}n_items")
+    pairs = (met.filter(F.least(n, m) >= F.lit(threshold) * F.greatest(n, m))
+             .select(F.least("uid", f"{other}uid").alias("a"), F.greatest("uid", f"{other}uid").alias("b")).distinct())
+    return stage_table(verify(pairs, sets, threshold).select("a", "b"), "links")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-                    size: int = 5, bands: int = 32, rows: int = 7) -> DataFrame:
+                    size: int = 5, bands: int = 32, rows: int = 7, most_rounds: int = 4) -> DataFrame:
     """(id, uid, n_items, class_id, component_id, kept) of every document.
 
     ``class_id`` is the smallest uid with the same multiset, ``component_id`` the smallest
@@ -134,31 +143,37 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     narrow = sketches.select(id_col, "uid", "c1", "c2", "n_items")
     classes = stage_table(narrow.filter("n_items > 0").groupBy("c1", "c2").agg(F.min("uid").alias("class_id")), "class")
     first = classes.select(F.col("class_id").alias("uid"))
-    met = (sketches.join(first, "uid").select(F.explode("bands").alias("key"), "uid", "n_items"))
+    met = sketches.join(first, "uid").select(F.explode("bands").alias("key"), "uid", "n_items")
     w = Window.partitionBy("key").orderBy("uid")
-    met = stage_table(
-        met.select("*", F.first("uid").over(w).alias("head"), F.first("n_items").over(w).alias("head_items"),
-                   F.lead("uid").over(w).alias("next"))
-        .filter((F.col("head") != F.col("uid")) | F.col("next").isNotNull()).drop("next"), "met")
-    alike = F.least("n_items", "head_items") >= F.lit(threshold) * F.greatest("n_items", "head_items")
-    pairs = met.filter((F.col("head") != F.col("uid")) & alike).select(F.col("head").alias("a"), F.col("uid").alias("b")).distinct()
+    met = stage_table(met.select("*", F.lag("uid").over(w).alias("p"), F.lead("uid").over(w).alias("q"))
+                      .filter(F.col("p").isNotNull() | F.col("q").isNotNull()).drop("p", "q"), "met")
     sets = stage_table(item_sets(docs.join(met.select("uid").distinct(), "uid")
                                  .select(F.col("uid").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), size), "sets")
-    links = stage_table(verify(pairs, sets, threshold), "links")
-
-    # Classes that meet in a bucket and are not connected yet: compare across components.
-    group = components(links)
-    placed = met.select("key", "uid", "n_items", "head").join(group.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "key", "uid", "n_items", "head", F.coalesce("component", "uid").alias("component"))
-    spread = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    placed = stage_table(placed.join(spread.select("key"), "key"), "placed")
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid"))
-                   & (F.col("x.component") != F.col("y.component")) & (F.col("x.uid") != F.col("x.head"))
-                   & (F.least("x.n_items", "y.n_items") >= F.lit(threshold) * F.greatest("x.n_items", "y.n_items")))
-            .select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct())
-    more = stage_table(verify(rest, sets, threshold), "links")
-    group = components(links.select("a", "b").union(more.select("a", "b")))
+
+    # Rounds of stars: one class of each bucket, another in every bucket and round, is
+    # compared with those that it is not connected to yet.
+    links, open_ = None, met.withColumn("component", F.col("uid"))
+    for turn in range(most_rounds):
+        w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "key", "uid"))
+        star = open_.select("*", *[F.first(c).over(w).alias(f"head_{c}") for c in ("uid", "n_items", "component")])
+        found = _verified(star.filter("component != head_component"), "head_", sets, threshold)
+        links = found if links is None else links.union(found)
+        group = components(links)
+        open_ = met.join(group.withColumnRenamed("node", "uid"), "uid", "left").withColumn("component", F.coalesce("component", "uid"))
+        spread = (open_.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                  .filter("low < high").select("key"))
+        open_ = stage_table(open_.join(spread, "key"), "open")
+        # Pairs that are left: in each bucket, those of different components.
+        n = F.col("n")
+        left = (open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+                .agg((F.sum(n) * F.sum(n) - F.sum(n * n)).alias("twice"), F.sum(n).alias("n"))
+                .agg(F.sum("twice"), F.sum("n")).first())
+        if (left[0] or 0) <= 8 * (left[1] or 0):
+            break
+    # Whatever still lies in different components of a bucket is compared pair by pair.
+    x = open_.select("key", *[F.col(c).alias(f"e_{c}") for c in ("uid", "n_items", "component")])
+    rest = open_.join(x, "key").filter((F.col("e_uid") < F.col("uid")) & (F.col("e_component") != F.col("component")))
+    group = components(links.union(_verified(rest, "e_", sets, threshold)))
 
     found = classes.join(group.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
         "c1", "c2", "class_id", F.coalesce("component", "class_id").alias("component_id"))

@@ -26,8 +26,7 @@ def mix_levels():
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and the bytes that they decode to, as digests."""
-    ids = bpe.encode(table_of(spark, sf_dir, "documents"), RANKS, PATTERN)
-    return bpe.digests(ids, RANKS)
+    return bpe.digests(bpe.encode(table_of(spark, sf_dir, "documents"), RANKS, PATTERN, decoded=True), "doc_id")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
