@@ -51,8 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with their number and digests of ids and decoded bytes."""
-    ids = bpe.encode(docs, RANKS, PATTERN, ("doc_id", "lang", "source"))
-    return bpe.digests(ids, RANKS, ("doc_id", "lang", "source"), with_ids=True)
+    keep = ("doc_id", "lang", "source")
+    return bpe.digests(bpe.encode(docs, RANKS, PATTERN, keep, decoded=True), *keep, "ids")
 
 
 STAGES = [
