@@ -130,8 +130,24 @@ def _verified(met: DataFrame, other: str, sets: DataFrame, threshold: float) ->
     return stage_table(verify(pairs, sets, threshold).select("a", "b"), "links")
 
 
+def _shared_items(sets: DataFrame, met: DataFrame) -> DataFrame:
+    """(uid, shared): how many items of each text in ``met`` stand in another of these texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                items = np.frombuffer(b.column("items")[k].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), b.column("key")[k].as_py())), pa.array(items)], ["uid", "item"])
+
+    own = sets.join(met.select(F.col("uid").alias("key"), "n_items").distinct(), "key").select("key", "items", "n_items")
+    lone = (own.select("key", "items").mapInArrow(run, "uid long, item long").groupBy("item")
+            .agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("n")).filter("n = 1").groupBy("uid").agg(F.count(F.lit(1)).alias("lone")))
+    return (own.select(F.col("key").alias("uid"), "n_items").join(lone, "uid", "left")
+            .select("uid", (F.col("n_items") - F.coalesce("lone", F.lit(0))).alias("shared")))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-                    size: int = 5, bands: int = 32, rows: int = 7, most_rounds: int = 4) -> DataFrame:
+                    size: int = 5, bands: int = 32, rows: int = 7, most_rounds: int = 2) -> DataFrame:
     """(id, uid, n_items, class_id, component_id, kept) of every document.
 
     ``class_id`` is the smallest uid with the same multiset, ``component_id`` the smallest
@@ -170,9 +186,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                 .agg(F.sum("twice"), F.sum("n")).first())
         if (left[0] or 0) <= 8 * (left[1] or 0):
             break
-    # Whatever still lies in different components of a bucket is compared pair by pair.
-    x = open_.select("key", *[F.col(c).alias(f"e_{c}") for c in ("uid", "n_items", "component")])
-    rest = open_.join(x, "key").filter((F.col("e_uid") < F.col("uid")) & (F.col("e_component") != F.col("component")))
+    # Whatever still lies in different components of a bucket is compared pair by pair, but
+    # for texts that cannot reach the threshold: too many of their items stand in no other text.
+    t = F.lit(threshold)
+    open_ = stage_table(open_.join(_shared_items(sets, open_), "uid").filter(F.col("shared") >= t * F.col("n_items")), "open")
+    x = open_.select("key", *[F.col(c).alias(f"e_{c}") for c in ("uid", "n_items", "component", "shared")])
+    rest = open_.join(x, "key").filter(
+        (F.col("e_uid") < F.col("uid")) & (F.col("e_component") != F.col("component"))
+        & (F.least("shared", "e_shared") * (1 + t) >= t * (F.col("n_items") + F.col("e_n_items")) - F.lit(1e-6)))
     group = components(links.union(_verified(rest, "e_", sets, threshold)))
 
     found = classes.join(group.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
