@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, lines, minhash, mixing, quality
+from wardline.llm import bpe, licenses, lines, metric_join, minhash, mixing, packing, quality, spotsigs, suffix
 from wardline.llm.common import table_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,11 +24,36 @@ def mix_levels():
     return [domain, F.col("lang"), F.col("source")]
 
 
+def op1_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of 2048 packed ids: a digest of each, its segment bounds, resets and documents."""
+    out = packing.pack(table_of(spark, sf_dir, "documents"), RANKS, PATTERN)
+    return out.select("shard", "row", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"), "cu_seqlens", "resets", "doc_ids", "starts")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and the bytes that they decode to, as digests."""
     return bpe.digests(bpe.encode(table_of(spark, sf_dir, "documents"), RANKS, PATTERN, decoded=True), "doc_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and runs removed per document, and a digest of the bytes left."""
+    out = suffix.remove_repeats(table_of(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    size = F.aggregate(F.sequence(F.lit(0), F.size(spans) - 1), F.lit(0).cast("long"),
+                       lambda t, i: t + F.when(i % 2 == 1, spans[i]).otherwise(-spans[i]))
+    return out.select("doc_id", "n_bytes", F.when(F.size(spans) > 0, size).otherwise(F.lit(0).cast("long")).alias("n_removed"),
+                      (F.size(spans) / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed licenses of every document."""
+    out = licenses.scan(table_of(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_blocks", F.size("matches").cast("long").alias("n_matches"),
+                      F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+                      F.aggregate("matches.differences", F.lit(0).cast("long"), lambda t, x: t + x).alias("n_differences"),
+                      F.col("matches.line").alias("lines"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines kept and removed per document, with a digest of the remaining text."""
     out = lines.dedup_lines(table_of(spark, sf_dir, "documents"))
@@ -54,7 +79,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.9."""
+    return metric_join.near_vectors(table_of(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likenesses."""
+    return spotsigs.with_neighbours(table_of(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe, op5_line_dedup, op6_bagminhash, op7_mix, op8_quality)
+    f.__name__: f for f in (op1_pack_tokens, op2_bpe, op3_suffix_dedup, op4_license_scan, op5_line_dedup, op6_bagminhash, op7_mix, op8_quality,
+                             op9_metric_join, op10_spotsigs)
 }
 ORACLE_SQL: dict[str, str] = {}
