@@ -50,10 +50,14 @@ def line_tokens(p: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, n
     return h, seg, row, line
 
 
-def rarity(texts: DataFrame, size: int, buckets: int) -> np.ndarray:
-    """Occurrences of tokens per hash bucket: one array of ``buckets`` numbers."""
+def rarity(texts: DataFrame, size: int, buckets: int, slices: int = 16) -> np.ndarray:
+    """Occurrences of tokens per hash bucket: one array of ``buckets`` numbers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Tasks count for themselves and send their counts in ``slices`` pieces, which are added
+    up in groups of tasks and then over the groups."""
+    width = buckets // slices
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held = np.zeros(buckets, np.int64), []
         for p in pieces(batches):
             held.append((line_tokens(p, size)[0] % np.uint64(buckets)).astype(np.int32))
@@ -61,16 +65,43 @@ def rarity(texts: DataFrame, size: int, buckets: int) -> np.ndarray:
                 total += np.bincount(np.concatenate(held), minlength=buckets)
                 held = []
         total += np.bincount(np.concatenate([np.zeros(0, np.int32), *held]), minlength=buckets)
-        at = np.flatnonzero(total)
-        for k in range(0, len(at), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + 50_000]), pa.array(total[at[k:k + 50_000]])], ["bucket", "n"])
-
-    counts = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        for k in range(slices):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[k * width:(k + 1) * width].tobytes()])], ["slice", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(width, np.int64)
+        for b in batches:
+            for k, n in zip(b.column("slice").to_pylist(), b.column("n").to_pylist(), strict=True):
+                if k != now and now is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()])], ["slice", "n"])
+                    total = np.zeros(width, np.int64)
+                now = k
+                total += np.frombuffer(n, np.int64)
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()])], ["slice", "n"])
+
+    schema = "slice int, n binary"
+    own = texts.select("text").mapInArrow(count, schema).withColumn("team", F.spark_partition_id() % 64)
+    teams = own.repartition("slice", "team").sortWithinPartitions("slice").select("slice", "n").mapInArrow(add, schema)
+    rows = teams.repartition(slices, "slice").sortWithinPartitions("slice").mapInArrow(add, schema).collect()  # buckets numbers
     out = np.zeros(buckets, np.int64)
-    out[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    for r in rows:
+        out[r.slice * width:(r.slice + 1) * width] = np.frombuffer(r.n, np.int64)
     return out
 
 
+def rare_first(h: np.ndarray, seg: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Order by (segment, count, hash), counts beyond 65,535 being equal."""
+    count = np.minimum(count, 65_535).astype(np.uint64)
+    if len(seg) and seg[-1] < 65_536:
+        key = seg.astype(np.uint64) << np.uint64(48) | count << np.uint64(32) | h >> np.uint64(32)
+        order = np.argsort(key)
+        k, x = key[order], h[order]
+        if not ((k[1:] == k[:-1]) & (x[1:] != x[:-1])).any():
+            return order
+    return np.lexsort((h, count, seg))
+
+
 def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
@@ -85,10 +116,16 @@ def line_classes(texts: DataFrame, counts: np.ndarray, size: int, threshold: flo
         seen: set[int] = set()
         for p in pieces(batches):
             h, seg, row, line = line_tokens(p, size)
-            h, seg, _ = sorted_sets(h, seg)
-            own, first, n = np.unique(seg, return_index=True, return_counts=True)
+            order = rare_first(h, seg, shared.value[(h % buckets).astype(np.int64)])
+            h, seg = h[order], seg[order]
+            start = np.ones(len(h), bool)
+            start[1:] = seg[1:] != seg[:-1]
+            new = start.copy()
+            new[1:] |= h[1:] != h[:-1]
+            h, seg, start = h[new], seg[new], start[new]
+            first = np.flatnonzero(start)
+            own, n = seg[first], np.diff(np.append(first, len(h)))
             c1, c2 = identity(h, np.append(first, len(h)))
-            order = np.lexsort((h, shared.value[(h % buckets).astype(np.int64)], seg))
             place = np.arange(len(h)) - np.repeat(first, n)
             front = place < np.repeat(prefix_length(n, threshold), n)
             new = np.ones(len(own), bool)
@@ -99,12 +136,13 @@ def line_classes(texts: DataFrame, counts: np.ndarray, size: int, threshold: flo
             front &= np.repeat(new, n)
             ends = np.append(0, np.cumsum(np.where(new, prefix_length(n, threshold), 0)))
             uid = p.column("uid").to_numpy()[row[own]]
+            front_tokens = h[front].view(np.int64)
             for k in range(0, len(own), 20_000):
                 a, b = ends[k], ends[min(k + 20_000, len(own))]
                 cut = slice(k, k + 20_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid[cut]), pa.array(line[own][cut]), pa.array(c1[cut]), pa.array(c2[cut]), pa.array(n[cut]),
-                     list_rows(pa.array(h[order][front][a:b].view(np.int64)), ends[k:k + 20_001] - a)],
+                     list_rows(pa.array(front_tokens[a:b]), ends[k:k + 20_001] - a)],
                     ["uid", "line", "c1", "c2", "n", "prefix"])
 
     return texts.select("uid", "text").mapInArrow(run, "uid long, line long, c1 long, c2 long, n long, prefix array<long>")
@@ -146,15 +184,18 @@ def duplicate_lines(docs: DataFrame, threshold: float = 0.8, size: int = 5, buck
     lines = stage_table(line_classes(docs, counts, size, threshold), "lines")
     first = stage_table(lines.groupBy("c1", "c2").agg(F.min(F.struct("uid", "line")).alias("at"), F.count(F.lit(1)).alias("copies")), "first")
 
-    tokens = lines.select("c1", "c2", "n", F.posexplode("prefix").alias("place", "token"))
-    w = Window.partitionBy("token").orderBy("c1", "c2")
-    tokens = tokens.withColumns({"p1": F.lag("c1").over(w), "p2": F.lag("c2").over(w)}).filter(
-        F.col("p1").isNull() | (F.col("p1") != F.col("c1")) | (F.col("p2") != F.col("c2")))
-    tokens = tokens.withColumns({"p1": F.lag("c1").over(w), "p2": F.lead("c1").over(w)}).filter(
-        F.col("p1").isNotNull() | F.col("p2").isNotNull()).drop("p1", "p2")
+    # One row per token and class; c1 alone names the class here, and the join below tells
+    # classes with an equal c1 apart again.
+    tokens = lines.select("c1", "n", F.posexplode("prefix").alias("place", "token")).select(
+        "token", "c1", (F.col("n") * F.lit(1 << 32) + F.col("place")).alias("size"))
+    w = Window.partitionBy("token").orderBy("c1")
+    tokens = tokens.withColumn("p", F.lag("c1").over(w)).filter(F.col("p").isNull() | (F.col("p") != F.col("c1")))
+    tokens = tokens.withColumns({"p": F.lag("c1").over(w), "q": F.lead("c1").over(w)}).filter(
+        F.col("p").isNotNull() | F.col("q").isNotNull())
+    tokens = stage_table(tokens.select("token", "c1", F.shiftright("size", 32).alias("n"), F.col("size").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place")), "tokens")
     w = Window.partitionBy("token").orderBy("at")
     tokens = stage_table(
-        stage_table(tokens, "tokens").join(first.select("c1", "c2", "at"), ["c1", "c2"])
+        tokens.join(first.select("c1", "at"), "c1")
         .select("token", "at", "n", "place", *[F.first(c).over(w).alias(f"head_{c}") for c in ("at", "n", "place")],
                 F.row_number().over(w).alias("nth")), "tokens")
 
