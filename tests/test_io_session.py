@@ -19,6 +19,7 @@ def test_csv_roundtrip_and_schema(spark):
 
 
 def test_checkpoint_dir_and_materialize(spark):
-    assert checkpoint_dir(spark)
+    before = checkpoint_dir(spark)
     df = materialize(spark.range(10))
     assert df.count() == 10
+    assert checkpoint_dir(spark) == before  # none is invented

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.indexing import global_cumsum
-from wardline.operators.joins import bounded_broadcast
+from wardline.operators.joins import bounded_broadcast, join_null_safe
 
 
 def _list(x) -> list[str]:
@@ -126,7 +126,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, group: S
     cum = global_cumsum(counts, [col], ["_t"], group=group)
     totals = counts.groupBy(*group).agg(F.sum("_t").alias("_n"))
     if group:
-        j = cum.join(totals, group)
+        j = join_null_safe(cum, totals, group)
     else:
         j = cum.withColumn("_n", F.lit(totals.first()["_n"]))      # one number
     lo_hi = []

@@ -122,7 +122,10 @@ def classification_metrics(df: DataFrame, y: str, p: str, cut: float = 0.5) -> D
     """One row: accuracy, roc_auc, pr_auc, precision, recall, f1."""
     m = threshold_metrics(df, y, p, cut)
     counts = score_counts(df, y, p)          # one per-score table for both areas
+    total = counts.agg(F.sum("tp").alias("p"), F.sum("fp").alias("n")).first()
     auc = roc_auc(df, y, p, counts).select("roc_auc").scalar()
+    if not total["p"] or not total["n"]:
+        raise ValueError("classification metrics need scored rows of both classes")
     prc = pr_auc(df, y, p, counts).select("pr_auc").scalar()
     return m.select("accuracy", auc.alias("roc_auc"), prc.alias("pr_auc"), "precision", "recall", "f1")
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wardline.functions.scalar import recode_contains
 from wardline.functions.temporal import diff_hours
 from wardline.operators.indexing import global_index, hash_prefix_bucket
-from wardline.operators.joins import bounded_broadcast
+from wardline.operators.joins import bounded_broadcast, join_null_safe
 from wardline.operators.matching import seeded_order_key
 
 
@@ -154,7 +154,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, frac: float, *, see
                        bucket=hash_prefix_bucket("_h", hash_digits))
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
     n, _ = bounded_broadcast(n, 1_000_000)      # one row per label value, size checked
-    j = idx.join(n, label)
+    j = join_null_safe(idx, n, [label])
     cut = F.round(F.col("_nl") * F.lit(float(frac))).cast("long")
     return j.withColumn(name, (F.col("_ix") < cut).cast("int")).drop("_h", "_ix", "_nl")
 
@@ -177,6 +177,4 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, *, seed
     return idx.withColumn(name, (F.col("_ix") % F.lit(k)).cast("int")).drop("_h", "_ix")
 
 
-def race_recode(df: DataFrame, col: str, patterns: Sequence[str], default: str) -> DataFrame:
-    return df.withColumn(col, recode_contains(F.col(col), patterns, default))
 

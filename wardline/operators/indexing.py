@@ -14,13 +14,14 @@ split points are exact here.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.operators.joins import bounded_broadcast
+from wardline.operators.joins import bounded_broadcast, join_null_safe
 
 DEFAULT_BUCKETS = 1024
 _MAX_OFFSET_ROWS = 1_000_000
@@ -51,7 +52,7 @@ def quantile_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
     probs = [i / buckets for i in range(1, buckets)]
     dcol = "_bq_x"
     d = df.withColumn(dcol, F.col(col).cast("double"))
-    splits = sorted({s for s in d.approxQuantile(dcol, probs, rel_err) if s == s})
+    splits = sorted({s for s in d.approxQuantile(dcol, probs, rel_err) if math.isfinite(s)})
     splits = [float("-inf"), *splits, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
@@ -102,7 +103,7 @@ def global_index(df: DataFrame, order, *, group: Sequence[str] = (), name: str =
     offsets = _offsets(counts, group, "_n").select(*group, "_b", "_off")
     offsets = _broadcast_offsets(offsets, group)
     w = Window.partitionBy(*group, "_b").orderBy(*_order_cols(order, ascending))
-    out = b.join(offsets, [*group, "_b"]).withColumn(
+    out = join_null_safe(b, offsets, [*group, "_b"]).withColumn(
         name, (F.col("_off") + F.row_number().over(w) - F.lit(1)).cast("long"))
     return out.drop("_b", "_off")
 
@@ -120,7 +121,7 @@ def global_cumsum(df: DataFrame, order, cols: Sequence[str], *, group: Sequence[
     offsets = _broadcast_offsets(offsets, group)
     w = (Window.partitionBy(*group, "_b").orderBy(*_order_cols(order, ascending))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = b.join(offsets, [*group, "_b"])
+    out = join_null_safe(b, offsets, [*group, "_b"])
     out = out.withColumns({f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(w) for c in cols})
     return out.drop("_b", *[f"_o_{c}" for c in cols])
 
@@ -136,4 +137,4 @@ def avg_rank(df: DataFrame, col: str, *, name: str = "rank", group: Sequence[str
     cum = global_cumsum(counts, [col], ["_tie"], group=group)
     ranks = cum.select(*group, col, (F.col("cum__tie") - (F.col("_tie") - F.lit(1)) / F.lit(2.0))
                        .cast("double").alias(name))
-    return df.join(ranks, [*group, col])
+    return join_null_safe(df, ranks, [*group, col])

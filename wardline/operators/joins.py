@@ -20,6 +20,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,16 +53,37 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df, False
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which NULL keys match each other; the keys appear once."""
+    names = {c: f"_rk_{i}" for i, c in enumerate(on)}
+    r = right.withColumnsRenamed(names)
+    cond = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return left.join(r, reduce(lambda x, y: x & y, cond), how).drop(*names.values())
+
+
+def _time_bounds(anchors: DataFrame, events: DataFrame, anchor_col: str, time_col: str, lo_us: int,
+                 hi_us: int) -> tuple[int, Column | None]:
+    """Anchor count, and the events' time range as a filter that reaches the scan
+    (three numbers from one small aggregate; wall-clock columns only)."""
+    row = anchors.agg(F.count(F.lit(1)), F.min(anchor_col), F.max(anchor_col)).first()
+    ntz = {dict(anchors.dtypes)[anchor_col], dict(events.dtypes)[time_col]} == {"timestamp_ntz"}
+    if not ntz or row[1] is None:
+        return row[0], None
+    low, high = row[1] - timedelta(microseconds=lo_us), row[2] + timedelta(microseconds=hi_us)
+    return row[0], F.col(time_col).between(*[F.lit(str(t)).cast("timestamp_ntz") for t in (low, high)])
+
+
 def window_join(anchors: DataFrame, events: DataFrame, keys, anchor_col: str, time_col: str,
                 hours: float, *, how: str = "left", after_hours: float = 0.0,
                 bucket_hours: int = 24, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                anchor_rows: int | None = None) -> DataFrame:
+                anchor_rows: int | None = None, suffix: str | None = None) -> DataFrame:
     """Interval join: events with ``anchor - hours <= time <= anchor + after_hours``.
 
     ``keys`` is a column name, a list of names, or a mapping anchor-col ->
     event-col.  Output: all anchor columns, then the event columns (event key
     columns dropped).  ``how='left'`` keeps an anchor without events as one
-    row with NULL event columns; ``how='inner'`` drops it.
+    row with NULL event columns; ``how='inner'`` drops it.  Event columns named like
+    an anchor column get ``suffix``; without one they are an error.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -77,6 +99,14 @@ def window_join(anchors: DataFrame, events: DataFrame, keys, anchor_col: str, ti
                              F.floor((F.col("_a_us") + F.lit(hi_us)) / F.lit(bucket_us)))),
     )
     ev_keys = [e for _, e in pairs]
+    clash = [c for c in events.columns if c in anchors.columns and c not in ev_keys]
+    if clash and suffix is None:
+        raise ValueError(f"event columns named like anchor columns: {clash}; drop them or give a suffix")
+    events = events.withColumnsRenamed({c: c + suffix for c in clash})
+    time_col = time_col + suffix if time_col in clash else time_col
+    n_anchor, in_range = _time_bounds(anchors, events, anchor_col, time_col, lo_us, hi_us)
+    if in_range is not None:
+        events = events.where(in_range)
     renamed = {e: f"_ek_{i}" for i, (_, e) in enumerate(pairs)}
     e = events
     for src, dst in renamed.items():
@@ -87,7 +117,7 @@ def window_join(anchors: DataFrame, events: DataFrame, keys, anchor_col: str, ti
     # Size check on the anchors themselves (cheap when they are materialized);
     # the exploded side is at most this many buckets per anchor.
     per_anchor = int((lo_us + hi_us) // bucket_us) + 2
-    n_anchor = anchors.count() if anchor_rows is None else anchor_rows
+    n_anchor = n_anchor if anchor_rows is None else anchor_rows
     a_side, _ = bounded_broadcast(a, broadcast_rows, n_anchor * per_anchor)
     cond = [a_side[ak] == e[renamed[ek]] for ak, ek in pairs]
     cond.append(a_side["_bkt"] == e["_bkt"])
@@ -95,7 +125,7 @@ def window_join(anchors: DataFrame, events: DataFrame, keys, anchor_col: str, ti
     joined = a_side.join(e, reduce(lambda x, y: x & y, cond), "inner")
 
     anchor_cols = list(anchors.columns)
-    event_cols = [c for c in events.columns if c not in ev_keys and c not in anchor_cols]
+    event_cols = [c for c in events.columns if c not in ev_keys]
     inner = joined.select(*[a_side[c] for c in anchor_cols], *[e[c] for c in event_cols])
     if how == "inner":
         return inner

@@ -47,11 +47,12 @@ def match_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42,
     onset hour is not below their length of stay are dropped.
     """
     ctrl = controls.distinct()
-    n_case = cases.select(F.count_distinct(id_col)).scalar()
-    n_ctrl = ctrl.select(F.count_distinct(id_col)).scalar()
+    # Rows are what is indexed, so rows are what is counted.
+    n_case = cases.select(F.count(F.lit(1))).scalar()
+    n_ctrl = ctrl.select(F.count(F.lit(1))).scalar()
     cj = shuffled_index(ctrl, id_col, seed, "_j", hash_digits)
-    cj = cj.withColumn("_i", F.floor(((F.col("_j") + F.lit(1)) * n_case + n_ctrl - F.lit(1)) / n_ctrl)
-                       .cast("long") - F.lit(1))
+    cj = cj.withColumns({"_n": n_case.cast("decimal(19,0)"), "_m": n_ctrl})
+    cj = cj.withColumn("_i", F.expr("((_j + 1) * _n + _m - 1) div _m - 1").cast("long")).drop("_n", "_m")
     ci = global_index(cases.select(F.col(id_col).alias("matched_case_icustay_id"),
                                    F.col(onset_hour_col).alias("control_onset_hour")),
                       ["matched_case_icustay_id"], name="_i")

@@ -174,7 +174,7 @@ def lab_events_before(anchors: DataFrame, events: DataFrame, spec: LabelSpec, *,
     rows whose cleaned value is NULL dropped (so anchors without labs vanish)."""
     ev = _prepare_events(events, spec, item_col, value_col, True, True, None)
     ev = ev.select(*{k: None for k in _event_keys(keys)}, time_col, item_col, value_col)
-    joined = window_join(anchors, ev, keys, anchor_col, time_col, hours, how="left", **join_kw)
+    joined = window_join(anchors, ev, keys, anchor_col, time_col, hours, how="inner", **join_kw)
     item, value = F.col(item_col), F.col(value_col)
     out = joined.select(*[F.col(k) for k in keep], label_items(item, spec.labels).alias("label"),
                         F.col(time_col).alias(out_time),

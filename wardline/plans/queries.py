@@ -59,12 +59,13 @@ def controls_m(tb: Testbed) -> DataFrame:
 
 def series_anchors(tb: Testbed, anchors: DataFrame, anchor_col: str) -> DataFrame:
     """Anchor stays with their subject and admission, checkpointed once per
-    query and shared by the lab and vital extractions."""
+    query and shared by the lab and vital extractions (the anchor column names
+    the arm: onsets are the cases', assigned onsets the matched controls')."""
     def build():
         a = anchors.select("icustay_id", anchor_col).join(
             tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
         return materialize(a)
-    return tb.memo(f"anchors:{id(anchors)}:{anchor_col}", build)
+    return tb.memo(f"anchors:{anchor_col}", build)
 
 
 def lab_series(tb: Testbed, anchors: DataFrame, anchor_col: str, hours: int) -> DataFrame:
@@ -160,7 +161,8 @@ for _kind in ("lab", "vital"):
 
 
 def hourly_lab_spec_test() -> LabelSpec:
-    """Long-form spec: only some fetched items are labelled (as in the original)."""
+    """Long-form spec of the test items, of which some stay unlabelled (the clinical table
+    ``specs.hourly_lab_spec`` labels all of its items)."""
     spec = lab_spec()
     labelled = [(i, lab) for i, lab in spec.labels if i < 1020]
     return LabelSpec(labelled, spec.bounds, [], [i for i, _ in spec.labels if i >= 1020])

@@ -16,6 +16,7 @@ from wardline.plans.queries import (QUERIES, cases_m, cases_of, controls_of, lab
                                     vital_series)
 from wardline.plans.testbed import (DIAGNOSIS_CODES, SEGMENT_DEFAULT, SEGMENT_KEYWORDS, TEST_PANELS,
                                     Testbed)
+from wardline.functions.scalar import recode_contains
 from wardline.session import materialize
 
 LAB_COLS = ["C0", "C1", "C2", "C3", "C4", "V0", "V1", "V2"]
@@ -166,7 +167,7 @@ def model_frame(tb: Testbed) -> DataFrame:
     parts = []
     for st, label in ((case_st, 1), (ctrl_st, 0)):
         f = st.select("gender", "ethnicity", "admission_age", "icustay_id").withColumn("label", F.lit(label))
-        f = X.race_recode(f, "ethnicity", SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
+        f = f.withColumn("ethnicity", recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT))
         parts.append(f)
     both = concat(parts)
     vocab = X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
@@ -184,7 +185,7 @@ def q_model_frame(spark, sf_dir):
 def q_recode_one_hot(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
     c = tb.customer.select("c_custkey", F.col("c_mktsegment").alias("ethnicity"))
-    c = X.race_recode(c, "ethnicity", SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
+    c = c.withColumn("ethnicity", recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT))
     return X.one_hot(c, "ethnicity", X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT), drop=False)
 
 

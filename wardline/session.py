@@ -2,15 +2,12 @@
 
 The library never chooses where a cluster keeps its data: a checkpoint
 directory configured on the cluster (``spark.checkpoint.dir``) is always
-used as is.  Only a session without one (tests, laptops) gets a scratch
-directory of its own.
+used as is.  A session without one keeps intermediates in Spark's own storage.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
@@ -43,8 +40,8 @@ def get_session(master: str | None = None, app: str = "wardline", **conf) -> Spa
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a local one only if unset."""
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint directory, or None where none is configured."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
@@ -55,18 +52,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    # No cluster setting: this is a local/test session.
-    local = tempfile.mkdtemp(prefix="wardline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    return None
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint into the shared checkpoint dir.
+    """Keep a small, reused intermediate: a reliable checkpoint in the shared
+    checkpoint dir, or a persisted frame where no such dir is configured.
 
     Used for small, reused intermediates (anchors, cohorts) so that a lost
     executor does not force recomputation of the whole upstream plan and so
     that later size checks are cheap.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if checkpoint_dir(df.sparkSession):
+        return df.checkpoint(eager=eager)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if eager:
+        kept.count()
+    return kept

@@ -72,7 +72,11 @@ HOURLY_LAB_ITEMS: list[int] = [
 ]
 HOURLY_LAB_LABELS: list[tuple[int, str]] = [
     (50868, "ANION GAP"), (50862, "ALBUMIN"), (50882, "BICARBONATE"), (50885, "BILIRUBIN"),
-    (50912, "CREATININE"), (50806, "CHLORIDE"), (50902, "CHLORIDE"),
+    (50912, "CREATININE"), (50806, "CHLORIDE"), (50902, "CHLORIDE"), (50809, "GLUCOSE"),
+    (50931, "GLUCOSE"), (50810, "HEMATOCRIT"), (51221, "HEMATOCRIT"), (50811, "HEMOGLOBIN"),
+    (51222, "HEMOGLOBIN"), (50813, "LACTATE"), (51265, "PLATELET"), (50822, "POTASSIUM"),
+    (50971, "POTASSIUM"), (51275, "PTT"), (51237, "INR"), (51274, "PT"), (50824, "SODIUM"),
+    (50983, "SODIUM"), (51006, "BUN"), (51300, "WBC"), (51301, "WBC"), (51144, "BANDS"),
 ]
 HOURLY_LAB_BOUNDS: list[tuple[int, float | None, float | None]] = [
     (50862, None, 10), (50868, None, 10000), (50882, None, 10000), (50885, None, 150),
