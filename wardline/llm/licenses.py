@@ -68,10 +68,10 @@ class Matcher:
 
     def __call__(self, block: str) -> tuple[str, int, float] | None:
         """(license, differing words, size reduction) of a block, or None."""
-        words = wording(block)
         best = None
-        # A short notice inside a long line hardly changes the line's size: judge windows of the line.
-        for raw in self._windows(block):
+        # A short notice inside a long line hardly changes the line's size: judge windows around the cues.
+        for part in self._windows(block):
+            raw, words = part.encode(), wording(part)
             size = len(self.alone.compress(raw))
             ranks = sorted(((len(c.compress(raw)) / size, k) for k, (_, _, c) in enumerate(self.templates)))[: self.ranked]
             for rest, k in ranks:
@@ -84,12 +84,12 @@ class Matcher:
         return best and (best[1], best[0][0], 1 - best[0][1])
 
     @staticmethod
-    def _windows(block: str, width: int = 400) -> list[bytes]:
-        if len(block) <= 2 * width:
-            return [block.encode()]
+    def _windows(block: str, width: int = 150) -> list[str]:
+        if len(block) <= 4 * width:
+            return [block]
         low = block.lower()
         at = sorted({m.start() // width for cue in CUES for m in re.finditer(re.escape(cue), low)})
-        return [block[max(0, (k - 1) * width):(k + 2) * width].encode() for k in at]
+        return [block[max(0, (k - 1) * width):(k + 2) * width] for k in at]
 
 
 def differences(wanted: list[str], words: list[str]) -> int:
