@@ -144,7 +144,7 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.col("s.closes").alias("place"), F.col("r.id").alias("id"), F.col("r.text").alias("text"))
              .dropDuplicates(["place"]).withColumn("last", F.lit(True)))
     dealt = (rows.select("place", "id", "text").withColumn("last", F.lit(False)).unionByName(extra)
-             .repartition(max(len(found), 1), "place")
+             .repartitionById(len(cuts) + 2, F.col("place").cast("int"))  # one range per partition
              .sortWithinPartitions("place", "last", F.col("id").desc_nulls_last(), F.xxhash64("text").desc()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
