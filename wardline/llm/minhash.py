@@ -166,12 +166,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     sets = stage_table(item_sets(docs.join(met.select("uid").distinct(), "uid")
                                  .select(F.col("uid").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), size), "sets")
 
-    # Rounds of stars: one class of each bucket, another in every bucket and round, is
-    # compared with those that it is not connected to yet.
+    # Rounds of stars.  First every class is compared with one other, the smallest that is first in
+    # one of its buckets; then one class of each bucket, another in every bucket and
+    # round, with those that it is not connected to yet.
     links, open_ = None, met.withColumn("component", F.col("uid"))
-    for turn in range(most_rounds):
-        w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "key", "uid"))
+    for turn in range(most_rounds + 1):
+        w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "key", "uid") if turn else F.col("uid"))
         star = open_.select("*", *[F.first(c).over(w).alias(f"head_{c}") for c in ("uid", "n_items", "component")])
+        if not turn:
+            star = (star.groupBy("uid", "n_items", "component")
+                    .agg(F.min(F.struct("head_uid", "head_n_items", "head_component")).alias("head")).select("uid", "n_items", "component", "head.*"))
         found = _verified(star.filter("component != head_component"), "head_", sets, threshold)
         links = found if links is None else links.union(found)
         group = components(links)
