@@ -91,88 +91,81 @@ FROM ev WHERE event_type IN ('purchase', 'view')""", ["ev"])
 
 # ---------------------------------------------------------------------------
 # cohort
-_cte("cohort", """
-SELECT hadm_id, icustay_id, intime, outtime,
-       CASE WHEN age > 89 THEN 91.4 ELSE age END AS age,
-       gender, ethnicity, first_service, dbsource,
-       suspected_of_infection_poe, suspected_infection_time_poe, suspected_infection_time_poe_days,
-       specimen_poe, positiveculture_poe, antibiotic_time_poe,
-       CASE WHEN rn = 1 THEN 0 ELSE 1 END AS exclusion_secondarystay,
-       CASE WHEN age <= 14 THEN 1 ELSE 0 END AS exclusion_nonadult,
-       CASE WHEN first_service IN ('CSURG', 'TSURG') THEN 1 ELSE 0 END AS exclusion_csurg,
-       CASE WHEN dbsource != 'metavision' THEN 1 ELSE 0 END AS exclusion_carevue,
-       CASE WHEN suspected_infection_time_poe IS NOT NULL
-             AND suspected_infection_time_poe < intime - INTERVAL 1 DAY THEN 1 ELSE 0 END AS exclusion_early_suspicion,
-       CASE WHEN suspected_infection_time_poe IS NOT NULL
-             AND suspected_infection_time_poe > intime + INTERVAL 1 DAY THEN 1 ELSE 0 END AS exclusion_late_suspicion,
-       CASE WHEN suspected_infection_time_poe IS NOT NULL
-             AND suspected_infection_time_poe < intime + INTERVAL 4 HOUR THEN 1 ELSE 0 END AS exclusion_suspicion_before_4_hours,
-       CASE WHEN has_chartevents_data = 0 THEN 1 WHEN intime IS NULL THEN 1
-            WHEN outtime IS NULL THEN 1 ELSE 0 END AS exclusion_bad_data,
-       CASE WHEN age <= 14 OR has_chartevents_data = 0 OR intime IS NULL OR outtime IS NULL
-              OR dbsource != 'metavision'
-              OR (suspected_infection_time_poe IS NOT NULL
-                  AND suspected_infection_time_poe < intime + INTERVAL 4 HOUR)
-            THEN 1 ELSE 0 END AS excluded
-FROM (
-  SELECT ie.icustay_id, ie.hadm_id, ie.intime, ie.outtime,
-         round(date_diff('day', pat.dob, adm.admittime) / 365.242, 4) AS age,
-         pat.gender, adm.ethnicity, ie.dbsource,
-         row_number() OVER (PARTITION BY ie.subject_id ORDER BY ie.intime NULLS FIRST, ie.icustay_id) AS rn,
-         s.curr_service AS first_service, adm.has_chartevents_data,
-         CASE WHEN sp.suspected_infection_time IS NOT NULL THEN 1 ELSE 0 END AS suspected_of_infection_poe,
-         sp.suspected_infection_time AS suspected_infection_time_poe,
-         CAST(date_diff('second', sp.suspected_infection_time, ie.intime) AS DOUBLE) / 86400.0
-           AS suspected_infection_time_poe_days,
-         sp.specimen AS specimen_poe, sp.positiveculture AS positiveculture_poe,
-         sp.antibiotic_time AS antibiotic_time_poe
-  FROM icustays ie
-  JOIN admissions adm ON ie.hadm_id = adm.hadm_id
-  JOIN patients pat ON ie.subject_id = pat.subject_id
-  LEFT JOIN (SELECT hadm_id, curr_service,
-                    row_number() OVER (PARTITION BY hadm_id ORDER BY transfertime, curr_service) AS rn
-             FROM services) s ON ie.hadm_id = s.hadm_id AND s.rn = 1
-  LEFT JOIN suspicion sp ON ie.icustay_id = sp.icustay_id
-) t1""", ["icustays", "admissions", "patients", "services", "suspicion"])
-
-_cte("sofa_delta", """
-SELECT icustay_id, suspected_infection_time, sepsis_onset, sofa_24hours, row_id
-FROM (SELECT *, row_number() OVER (PARTITION BY icustay_id ORDER BY sepsis_onset, sofa_24hours) AS row_id
-      FROM (SELECT ps.icustay_id, sp.suspected_infection_time, ps.endtime AS sepsis_onset, ps.sofa_24hours
-            FROM scores ps JOIN suspicion sp ON ps.icustay_id = sp.icustay_id
-            WHERE sp.suspected_infection_time IS NOT NULL
-              AND date_diff('hour', sp.suspected_infection_time, ps.starttime) BETWEEN -48 AND 24
-              AND ps.sofa_24hours >= 2) step3) step4
-WHERE row_id = 1""", ["scores", "suspicion"])
+_cte("opening_service", """
+SELECT hadm_id, min({'t': transfertime, 's': curr_service}).s AS first_service FROM services GROUP BY hadm_id""",
+     ["services"])
+
+_cte("aged_stay", """
+SELECT i.icustay_id, hadm_id, subject_id, i.intime, i.outtime, i.dbsource, a.ethnicity, p.gender,
+       a.has_chartevents_data = 0 AS no_chart, round(date_diff('day', p.dob, a.admittime) / 365.242, 4) AS years
+FROM icustays i
+JOIN (SELECT hadm_id, admittime, ethnicity, has_chartevents_data FROM admissions) a USING (hadm_id)
+JOIN (SELECT subject_id, dob, gender FROM patients) p USING (subject_id)""", ["icustays", "admissions", "patients"])
+
+_cte("earliest_stay", """
+SELECT min({'t': intime, 'id': icustay_id}).id AS icustay_id FROM aged_stay GROUP BY subject_id""", ["aged_stay"])
+
+_cte("suspected", """
+SELECT icustay_id, suspected_infection_time AS susp_time, specimen, positiveculture, antibiotic_time
+FROM suspicion WHERE suspected_infection_time IS NOT NULL""", ["suspicion"])
+
+
+def _flag(cond: str) -> str:
+    """0/1 of a condition, unknown counting as 0."""
+    return f"coalesce(CAST(({cond}) AS INTEGER), 0)"
+
+
+_FLAGS = {
+    "exclusion_secondarystay": "icustay_id NOT IN (SELECT icustay_id FROM earliest_stay)",
+    "exclusion_nonadult": "years <= 14",
+    "exclusion_csurg": "first_service IN ('CSURG', 'TSURG')",
+    "exclusion_carevue": "dbsource <> 'metavision'",
+    "exclusion_early_suspicion": "susp_time + INTERVAL 1 DAY < intime",
+    "exclusion_late_suspicion": "susp_time - INTERVAL 1 DAY > intime",
+    "exclusion_suspicion_before_4_hours": "susp_time - INTERVAL 4 HOUR < intime",
+    "exclusion_bad_data": "no_chart OR intime IS NULL OR outtime IS NULL",
+}
+_ANY = ("exclusion_nonadult", "exclusion_carevue", "exclusion_suspicion_before_4_hours", "exclusion_bad_data")
+_cte("cohort", f"""
+SELECT *, greatest({", ".join(_ANY)}) AS excluded
+FROM (SELECT hadm_id, icustay_id, intime, outtime, if(years > 89, 91.4::DOUBLE, years) AS age, gender, ethnicity,
+             first_service, dbsource, CAST(susp_time IS NOT NULL AS INTEGER) AS suspected_of_infection_poe,
+             susp_time AS suspected_infection_time_poe,
+             CAST(date_diff('second', susp_time, intime) AS DOUBLE) / 86400.0 AS suspected_infection_time_poe_days,
+             specimen AS specimen_poe, positiveculture AS positiveculture_poe, antibiotic_time AS antibiotic_time_poe,
+             {", ".join(f"{_flag(c)} AS {n}" for n, c in _FLAGS.items())}
+      FROM aged_stay LEFT JOIN opening_service USING (hadm_id) LEFT JOIN suspected USING (icustay_id))""",
+     ["aged_stay", "opening_service", "suspected", "earliest_stay"])
+
+_cte("onset", """
+SELECT icustay_id, susp_time AS suspected_infection_time, best.t AS sepsis_onset, best.s AS sofa_24hours,
+       CAST(1 AS BIGINT) AS row_id
+FROM (SELECT icustay_id, susp_time, min({'t': endtime, 's': sofa_24hours}) AS best
+      FROM (SELECT * FROM scores WHERE sofa_24hours >= 2) JOIN suspected USING (icustay_id)
+      WHERE date_diff('hour', susp_time, starttime) BETWEEN -48 AND 24
+      GROUP BY icustay_id, susp_time)""", ["scores", "suspected"])
+
+# stays with clean data: what both arms ask for
+_cte("usable_stay", """
+SELECT c.icustay_id, c.hadm_id, c.intime, c.outtime, s.subject_id, c.suspected_of_infection_poe,
+       CAST(date_diff('second', c.intime, c.outtime) AS DOUBLE) / 3600.0 AS length_of_stay
+FROM (SELECT * FROM cohort WHERE age > 16 AND dbsource = 'metavision' AND intime IS NOT NULL AND outtime IS NOT NULL) c
+JOIN (SELECT icustay_id, subject_id FROM icustays) s USING (icustay_id)
+WHERE c.hadm_id IN (SELECT hadm_id FROM admissions WHERE has_chartevents_data <> 0)""",
+     ["cohort", "icustays", "admissions"])
 
 _cte("cases", """
-SELECT sd.icustay_id, c.intime, c.outtime,
-       CAST(date_diff('second', c.intime, c.outtime) AS DOUBLE) / 3600.0 AS length_of_stay,
-       sd.sepsis_onset,
-       CAST(date_diff('second', c.intime, sd.sepsis_onset) AS DOUBLE) / 86400.0 AS sepsis_onset_day,
-       CAST(date_diff('second', c.intime, sd.sepsis_onset) AS DOUBLE) / 3600.0 AS sepsis_onset_hour,
-       icu.subject_id
-FROM sofa_delta sd
-JOIN cohort c ON sd.icustay_id = c.icustay_id
-JOIN admissions adm ON c.hadm_id = adm.hadm_id
-JOIN icustays icu ON c.icustay_id = icu.icustay_id
-WHERE NOT (c.age <= 16 OR adm.has_chartevents_data = 0 OR c.intime IS NULL OR c.outtime IS NULL
-           OR c.dbsource != 'metavision' OR c.suspected_of_infection_poe = 0
-           OR sd.sepsis_onset > c.outtime OR sd.sepsis_onset < c.intime)""",
-     ["sofa_delta", "cohort", "admissions", "icustays"])
+SELECT icustay_id, intime, outtime, length_of_stay, sepsis_onset, seconds / 86400.0 AS sepsis_onset_day,
+       seconds / 3600.0 AS sepsis_onset_hour, subject_id
+FROM (SELECT *, CAST(date_diff('second', intime, sepsis_onset) AS DOUBLE) AS seconds
+      FROM usable_stay JOIN (SELECT icustay_id, sepsis_onset FROM onset) USING (icustay_id)
+      WHERE suspected_of_infection_poe = 1 AND sepsis_onset BETWEEN intime AND outtime)""", ["usable_stay", "onset"])
 
 _cte("controls", """
-SELECT c.icustay_id, c.hadm_id, c.intime, c.outtime,
-       CAST(date_diff('second', c.intime, c.outtime) AS DOUBLE) / 3600.0 AS length_of_stay,
-       sd.sepsis_onset, icu.subject_id
-FROM cohort c
-LEFT JOIN sofa_delta sd ON c.icustay_id = sd.icustay_id
-JOIN admissions adm ON c.hadm_id = adm.hadm_id
-JOIN icustays icu ON c.icustay_id = icu.icustay_id
-WHERE c.hadm_id NOT IN (SELECT DISTINCT hadm_id FROM diagnoses WHERE icd9_code IN ('1-URGENT'))
-  AND NOT (c.age <= 16 OR adm.has_chartevents_data = 0 OR c.intime IS NULL OR c.outtime IS NULL
-           OR c.dbsource != 'metavision' OR sd.sepsis_onset IS NOT NULL)""",
-     ["cohort", "sofa_delta", "admissions", "icustays", "diagnoses"])
+SELECT icustay_id, hadm_id, intime, outtime, length_of_stay, CAST(NULL AS TIMESTAMP) AS sepsis_onset, subject_id
+FROM usable_stay
+WHERE hadm_id NOT IN (SELECT hadm_id FROM diagnoses WHERE icd9_code = '1-URGENT')
+  AND icustay_id NOT IN (SELECT icustay_id FROM onset)""", ["usable_stay", "onset", "diagnoses"])
 
 # ---------------------------------------------------------------------------
 # measurement specs of the synthetic items (see testbed.lab_spec / vital_spec)
@@ -197,41 +190,30 @@ VIT_VALUE = "CASE WHEN itemid BETWEEN 3000 AND 3009 THEN (valuenum - 32) / 1.8 E
 VIT_COLS = [(1, "HeartRate"), (7, "SpO2"), (6, "TempC"), (13, "SVV"), (24, "FiO2")]
 
 
-def lab_series_sql(anchor_table: str, anchor_col: str, hours: int) -> str:
-    cols = ",\n  ".join(f"CAST(CASE WHEN label = '{c}' THEN valuenum END AS DOUBLE) AS {c}" for c in LAB_COLS)
+def _series_sql(anchor_table: str, anchor_col: str, hours: int, join: str, measured: str, on: str,
+                cols: dict[str, str]) -> str:
+    """One wide row per measurement in the hours up to each stay's anchor time."""
+    values = ", ".join(f"CAST(if(m.kind = {kind}, m.amount, NULL) AS DOUBLE) AS {name}" for name, kind in cols.items())
     return f"""
-SELECT icustay_id, subject_id, chart_time,
-  {cols}
-FROM (
-  SELECT a.icustay_id, a.subject_id, le.charttime AS chart_time,
-         {LAB_LABEL.replace('itemid', 'le.itemid')} AS label,
-         {LAB_VALUE.replace('itemid', 'le.itemid').replace('valuenum', 'le.valuenum')} AS valuenum
-  FROM (SELECT ch.icustay_id, ie.subject_id, ie.hadm_id, ch.{anchor_col} AS anchor
-        FROM {anchor_table} ch LEFT JOIN icustays ie ON ch.icustay_id = ie.icustay_id) a
-  LEFT JOIN labevents le
-    ON le.subject_id = a.subject_id AND le.hadm_id = a.hadm_id
-   AND le.charttime BETWEEN a.anchor - INTERVAL {hours} HOUR AND a.anchor
-   AND {LAB_ITEMS.replace('itemid', 'le.itemid')}
-   AND le.valuenum IS NOT NULL AND le.valuenum > 0
-) pvt"""
+SELECT w.icustay_id, w.subject_id, m.taken AS chart_time, {values}
+FROM (SELECT {anchor_table}.icustay_id, i.subject_id, i.hadm_id, {anchor_col} AS until,
+             {anchor_col} - INTERVAL {hours} HOUR AS since
+      FROM {anchor_table} LEFT JOIN icustays i USING (icustay_id)) w
+{join} ({measured}) m ON {on} AND m.taken >= w.since AND m.taken <= w.until"""
+
+
+def lab_series_sql(anchor_table: str, anchor_col: str, hours: int) -> str:
+    measured = (f"SELECT subject_id, hadm_id, charttime AS taken, {LAB_LABEL} AS kind, {LAB_VALUE} AS amount "
+                f"FROM labevents WHERE {LAB_ITEMS} AND valuenum > 0")
+    return _series_sql(anchor_table, anchor_col, hours, "LEFT JOIN", measured,
+                       "m.hadm_id = w.hadm_id AND m.subject_id = w.subject_id", {c: f"'{c}'" for c in LAB_COLS})
 
 
 def vital_series_sql(anchor_table: str, anchor_col: str, hours: int) -> str:
-    cols = ",\n  ".join(f"CAST(CASE WHEN vital_id = {i} THEN valuenum END AS DOUBLE) AS {n}" for i, n in VIT_COLS)
-    return f"""
-SELECT icustay_id, subject_id, chart_time,
-  {cols}
-FROM (
-  SELECT ch.icustay_id, ie.subject_id,
-         {VIT_ID.replace('itemid', 'ce.itemid').replace('valuenum', 'ce.valuenum')} AS vital_id,
-         {VIT_VALUE.replace('itemid', 'ce.itemid').replace('valuenum', 'ce.valuenum')} AS valuenum,
-         ce.charttime AS chart_time
-  FROM {anchor_table} ch
-  LEFT JOIN icustays ie ON ch.icustay_id = ie.icustay_id
-  LEFT JOIN chartevents ce ON ch.icustay_id = ce.icustay_id
-   AND ce.charttime BETWEEN ch.{anchor_col} - INTERVAL {hours} HOUR AND ch.{anchor_col}
-  WHERE ce.error = 0 AND {VIT_ITEMS.replace('itemid', 'ce.itemid')}
-) pvt"""
+    measured = (f"SELECT icustay_id, charttime AS taken, {VIT_ID} AS kind, {VIT_VALUE} AS amount "
+                f"FROM chartevents WHERE error = 0 AND {VIT_ITEMS}")
+    return _series_sql(anchor_table, anchor_col, hours, "JOIN", measured, "m.icustay_id = w.icustay_id",
+                       {n: str(i) for i, n in VIT_COLS})
 
 
 # ---------------------------------------------------------------------------
@@ -269,13 +251,13 @@ def sql(name: str) -> str:
 
 
 register("base_cohort", "SELECT * FROM cohort", ["cohort"])
-register("detect_onset", "SELECT * FROM sofa_delta", ["sofa_delta"])
+register("detect_onset", "SELECT * FROM onset", ["onset"])
 register("build_cases", "SELECT * FROM cases", ["cases"])
 register("build_controls", "SELECT * FROM controls", ["controls"])
-register("lab_series_case_48h", lab_series_sql("cases", "sepsis_onset", 48), ["cases", "labevents"])
-register("lab_series_case_96h", lab_series_sql("cases", "sepsis_onset", 96), ["cases", "labevents"])
-register("vital_series_case_48h", vital_series_sql("cases", "sepsis_onset", 48), ["cases", "chartevents"])
-register("vital_series_case_96h", vital_series_sql("cases", "sepsis_onset", 96), ["cases", "chartevents"])
+register("lab_series_case_48h", lab_series_sql("cases", "sepsis_onset", 48), ["cases", "labevents", "icustays"])
+register("lab_series_case_96h", lab_series_sql("cases", "sepsis_onset", 96), ["cases", "labevents", "icustays"])
+register("vital_series_case_48h", vital_series_sql("cases", "sepsis_onset", 48), ["cases", "chartevents", "icustays"])
+register("vital_series_case_96h", vital_series_sql("cases", "sepsis_onset", 96), ["cases", "chartevents", "icustays"])
 
 
 def oracle_sql() -> dict[str, str]:
@@ -378,40 +360,32 @@ FROM ({_panel_union}) s
 # ---------------------------------------------------------------------------
 # static features, demographics
 _cte("static", """
-SELECT ie.subject_id, ie.hadm_id, ie.icustay_id, pat.gender, adm.admittime,
-       CAST(round(CAST(CAST(date_diff('second', pat.dob, adm.admittime) AS DOUBLE) / 31556908.8
-                       AS DECIMAL(38, 9)), 4) AS DOUBLE) AS admission_age,
-       adm.ethnicity, adm.admission_type, adm.admission_location, ie.first_careunit,
-       dense_rank() OVER (PARTITION BY adm.subject_id ORDER BY adm.admittime NULLS FIRST) AS hospstay_seq,
-       CASE WHEN dense_rank() OVER (PARTITION BY adm.subject_id ORDER BY adm.admittime NULLS FIRST) = 1
-            THEN 1 ELSE 0 END AS first_hosp_stay,
-       ie.intime, ie.outtime,
-       dense_rank() OVER (PARTITION BY ie.hadm_id ORDER BY ie.intime NULLS FIRST) AS icustay_seq,
-       CASE WHEN dense_rank() OVER (PARTITION BY ie.hadm_id ORDER BY ie.intime NULLS FIRST) = 1
-            THEN 1 ELSE 0 END AS first_icu_stay
-FROM icustays ie
-JOIN admissions adm ON ie.hadm_id = adm.hadm_id
-JOIN patients pat ON ie.subject_id = pat.subject_id
-WHERE adm.has_chartevents_data = 1""", ["icustays", "admissions", "patients"])
+SELECT subject_id, hadm_id, icustay_id, gender, admittime, CAST(round(years, 4) AS DOUBLE) AS admission_age,
+       ethnicity, admission_type, admission_location, first_careunit,
+       nth_admission AS hospstay_seq, CAST(nth_admission = 1 AS INTEGER) AS first_hosp_stay, intime, outtime,
+       nth_stay AS icustay_seq, CAST(nth_stay = 1 AS INTEGER) AS first_icu_stay
+FROM (SELECT s.*, p.gender, h.admittime, h.ethnicity, h.admission_type, h.admission_location,
+             CAST(CAST(date_diff('second', p.dob, h.admittime) AS DOUBLE) / 31556908.8 AS DECIMAL(38, 9)) AS years,
+             dense_rank() OVER by_patient AS nth_admission, dense_rank() OVER by_admission AS nth_stay
+      FROM (SELECT * FROM admissions WHERE has_chartevents_data = 1) h
+      JOIN icustays s ON s.hadm_id = h.hadm_id
+      JOIN (SELECT subject_id, gender, dob FROM patients) p ON p.subject_id = s.subject_id
+      WINDOW by_patient AS (PARTITION BY h.subject_id ORDER BY h.admittime NULLS FIRST),
+             by_admission AS (PARTITION BY s.hadm_id ORDER BY s.intime NULLS FIRST))""",
+     ["icustays", "admissions", "patients"])
 register("static_features", "SELECT * FROM static", ["static"])
 
 
 def _demographics_sql(with_dx: bool) -> str:
-    pat = ("JOIN dx b ON a.subject_id = b.subject_id" if with_dx
-           else "LEFT JOIN dx b ON a.subject_id = b.subject_id WHERE b.subject_id IS NULL")
     return f"""
-SELECT *, date_diff('year', dob, admit_time) AS age_admit, date_diff('year', dob, dod) AS age_death
-FROM (
-  SELECT DISTINCT a.subject_id, gender, dob, dod, ethnicity, marital_status, insurance, los, admit_time
-  FROM (SELECT DISTINCT a.subject_id, dob, dod, gender FROM patients a {pat}) a
-  JOIN (SELECT f.*, l.los
-        FROM (SELECT DISTINCT subject_id, ethnicity, marital_status, insurance,
-                     min(admittime) OVER (PARTITION BY subject_id) AS admit_time FROM admissions) f
-        JOIN (SELECT DISTINCT subject_id,
-                     CAST(sum(date_diff('day', admittime, dischtime)) OVER (PARTITION BY subject_id) AS BIGINT) AS los
-              FROM admissions) l ON f.subject_id = l.subject_id) b
-    ON a.subject_id = b.subject_id
-) d"""
+SELECT subject_id, gender, dob, dod, ethnicity, marital_status, insurance, los, admit_time,
+       date_diff('year', dob, admit_time) AS age_admit, date_diff('year', dob, dod) AS age_death
+FROM (SELECT DISTINCT subject_id, gender, dob, dod FROM patients
+      WHERE subject_id {"IN" if with_dx else "NOT IN"} (SELECT subject_id FROM dx))
+JOIN (SELECT subject_id, min(admittime) AS admit_time,
+             CAST(sum(date_diff('day', admittime, dischtime)) AS BIGINT) AS los
+      FROM admissions GROUP BY subject_id) USING (subject_id)
+JOIN (SELECT DISTINCT subject_id, ethnicity, marital_status, insurance FROM admissions) USING (subject_id)"""
 
 
 _cte("dx", "SELECT DISTINCT subject_id FROM diagnoses WHERE icd9_code IN ('1-URGENT')", ["diagnoses"])
