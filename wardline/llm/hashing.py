@@ -7,6 +7,7 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = 0xD6E8FEB86659FD93
+_PART = 1 << 18
 _pow: np.ndarray = np.ones(1, np.uint64)
 _inv: np.ndarray = np.ones(1, np.uint64)
 _chars: dict[int, np.ndarray] = {}
@@ -58,7 +59,20 @@ def words(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray | None = Non
     ``is_word`` marks) within a segment [offsets[i], offsets[i+1])."""
     mark = ~SPACE[buf] if is_word is None else is_word[buf]
     start, end = runs(mark, offsets)
-    return spans(prefix(buf, family), start, end), np.searchsorted(offsets, start, "right") - 1
+    return _word_hashes(buf, start, end, family), np.searchsorted(offsets, start, "right") - 1
+
+
+def _word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, family: int) -> np.ndarray:
+    """Hashes of the words [start, end), taken from running sums over ``_PART`` bytes or one
+    word at a time, so that a very long text needs no 8-byte arrays of its length."""
+    out = np.zeros(len(start), np.uint64)
+    k = 0
+    while k < len(start):
+        until = max(int(np.searchsorted(end, start[k] + _PART, "right")), k + 1)
+        at = start[k]
+        out[k:until] = spans(prefix(buf[at:end[until - 1]], family), start[k:until] - at, end[k:until] - at)
+        k = until
+    return out
 
 
 def runs(mark: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
