@@ -153,16 +153,16 @@ def _line_sets(docs: DataFrame, at: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in pieces(batches):
-            h, seg, row, line = line_tokens(p, size)
-            h, seg, _ = sorted_sets(h, seg)
-            off = np.searchsorted(seg, np.arange(len(row) + 1))
-            begin = np.searchsorted(row, np.arange(p.num_rows + 1))
-            wanted = [begin[k] + np.array(x) for k, x in enumerate(p.column("lines").to_pylist())]
-            pick = np.concatenate([np.zeros(0, np.int64), *wanted])
-            rows = [h[off[k]:off[k + 1]] for k in pick]
-            items = np.concatenate([np.zeros(0, np.uint64), *rows])
-            key = pa.StructArray.from_arrays([pa.array(p.column("uid").to_numpy()[row[pick]]), pa.array(line[pick])], ["uid", "line"])
-            yield pa.RecordBatch.from_arrays([key, binary_rows(items, np.cumsum([0, *map(len, rows)]))], ["key", "items"])
+            uid, line, parts = [], [], []
+            for u, text, lines in zip(p.column("uid").to_pylist(), p.column("text").to_pylist(), p.column("lines").to_pylist(), strict=True):
+                all_ = text.encode().split(b"\n")
+                uid += [u] * len(lines)
+                line += lines
+                parts += [all_[k] for k in lines]
+            ends = np.cumsum([0, *map(len, parts)])
+            h, seg, _ = sorted_sets(*shingles(*words(np.frombuffer(b"".join(parts), np.uint8), ends), size))
+            key = pa.StructArray.from_arrays([pa.array(uid, pa.int64()), pa.array(line, pa.int64())], ["uid", "line"])
+            yield pa.RecordBatch.from_arrays([key, binary_rows(h, np.searchsorted(seg, np.arange(len(uid) + 1)))], ["key", "items"])
 
     lines = at.groupBy("uid").agg(F.collect_set("line").alias("lines"))  # lines of one document
     return (docs.select("uid", "text").join(lines, "uid").select("uid", "text", "lines")
@@ -182,16 +182,20 @@ def duplicate_lines(docs: DataFrame, threshold: float = 0.8, size: int = 5, buck
     """(uid, line) of the lines to remove.  ``docs`` has (uid, text) without nulls."""
     counts = rarity(docs, size, buckets)
     lines = stage_table(line_classes(docs, counts, size, threshold), "lines")
-    first = stage_table(lines.groupBy("c1", "c2").agg(F.min(F.struct("uid", "line")).alias("at"), F.count(F.lit(1)).alias("copies")), "first")
+    # (uid, line) as one number, whose minimum needs no sort as that of a struct does.
+    at = F.col("uid").cast("decimal(20,0)") * F.lit(1 << 32) + F.col("line")
+    first = lines.groupBy("c1", "c2").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("copies"))
+    line = F.pmod("at", F.lit(1 << 32))
+    first = stage_table(first.select("c1", "c2", F.struct(
+        ((F.col("at") - line) / F.lit(1 << 32)).cast("long").alias("uid"), line.cast("long").alias("line")).alias("at"), "copies"), "first")
 
     # One row per token and class; c1 alone names the class here, and the join below tells
     # classes with an equal c1 apart again.
     tokens = lines.select("c1", "n", F.posexplode("prefix").alias("place", "token")).select(
         "token", "c1", (F.col("n") * F.lit(1 << 32) + F.col("place")).alias("size"))
-    w = Window.partitionBy("token").orderBy("c1")
-    tokens = tokens.withColumn("p", F.lag("c1").over(w)).filter(F.col("p").isNull() | (F.col("p") != F.col("c1")))
-    tokens = tokens.withColumns({"p": F.lag("c1").over(w), "q": F.lead("c1").over(w)}).filter(
-        F.col("p").isNotNull() | F.col("q").isNotNull())
+    w = Window.partitionBy("token")
+    tokens = (tokens.withColumns({"low": F.min("c1").over(w), "high": F.max("c1").over(w)}).filter("low < high")
+              .groupBy("token", "c1").agg(F.min("size").alias("size")))
     tokens = stage_table(tokens.select("token", "c1", F.shiftright("size", 32).alias("n"), F.col("size").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place")), "tokens")
     w = Window.partitionBy("token").orderBy("at")
     tokens = stage_table(
@@ -226,10 +230,9 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, size: int = 5, buckets:
         for p in pieces(batches):
             out, n, r = [], [], []
             for text, lines in zip(p.column("text").to_pylist(), p.column("lines").to_pylist(), strict=True):
-                all_ = text.split("\n")
                 drop = set(lines or ())
-                out.append(text if not drop else "\n".join(x for k, x in enumerate(all_) if k not in drop))
-                n.append(len(all_))
+                out.append(text if not drop else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop))
+                n.append(text.count("\n") + 1)
                 r.append(len(drop))
             yield pa.RecordBatch.from_arrays([*p.columns[:-2], pa.array(out, pa.string()), pa.array(n, pa.int64()), pa.array(r, pa.int64())],
                                              [*p.schema.names[:-2], "text", "n_lines", "n_removed"])
