@@ -189,9 +189,8 @@ def summary_categorical(df: DataFrame, cats: Sequence[str], by: str, *, overall:
         w = Window.partitionBy("variable", "grp")
         both = both.withColumn("pct", (F.col("n") * F.lit(100.0) / F.sum("n").over(w)).cast("double"))
         if limit is not None:
-            rank = (tot.withColumn("_r", F.row_number().over(
-                Window.partitionBy("variable").orderBy(F.col("n").desc(), F.col("level"))))
-                .where(F.col("_r") <= limit).select("variable", "level"))
+            # A top-k report: each task keeps ``limit`` levels, which are merged.
+            rank = tot.orderBy(F.col("n").desc(), F.col("level")).limit(limit).select("variable", "level")
             both = both.join(rank, ["variable", "level"], "left_semi")
         out = both if out is None else out.unionByName(both)
     return out.select("variable", "level", "grp", F.col("n").cast("long").alias("n"), "pct")
@@ -216,29 +215,38 @@ def chi2_stat(df: DataFrame, col: str, by: str, *, yates: bool = True) -> DataFr
 
     One row: variable, statistic, dof.  With one degree of freedom the Yates
     continuity correction is applied (never larger than |O - E|), as the
-    usual scientific-python routine does.  The contingency table (levels x
-    groups, small) is built by one aggregate and densified with
-    pivot/unpivot so that empty cells count.
+    usual scientific-python routine does.  Row and column totals are
+    aggregates joined back to the observed cells.  Empty cells need no row of
+    their own: their expected counts add up to what the observed cells lack of
+    the total.  No rows at all give a NULL statistic and NULL dof.
     """
     base = df.where(F.col(col).isNotNull() & F.col(by).isNotNull()).select(
         F.col(col).cast("string").alias("_lvl"), F.col(by).cast("string").alias("_grp"))
     obs = base.groupBy("_lvl", "_grp").agg(F.count(F.lit(1)).alias("o"))
-    wide = obs.groupBy("_lvl").pivot("_grp").agg(F.first("o"))
-    grp_cols = [c for c in wide.columns if c != "_lvl"]
-    grid = wide.unpivot(["_lvl"], grp_cols, "_grp", "o").fillna(0, ["o"])
-    w_r, w_c, w_all = Window.partitionBy("_lvl"), Window.partitionBy("_grp"), Window.partitionBy()
-    g = grid.withColumns({"rt": F.sum("o").over(w_r), "ct": F.sum("o").over(w_c),
-                          "nt": F.sum("o").over(w_all),
-                          "dof": ((F.size(F.collect_set("_lvl").over(w_all)) - 1)
-                                  * (F.size(F.collect_set("_grp").over(w_all)) - 1)).cast("long")})
-    g = g.withColumn("e", F.col("rt").cast("double") * F.col("ct") / F.col("nt"))
-    o = F.col("o").cast("double")
+    rows = obs.groupBy("_lvl").agg(F.sum("o").cast("double").alias("rt"))
+    cols = obs.groupBy("_grp").agg(F.sum("o").cast("double").alias("ct"))
+    n = F.col("_all.n")
+    whole = rows.agg(F.struct(F.sum("rt").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    groups = cols.agg(F.count(F.lit(1))).scalar()
+    cells = obs.join(rows, "_lvl").join(cols, "_grp").withColumn("_all", whole)
+    e, o = F.col("rt") * F.col("ct") / n, F.col("o").cast("double")
+    diff = F.abs(o - e)
+    sums = cells.agg(F.sum(diff * diff / e).alias("seen"), F.sum(e).alias("expected"),
+                     F.min(diff).alias("diff"), F.max(n).alias("n"), F.max("_all.k").alias("levels"))
+    dof = ((F.col("levels") - F.lit(1)) * (groups - F.lit(1))).cast("long")
+    return _chi2_of(sums.withColumn("dof", dof), col, yates)
+
+
+def _chi2_of(sums: DataFrame, col: str, yates: bool) -> DataFrame:
+    """Statistic from the sums over observed cells; empty cells add their expected counts."""
+    plain = F.col("seen") + F.greatest(F.col("n") - F.col("expected"), F.lit(0.0))
+    stat = plain
     if yates:
-        diff = F.col("e") - o
-        o = F.when(F.col("dof") == 1, o + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))).otherwise(o)
-    stat = F.sum((o - F.col("e")) * (o - F.col("e")) / F.col("e"))
-    return g.agg(stat.alias("statistic"), F.max("dof").alias("dof")).select(
-        F.lit(col).alias("variable"), "statistic", "dof")
+        # In a 2 x 2 table every |o - e| is the same d, and sum (d - c)^2 / e scales the plain sum.
+        d = F.col("diff")
+        left = d - F.least(F.lit(0.5), d)
+        stat = F.when((F.col("dof") == 1) & (d > 0), plain * left * left / (d * d)).otherwise(plain)
+    return sums.select(F.lit(col).alias("variable"), stat.alias("statistic"), "dof")
 
 
 def kruskal_stat(df: DataFrame, col: str, by: str) -> DataFrame:

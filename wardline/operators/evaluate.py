@@ -16,17 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators.indexing import global_cumsum, global_index
+from wardline.session import materialize
 
 
 def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
     """Per distinct score: tp (positives), fp (negatives), and cumulative
     ``cum_tp``, ``cum_fp``, ``cum_one`` (1-based position) in descending
-    score order."""
+    score order.  The table is written once (``materialize``): totals, points and areas
+    all read it, and the input is scanned once."""
     g = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(p).cast("double").alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("tp"),
         F.sum((F.col(y) != 1).cast("long")).alias("fp"),
         F.lit(1).cast("long").alias("one"))
-    return global_cumsum(g, ["score"], ["tp", "fp", "one"], ascending=False)
+    return materialize(global_cumsum(materialize(g), ["score"], ["tp", "fp", "one"], ascending=False))
 
 
 def _totals(counts: DataFrame):
