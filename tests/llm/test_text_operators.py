@@ -126,6 +126,29 @@ def test_licenses(spark, odd, none):
     assert licenses.scan(odd).count() == len(odd_rows()) and licenses.scan(none).count() == 0
 
 
+def test_license_at_the_end_of_a_line_of_any_length():
+    text = ("The town council met on Tuesday evening to discuss the new bridge over the river, whose costs have risen since spring; "
+            "several members asked why nobody had foreseen the price of steel, and the mayor promised figures before the next session. ") * 10
+    match = licenses.Matcher(licenses.TEMPLATES)
+    for n in (0, 40, 100, 120, 200, 320, 350, 430, 600, 1000, 2000):
+        for name, notices in licenses.TEMPLATES.items():
+            for notice in notices:
+                assert match(f"{text[:n]} {notice}")[:2] == (name, 0) == match(f"{text[:n]} {notice.upper()} {text[n:]}")[:2]
+
+
+@given(st.data())
+def test_license_reduction_loses_no_confirmed_wording(data):
+    match = licenses.Matcher(licenses.TEMPLATES)
+    k = data.draw(st.integers(0, len(match.templates) - 1))
+    _, wanted, most, *_ = match.templates[k]
+    words = list(wanted)
+    for _ in range(data.draw(st.integers(0, most))):
+        at, kind = data.draw(st.integers(0, len(words) - 1)), data.draw(st.integers(0, 2))
+        words[at:at + (kind > 0)] = [data.draw(st.sampled_from(["any", "the", "foo"]))] * (kind < 2)
+    around = [prose(data.draw(st.integers(0, 99)), data.draw(st.integers(0, 60))) for _ in range(2)]
+    assert match(" ".join([around[0], *words, around[1]]))[1] <= most
+
+
 # -- 5 lines
 def line_set(line):
     w = line.encode().split()

@@ -1,16 +1,16 @@
 """License scans by conditional compression.
 
-Lines that hold a cue word are candidate blocks.  A block is compressed alone and with each
-license template as raw zstandard dictionary: the more of a template's wording the block
-shares, the more its size falls.  The templates with the largest reductions are then
-compared word by word, and the one with the fewest differences is confirmed if these are
-at most ``most_differences`` of its words.  One pass over the documents, no shuffle; a task
+Lines that hold a cue word are candidate blocks.  A template is judged in windows of at most
+twice its size, wherever a block holds enough of its words.  The wording of a window is compressed
+alone and with the template as raw zstandard dictionary: the more of the template it shares, the
+more its size falls.  If that saves ``least_reduction`` of the template's own compressed size, the
+window is compared word by word, and the template with the fewest differences is confirmed if these
+are at most ``most_differences`` of its words.  One pass over the documents, no shuffle; a task
 keeps the answers for lines that it has seen.
 
 Defined results: null and empty texts have no blocks; every document has one result row,
-repeated rows one each; ties go to the larger reduction, then the template's place; very long lines are
-compared whole, in windows around the words that they share with a template; an empty table
-gives an empty result; extra columns are ignored.
+repeated rows one each; ties go to the template that saves more bytes, then to its place; case and punctuation do not count;
+lines of any length are compared whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -56,53 +57,70 @@ def wording(text: str) -> list[str]:
 
 
 class Matcher:
-    def __init__(self, templates: dict[str, tuple[str, ...]], ranked: int = 4, most_differences: float = 0.15, least_reduction: float = 0.1):
-        self.ranked, self.most, self.least = ranked, most_differences, least_reduction
+    def __init__(self, templates: dict[str, tuple[str, ...]], most_differences: float = 0.15, least_reduction: float = 0.1):
+        self.least = least_reduction
         self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
         self.templates = []
         for name, texts in templates.items():
-            for t in texts:
-                raw = zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.templates.append((name, wording(t), zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False,
-                                                                                  write_checksum=False, write_dict_id=False)))
+            for wanted in map(wording, texts):
+                raw = zstandard.ZstdCompressionDict(" ".join(wanted).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                given = zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
+                self.templates.append((name, wanted, int(most_differences * len(wanted)), self._size(wanted), given))
+        self.ids = {w: k for k, w in enumerate(sorted({w for t in self.templates for w in t[1]}))}
+        self.own = [np.array([w in t[1] for w in self.ids] + [False]) for t in self.templates]
 
     def __call__(self, block: str) -> tuple[str, int, float] | None:
         """(license, differing words, size reduction) of a block, or None."""
-        best = None
-        # A short notice inside a long line hardly changes the line's size: judge windows around the cues.
-        for part in self._windows(block):
-            raw, words = part.encode(), wording(part)
-            size = len(self.alone.compress(raw))
-            ranks = sorted(((len(c.compress(raw)) / size, k) for k, (_, _, c) in enumerate(self.templates)))[: self.ranked]
-            for rest, k in ranks:
-                if 1 - rest < self.least:
-                    break
-                name, wanted, _ = self.templates[k]
-                found = differences(wanted, words)
-                if found <= self.most * len(wanted) and (best is None or (found, rest, k) < best[0]):
-                    best = (found, rest, k), name
-        return best and (best[1], best[0][0], 1 - best[0][1])
+        best = min(self._confirmed(wording(block)), default=None)
+        return best and (self.templates[best[2]][0], best[0], best[5])
+
+    def _confirmed(self, words: list[str]) -> Iterator[tuple[int, int, int, int, int, float]]:
+        """(differing words, minus the bytes saved, template, start, end, size reduction) of the
+        stretches of words that follow a template."""
+        ids = np.array([self.ids.get(w, -1) for w in words], np.int64)
+        for k, (_, wanted, most, size, given) in enumerate(self.templates):
+            for start, end in self._windows(self.own[k][ids], len(wanted), most):
+                part = words[start:end]
+                saved = self._size(part) - len(given.compress(" ".join(part).encode()))
+                if saved >= self.least * size:
+                    for found, i, j in stretches(wanted, part, most):
+                        yield found, -saved, k, start + i, start + j, saved / size
+
+    def _size(self, words: list[str]) -> int:
+        return len(self.alone.compress(" ".join(words).encode()))
 
     @staticmethod
-    def _windows(block: str, width: int = 150) -> list[str]:
-        if len(block) <= 4 * width:
-            return [block]
-        low = block.lower()
-        at = sorted({m.start() // width for cue in CUES for m in re.finditer(re.escape(cue), low)})
-        return [block[max(0, (k - 1) * width):(k + 2) * width] for k in at]
+    def _windows(own: np.ndarray, n: int, most: int) -> Iterator[tuple[int, int]]:
+        """Windows of at most twice a template's size.  A stretch of at most n + most words that shares
+        at least n - most of them with the template lies whole in one of them."""
+        span, total = n + most, np.concatenate([[0], np.cumsum(own)])
+        first = np.arange(len(own))
+        at = np.flatnonzero(total[np.minimum(first + span, len(own))] - total[:-1] >= n - most)
+        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else ():
+            for start in range(int(run[0]), int(run[-1]) + 1, span):
+                yield start, min(len(own), min(start + span, int(run[-1]) + 1) - 1 + span)
+
+
+def stretches(wanted: list[str], words: list[str], most: int) -> Iterator[tuple[int, int, int]]:
+    """(differing words, start, end) of the stretches of ``words`` with at most ``most`` words to insert,
+    delete or replace; one word too many and one missing elsewhere count as one."""
+    n = len(wanted)
+    cost, start = list(range(n + 1)), [0] * (n + 1)
+    for j, word in enumerate(words, 1):
+        above, above_start = cost, start
+        cost, start = [0], [j]
+        for i in range(1, n + 1):
+            c, s = min((above[i - 1] + (wanted[i - 1] != word), -above_start[i - 1]), (above[i] + 1, -above_start[i]), (cost[i - 1] + 1, -start[i - 1]))
+            cost.append(c)
+            start.append(-s)
+        if cost[n] <= 2 * most:
+            found = min(cost[n], differences(wanted, words[max(0, j - n - most):j]))
+            if found <= most:
+                yield found, start[n], j
 
 
 def differences(wanted: list[str], words: list[str]) -> int:
     """Words to insert, delete or replace between a template and the part of a block that follows it best."""
-    if len(words) > 4 * len(wanted) + 40:  # a long line: the densest stretch of the template's words
-        own = set(wanted)
-        hits = [w in own for w in words]
-        span, count = len(wanted) + 4, 0
-        best = (-1, 0)
-        for k, h in enumerate(hits):
-            count += h - (hits[k - span] if k >= span else 0)
-            best = max(best, (count, -k))
-        words = words[max(0, -best[1] - span - 4):-best[1] + 5]
     blocks = [m for m in SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks() if m.size]
     if not blocks:
         return len(wanted)
