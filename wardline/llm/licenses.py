@@ -4,8 +4,9 @@ Lines that hold a cue word are candidate blocks.  A template is judged in window
 twice its size, wherever a block holds enough of its words.  The wording of a window is compressed
 alone and with the template as raw zstandard dictionary: the more of the template it shares, the
 more its size falls.  If that saves ``least_reduction`` of the template's own compressed size, the
-window is compared word by word, and the template with the fewest differences is confirmed if these
-are at most ``most_differences`` of its words.  One pass over the documents, no shuffle; a task
+window is compared word by word, and every stretch with differences of at most ``most_differences``
+of the template's words is confirmed; where such stretches overlap, the one with the fewest
+differences counts.  One pass over the documents, no shuffle; a task
 keeps the answers for lines that it has seen.
 
 Defined results: null and empty texts have no blocks; every document has one result row,
@@ -16,6 +17,7 @@ lines of any length are compared whole; an empty table gives an empty result; ex
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -69,10 +71,16 @@ class Matcher:
         self.ids = {w: k for k, w in enumerate(sorted({w for t in self.templates for w in t[1]}))}
         self.own = [np.array([w in t[1] for w in self.ids] + [False]) for t in self.templates]
 
-    def __call__(self, block: str) -> tuple[str, int, float] | None:
-        """(license, differing words, size reduction) of a block, or None."""
-        best = min(self._confirmed(wording(block)), default=None)
-        return best and (self.templates[best[2]][0], best[0], best[5])
+    def __call__(self, words: list[str]) -> list[tuple[int, str, int, float]]:
+        """(first word, license, differing words, size reduction) of the licenses of a block, which do
+        not overlap: the stretch with the fewest differences first, then the next beside it."""
+        taken, out = [], []
+        for found, _, k, start, end, reduction in sorted(self._confirmed(words)):
+            at = bisect(taken, (start, end))
+            if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+                taken.insert(at, (start, end))
+                out.append((start, self.templates[k][0], found, reduction))
+        return sorted(out)
 
     def _confirmed(self, words: list[str]) -> Iterator[tuple[int, int, int, int, int, float]]:
         """(differing words, minus the bytes saved, template, start, end, size reduction) of the
@@ -131,14 +139,14 @@ def differences(wanted: list[str], words: list[str]) -> int:
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None,
          most_differences: float = 0.15) -> DataFrame:
-    """``keep`` columns, ``n_blocks`` (candidate lines) and ``matches``: line number, license,
-    differing words and size reduction of every confirmed line."""
+    """``keep`` columns, ``n_blocks`` (candidate lines) and ``matches``: line number, first word in
+    the line, license, differing words and size reduction of every confirmed license."""
     rows = texts_of(docs, *keep, text_col=text_col)
     templates = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match, known = Matcher(templates, most_differences=most_differences), {}
-        kind = pa.list_(pa.struct([("line", pa.int64()), ("license", pa.string()), ("differences", pa.int64()), ("reduction", pa.float64())]))
+        kind = pa.list_(pa.struct([("line", pa.int64()), ("word", pa.int64()), ("license", pa.string()), ("differences", pa.int64()), ("reduction", pa.float64())]))
         for p in pieces(batches):
             counts, found = [], []
             for text in p.column("text").to_pylist():
@@ -152,13 +160,12 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "
                             if line not in known:
                                 if len(known) > 20_000:
                                     known.clear()
-                                known[line] = match(line)
-                            if known[line]:
-                                own.append(dict(zip(("line", "license", "differences", "reduction"), (k, *known[line]), strict=True)))
+                                known[line] = match(wording(line))
+                            own += [dict(zip(("line", "word", "license", "differences", "reduction"), (k, *m), strict=True)) for m in known[line]]
                 counts.append(n)
                 found.append(own)
             yield pa.RecordBatch.from_arrays([*p.columns[:-1], pa.array(counts, pa.int64()), pa.array(found, kind)], [*keep, "n_blocks", "matches"])
 
     prepare(docs.sparkSession)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema[:-1])
-    return rows.mapInArrow(run, schema + "n_blocks long, matches array<struct<line:bigint,license:string,differences:bigint,reduction:double>>")
+    return rows.mapInArrow(run, schema + "n_blocks long, matches array<struct<line:bigint,word:bigint,license:string,differences:bigint,reduction:double>>")
