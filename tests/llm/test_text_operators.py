@@ -167,6 +167,28 @@ def test_every_license_of_a_line(spark):
     assert got[4] == [(line, *m) for line in (1, 2) for m in first]
 
 
+def test_wrapped_licenses(spark):
+    import textwrap
+
+    notices = [(name, t) for name, ts in licenses.TEMPLATES.items() for t in ts]
+    marks = ("", "# ", "// ", " * ", "dnl ", "REM ", "C ", "> ", "; ", "-- ")
+    rows, wanted = [], {}
+    for k, (name, t) in enumerate(notices):
+        for j, mark in enumerate(marks):
+            for i, width in enumerate((12, 30, 72, 80)):
+                text = "\n".join(mark + x for x in textwrap.wrap(t, width, break_long_words=False, break_on_hyphens=True))
+                above = "\n".join(mark + x for x in textwrap.wrap(prose(k, 30), width)) + ("\n" if i % 2 else "\n\n")
+                key = len(rows)
+                rows.append((key, f"{above}{text}\n{mark}{prose(j, 3)}"))
+                wanted[key] = [(above.count("\n"), name, 0)]
+    rows.append((-1, "All rights\n\nreserved.\n\nAll rights\nreserved.\n\nLi-\ncensed un-\nder CC BY-\nSA 4.0"))
+    wanted[-1] = [(4, "all-rights-reserved", 0), (7, "CC-BY-SA-4.0", 0)]
+    rows.append((-2, "\r\n".join(f"{m}{t}" for t in textwrap.wrap(" ".join(t for _, t in notices), 75) for m in ("# ",))))
+    got = {r.doc_id: (r.n_blocks, [(m.line, m.license, m.differences) for m in r.matches]) for r in licenses.scan(docs_of(spark, rows)).collect()}
+    assert [m[1:] for m in got.pop(-2)[1]] == [(name, 0) for name, _ in notices]
+    assert {k: m for k, (_, m) in got.items()} == wanted and min(n for n, _ in got.values()) > 0
+
+
 # -- 5 lines
 def line_set(line):
     w = line.encode().split()

@@ -1,13 +1,14 @@
 """License scans by conditional compression.
 
-Lines that hold a cue word are candidate blocks.  A template is judged in windows of at most
+Paragraphs (neighbouring lines that hold words) with a cue word are candidate blocks; their lines are
+joined, without comment marks and with words put together again that a hyphen splits at the end of a
+line, so that cues and notices may be wrapped.  A template is judged in windows of at most
 twice its size, wherever a block holds enough of its words.  The wording of a window is compressed
 alone and with the template as raw zstandard dictionary: the more of the template it shares, the
 more its size falls.  If that saves ``least_reduction`` of the template's own compressed size, the
 window is compared word by word, and every stretch with differences of at most ``most_differences``
 of the template's words is confirmed; where such stretches overlap, the one with the fewest
-differences counts.  One pass over the documents, no shuffle; a task
-keeps the answers for lines that it has seen.
+differences counts.  One pass over the documents, no shuffle.
 
 Defined results: null and empty texts have no blocks; every document has one result row,
 repeated rows one each; ties go to the template that saves more bytes, then to its place; case and punctuation do not count;
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -51,6 +52,8 @@ TEMPLATES = {
     "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
     "all-rights-reserved": ("All rights reserved.",),
 }
+#: Cues as they stand in running text, also wrapped and behind comment marks, or a word split by a hyphen.
+_CUE = re.compile("|".join(r"[\W_]+(?:(?:rem|dnl|c)[\W_]+)?".join(cue.split()) for cue in CUES) + r"|-[ \t\r]*\n")
 _WORD = re.compile(r"[^\W_]+(?:[-.][^\W_]+)*")
 
 
@@ -58,6 +61,39 @@ def wording(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def paragraphs(text: str, own: Mapping[str, int]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+    """(words, line of each word, place of each word in its line) of every paragraph of a text.  Comment
+    marks that are words go, and words split at the end of a line are joined if ``own`` has them."""
+    words, at, place, split = [], [], [], False
+    for k, line in enumerate(text.split("\n")):
+        found = wording(line)
+        first = int(found[:1] in (["rem"], ["dnl"], ["c"]) and found[0] not in own)
+        if first == len(found):
+            if words:
+                yield words, at, place
+            words, at, place, split = [], [], [], False
+            continue
+        if split:
+            whole = next((w for w in (f"{words[-1]}-{found[first]}", words[-1] + found[first]) if w in own), None)
+            if whole:
+                words[-1] = whole
+                first += 1
+        words += found[first:]
+        at += [k] * (len(found) - first)
+        place += range(first, len(found))
+        split = line.rstrip().endswith("-")
+    if words:
+        yield words, at, place
+
+
+def cue_lines(words: list[str], at: list[int]) -> set[int]:
+    """Lines in which a cue begins."""
+    low = " ".join(words)
+    starts = [m.start() for cue in CUES for m in re.finditer(cue, low)]
+    ends = np.cumsum([len(w) + 1 for w in words]) if starts else []
+    return {at[k] for k in np.searchsorted(ends, starts, "right")}
+
+
 class Matcher:
     def __init__(self, templates: dict[str, tuple[str, ...]], most_differences: float = 0.15, least_reduction: float = 0.1):
         self.least = least_reduction
@@ -139,29 +175,25 @@ def differences(wanted: list[str], words: list[str]) -> int:
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None,
          most_differences: float = 0.15) -> DataFrame:
-    """``keep`` columns, ``n_blocks`` (candidate lines) and ``matches``: line number, first word in
+    """``keep`` columns, ``n_blocks`` (lines in which a cue begins) and ``matches``: line number, first word in
     the line, license, differing words and size reduction of every confirmed license."""
     rows = texts_of(docs, *keep, text_col=text_col)
     templates = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match, known = Matcher(templates, most_differences=most_differences), {}
+        match = Matcher(templates, most_differences=most_differences)
         kind = pa.list_(pa.struct([("line", pa.int64()), ("word", pa.int64()), ("license", pa.string()), ("differences", pa.int64()), ("reduction", pa.float64())]))
         for p in pieces(batches):
             counts, found = [], []
             for text in p.column("text").to_pylist():
                 n, own = 0, []
-                low = text.lower()
-                if any(c in low for c in CUES):
-                    for k, line in enumerate(text.split("\n")):
-                        low = line.lower()
-                        if any(c in low for c in CUES):
-                            n += 1
-                            if line not in known:
-                                if len(known) > 20_000:
-                                    known.clear()
-                                known[line] = match(wording(line))
-                            own += [dict(zip(("line", "word", "license", "differences", "reduction"), (k, *m), strict=True)) for m in known[line]]
+                if _CUE.search(text.lower()):
+                    for words, at, place in paragraphs(text, match.ids):
+                        cues = cue_lines(words, at)
+                        if cues:
+                            n += len(cues)
+                            own += [dict(zip(("line", "word", "license", "differences", "reduction"), (at[k], place[k], *m), strict=True))
+                                    for k, *m in match(words)]
                 counts.append(n)
                 found.append(own)
             yield pa.RecordBatch.from_arrays([*p.columns[:-1], pa.array(counts, pa.int64()), pa.array(found, kind)], [*keep, "n_blocks", "matches"])
