@@ -651,6 +651,40 @@ SELECT icustay_id, admission_age, label, {", ".join(f"CAST(eth = '{v}' AS INTEGE
 FROM mf""", ["mf"])
 
 
+# both arms, all measures per subject, with the static rows
+def _measured(series: str, cols) -> str:
+    stats = ", ".join(f"avg({c}) AS {c}_mean, median({c}) AS {c}_median, stddev_samp({c}) AS {c}_std" for c in cols)
+    return f"(SELECT subject_id, {stats} FROM {series} GROUP BY subject_id)"
+
+
+def _arm_sql(ids: str, labs: str, vits: str, label: int) -> str:
+    return f"""
+SELECT st.icustay_id, {label} AS label, st.gender, st.admission_age, {_RECODE_ETH} AS ethnicity,
+       l.* EXCLUDE (subject_id), v.* EXCLUDE (subject_id)
+FROM static st JOIN {_measured(labs, LABC)} l ON l.subject_id = st.subject_id
+     JOIN {_measured(vits, VITC)} v ON v.subject_id = st.subject_id
+WHERE st.icustay_id IN (SELECT icustay_id FROM {ids})"""
+
+
+ARM_FEATS = [f"{c}_{s}" for c in LABC + VITC for s in ("mean", "median", "std")]
+_cte("arms", _arm_sql("cases", "labs_case48", "vits_case48", 1) + "\nUNION ALL"
+     + _arm_sql("matched", "labs_ctrl48", "vits_ctrl48", 0),
+     ["static", "cases", "matched", "labs_case48", "vits_case48", "labs_ctrl48", "vits_ctrl48"])
+register("static_measure_merge_arms", f"SELECT icustay_id, label, gender, admission_age, ethnicity, {_rnd(ARM_FEATS)} FROM arms",
+         ["arms"])
+register("impute_median_arms", "SELECT icustay_id, label, " + ", ".join(
+    f"round(coalesce({f}, (SELECT median({f}) FROM arms)), 6) AS {f}" for f in ARM_FEATS) + " FROM arms", ["arms"])
+_cte("arms_split", """
+SELECT *, CAST(CAST(('0x' || substr(md5('0|' || CAST(icustay_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.25
+               AS INTEGER) AS is_test
+FROM arms""", ["arms"])
+_cte("arms_stats", "SELECT " + ", ".join(f"min({f}) AS min_{f}, max({f}) AS max_{f}" for f in ARM_FEATS)
+     + " FROM arms_split WHERE is_test = 0", ["arms_split"])
+register("minmax_scale_arms", "SELECT icustay_id, label, is_test, " + ", ".join(
+    f"round(({f} - min_{f}) / CASE WHEN max_{f} - min_{f} = 0 THEN 1.0 ELSE max_{f} - min_{f} END, 6) AS {f}"
+    for f in ARM_FEATS) + " FROM arms_split, arms_stats", ["arms_split", "arms_stats"])
+
+
 def _pop_part(static_ids: str, labs: str, vits: str, flag: str, prio: int) -> str:
     return f"""
 SELECT subject_id, admission_age, CASE WHEN gender = 'F' THEN 'Female' ELSE 'Male' END AS gender,

@@ -280,11 +280,50 @@ def q_minmax_scale(spark, sf_dir):
     return rounded(X.minmax_apply(w, stats, FEATS), FEATS)
 
 
+MEASURE_FEATS = [f"{c}_{s}" for c in LAB_COLS + VIT_COLS for s in ("mean", "median", "std")]
+
+
+def stacked_frame(tb: Testbed) -> DataFrame:
+    """C12 + D3 + G1: static rows of cases and of matched controls, each merged with the statistics of
+    all labs and vitals of its subject in that arm, stacked with the label."""
+    parts = []
+    for st, anchors, col, label in zip(static_frames(tb), (cases_m(tb), matched_of(tb)),
+                                       ("sepsis_onset", "control_onset_time"), (1, 0), strict=True):
+        labs = A.agg_features(lab_series(tb, anchors, col, 48), "subject_id", LAB_COLS)
+        vits = A.agg_features(vital_series(tb, anchors, col, 48), "subject_id", VIT_COLS)
+        st = st.select("icustay_id", "subject_id", F.lit(label).alias("label"), "gender", "admission_age",
+                       recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"))
+        parts.append(st.join(labs, "subject_id").join(vits, "subject_id").drop("subject_id"))
+    return concat(parts)
+
+
+@query("static_measure_merge_arms")
+def q_static_measure_merge_arms(spark, sf_dir):
+    return rounded(stacked_frame(Testbed(spark, sf_dir)), MEASURE_FEATS)
+
+
+def stacked_measures(tb: Testbed) -> DataFrame:
+    return stacked_frame(tb).select("icustay_id", "label", *MEASURE_FEATS)
+
+
+@query("impute_median_arms")
+def q_impute_median_arms(spark, sf_dir):
+    w = materialize(stacked_measures(Testbed(spark, sf_dir)))
+    return rounded(A.impute_median(w, MEASURE_FEATS), MEASURE_FEATS)
+
+
+@query("minmax_scale_arms")
+def q_minmax_scale_arms(spark, sf_dir):
+    w = materialize(X.random_split(stacked_measures(Testbed(spark, sf_dir)), "icustay_id", 0.25, seed=0))
+    stats = X.minmax_fit(w.where(F.col("is_test") == 0), MEASURE_FEATS)
+    return rounded(X.minmax_apply(w, stats, MEASURE_FEATS), MEASURE_FEATS)
+
+
 @query("drop_sparse")
 def q_drop_sparse(spark, sf_dir):
-    w = materialize(wide_features(Testbed(spark, sf_dir)))
-    out = X.drop_sparse(w, FEATS, 0.5)
-    return rounded(out, [c for c in FEATS if c in out.columns])
+    w = materialize(stacked_measures(Testbed(spark, sf_dir)))
+    out = X.drop_sparse(w, MEASURE_FEATS, 0.5)
+    return rounded(out, [c for c in MEASURE_FEATS if c in out.columns])
 
 
 @query("static_measure_merge")
@@ -489,18 +528,30 @@ def training_frames(tb: Testbed):
     return mf.where(F.col("is_test") == 0), mf.where(F.col("is_test") == 1)
 
 
+def measured_frames(tb: Testbed):
+    """Train and test rows of the stacked frame: encoded, imputed with its medians (a measure without any
+    value is 0), scaled."""
+    features = MODEL_FEATURES + MEASURE_FEATS
+    mf = X.one_hot(materialize(stacked_frame(tb)), "ethnicity", X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT))
+    mf = A.impute_median(X.label_encode(mf, "gender"), MEASURE_FEATS).na.fill(0.0, MEASURE_FEATS)
+    mf = X.stratified_split(mf, "icustay_id", "label", 0.1, seed=SEED)
+    stats = X.minmax_fit(mf.where(F.col("is_test") == 0), features)
+    mf = materialize(X.minmax_apply(mf, stats, features))
+    return mf.where(F.col("is_test") == 0), mf.where(F.col("is_test") == 1), features
+
+
 @query("train_lr")
 def q_train_lr(spark, sf_dir):
-    train, test = training_frames(Testbed(spark, sf_dir))
-    model = M.train_lr(train, MODEL_FEATURES)
+    train, test, features = measured_frames(Testbed(spark, sf_dir))
+    model = M.train_lr(train, features)
     return M.predict(model, test).select("icustay_id", "label", "p")
 
 
 @query("train_svm")
 def q_train_svm(spark, sf_dir):
-    train, test = training_frames(Testbed(spark, sf_dir))
-    pairs = M.train_svm_calibrated(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED)
-    return M.predict_svm_calibrated(pairs, test, MODEL_FEATURES, "icustay_id").select("icustay_id", "label", "p")
+    train, test, features = measured_frames(Testbed(spark, sf_dir))
+    pairs = M.train_svm_calibrated(train, features, id_col="icustay_id", folds=5, seed=SEED)
+    return M.predict_svm_calibrated(pairs, test, features, "icustay_id").select("icustay_id", "label", "p")
 
 
 def _gbt(tb: Testbed):
