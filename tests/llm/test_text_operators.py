@@ -297,6 +297,35 @@ def test_selected_prefix_equals_brute_force(spark, slice_rows):
     assert got == {k: v for k, v in want.items() if v}
 
 
+@pytest.mark.parametrize("slice_rows", [3, 10_000])
+def test_a_long_document_does_not_end_its_leaf(spark, slice_rows):
+    rows = [(k, " ".join(["w"] * (400 if k == 0 else 5 + k % 11)), "en", "s0", 0) for k in range(61)]  # id 0: 40 % or more of the leaf
+    rows += [(k, " ".join(["w"] * (1 + k % 7)), "de", "s0", 0) for k in range(100, 130)]
+    df = docs_of(spark, rows)
+    size, have = {r[0]: len(r[1].split()) for r in rows}, Counter()
+    for r in rows:
+        have[r[2], r[3]] += size[r[0]]
+    assert size[0] >= 0.4 * have["en", "s0"]
+    levels, long_first = [F.col("lang"), F.col("source")], 0
+    for seed in range(4):
+        budget, order = 500, {r.doc_id: r.h for r in docs_of(spark, [(r[0], "") for r in rows]).select("doc_id", F.col("doc_id").alias("d")).join(
+            spark.createDataFrame(list(size.items()), "doc_id long, n_tokens long"), "doc_id").select(
+            "doc_id", F.xxhash64(F.lit(seed), F.lit(0).cast("long"), "doc_id", "n_tokens").alias("h")).collect()}
+        got = {r.doc_id for r in mixing.mix(df, levels, {}, budget=budget, seed=seed, slice_rows=slice_rows, fill=True).collect()}
+        want = set()
+        for leaf, room in mixing.leaf_budgets(budget, have, {}).items():
+            for i in sorted((r[0] for r in rows if (r[2], r[3]) == leaf), key=order.get):
+                if size[i] <= room:
+                    want.add(i)
+                    room -= size[i]
+            if leaf[0] == "en":
+                assert room < 5 + 11
+        prefix = {r.doc_id for r in mixing.mix(df, levels, {}, budget=budget, seed=seed, slice_rows=slice_rows).collect()}
+        assert got == want and prefix <= got
+        long_first += sum(size[i] for i in got) > sum(size[i] for i in prefix) + 16
+    assert long_first
+
+
 def test_mixing_odd_rows(spark, odd, none):
     out = mixing.mix(odd, [F.col("lang"), F.col("source")], {}, budget_share=1.0).collect()
     assert len(out) == len(odd_rows()) and {tuple(r.path) for r in out} >= {("(null)", "s"), ("en", "(null)")}

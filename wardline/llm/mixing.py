@@ -5,7 +5,8 @@ documents cannot fill its share (its tokens times ``max_epochs``) gives the rest
 to its siblings, in proportion to their weights, and only what all siblings together
 cannot take goes to the siblings of the parent.  Each leaf then reads its documents
 in seeded order, epoch after epoch with a new order each, and takes the longest
-prefix that stays within its budget.
+prefix that stays within its budget.  With ``fill`` it goes on behind a document that does
+not fit and takes each later one that does, so that less is left than any document not taken.
 
 The tree has one row per leaf, so the budgets are worked out on the driver
 (``max_leaves`` bounds it, and more leaves raise an error).  The order inside a leaf
@@ -24,6 +25,7 @@ they stand in; repeated rows are selected one by one; equal hashes are ordered b
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -102,7 +104,7 @@ def with_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *, tokens: Column | None = None,
         budget: int | None = None, budget_share: float | None = None, max_epochs: int = 1, seed: int = 7,
-        id_col: str = "doc_id", slice_rows: int = 50_000, max_leaves: int = 100_000) -> DataFrame:
+        id_col: str = "doc_id", slice_rows: int = 50_000, max_leaves: int = 100_000, fill: bool = False) -> DataFrame:
     """(id, uid, path, n_tokens, epochs) of every selected document; ``uid`` is carried where present.
 
     ``levels`` are the columns of the tree from the root down.  Give ``budget`` tokens, or
@@ -126,8 +128,33 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     spark = docs.sparkSession
     small = spark.createDataFrame(plan, "path array<string>, whole long, rest long, slices long")
     order = F.xxhash64(F.lit(seed), "whole", id_col, "n_tokens")
-    place = ((order.cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long")
-    rows = rows.join(F.broadcast(small), "path").withColumns({"order": order, "slice": place})  # one row per leaf
+    rows = rows.join(F.broadcast(small), "path").withColumn("order", order)  # one row per leaf
+    columns = (id_col, "uid", "path", "n_tokens", (F.col("whole") + F.col("extra")).alias("epochs"))
+    out = _prefix(rows, id_col)
+    if not fill:
+        return out.select(*columns).filter("epochs > 0")
+    done, room = [], {tuple(r[0]): r[2] for r in plan}
+    while True:
+        out = stage_table(out, "mix-fill")
+        for r in out.filter("extra > 0").groupBy("path").agg(F.sum("n_tokens").alias("t")).collect():
+            room[tuple(r.path)] -= r.t
+        now = spark.createDataFrame([(list(k), v) for k, v in room.items()], "path array<string>, rest long")
+        out = out.drop("rest", "slices").join(F.broadcast(now), "path")
+        # What does not fit now never will: the room of a leaf only shrinks.
+        fits = (F.col("extra") == 0) & (F.col("rest") > 0) & (F.col("n_tokens") <= F.col("rest"))
+        done.append(out.filter(~fits).select(*columns))
+        out = out.filter(fits)
+        counts = [(r.path, max(1, -(-r.n // slice_rows))) for r in out.groupBy("path").agg(F.count(F.lit(1)).alias("n")).collect()]
+        if not counts:
+            return reduce(DataFrame.unionByName, done).filter("epochs > 0")
+        out = _prefix(out.join(F.broadcast(spark.createDataFrame(counts, "path array<string>, slices long")), "path"), id_col)
+
+
+def _prefix(rows: DataFrame, id_col: str) -> DataFrame:
+    """All rows, with ``extra`` 1 for those in the longest prefix of their leaf within ``rest``."""
+    place = ((F.col("order").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long")
+    kept = rows.columns
+    rows = rows.withColumn("slice", place)
     sums = rows.filter("rest > 0").groupBy("path", "slice").agg(F.sum("n_tokens").alias("t"))
     w = Window.partitionBy("path").orderBy("slice")
     start = sums.withColumn("start", F.sum("t").over(w) - F.col("t")).select("path", "slice", "start", "t")
@@ -138,6 +165,5 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     run = F.sum("n_tokens").over(Window.partitionBy("path", "slice").orderBy("order", id_col, "n_tokens", "uid")
                                  .rowsBetween(Window.unboundedPreceding, 0))
     whole = placed.filter(~F.coalesce(inside, F.lit(False))).withColumn("extra", before.cast("long"))
-    cut = (placed.filter(inside).withColumn("extra", (F.col("start") + run <= F.col("rest")).cast("long")))
-    return (whole.unionByName(cut).withColumn("epochs", F.col("whole") + F.col("extra")).filter("epochs > 0")
-            .select(id_col, "uid", "path", "n_tokens", "epochs"))
+    cut = placed.filter(inside).withColumn("extra", (F.col("start") + run <= F.col("rest")).cast("long"))
+    return whole.unionByName(cut).select(*[c for c in kept if c != "extra"], "extra")

@@ -67,7 +67,7 @@ def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents selected for a mix of 1.5 times the tokens present, four epochs at most."""
-    out = mixing.mix(table_of(spark, sf_dir, "documents"), mix_levels(), WEIGHTS, budget_share=1.5, max_epochs=4)
+    out = mixing.mix(table_of(spark, sf_dir, "documents"), mix_levels(), WEIGHTS, budget_share=1.5, max_epochs=4, fill=True)
     return out.select("doc_id", F.array_join("path", "/").alias("leaf"), "n_tokens", "epochs")
 
 
