@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = 0xD6E8FEB86659FD93
 _PART = 1 << 18
+_SHORT = 32
 _pow: np.ndarray = np.ones(1, np.uint64)
 _inv: np.ndarray = np.ones(1, np.uint64)
 _chars: dict[int, np.ndarray] = {}
@@ -59,18 +61,26 @@ def words(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray | None = Non
     ``is_word`` marks) within a segment [offsets[i], offsets[i+1])."""
     mark = ~SPACE[buf] if is_word is None else is_word[buf]
     start, end = runs(mark, offsets)
-    return _word_hashes(buf, start, end, family), np.searchsorted(offsets, start, "right") - 1
+    return word_hashes(buf, start, end, family), np.searchsorted(offsets, start, "right") - 1
 
 
-def _word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, family: int) -> np.ndarray:
-    """Hashes of the words [start, end), taken from running sums over ``_PART`` bytes or one
-    word at a time, so that a very long text needs no 8-byte arrays of its length."""
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hashes of the words [start, end), taken from running sums over ``_PART`` bytes, so that a
+    very long text needs no 8-byte arrays of its length.
+
+    Running sums modulo 2^64 are weak on long words of a self-similar pattern, where most low
+    bits vanish whatever the base; words of more than ``_SHORT`` bytes get a hash of their own."""
     out = np.zeros(len(start), np.uint64)
+    long = end - start > _SHORT
+    for k in np.flatnonzero(long).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(buf[start[k]:end[k]].data, family + 1)
+    at_short = np.flatnonzero(~long)
+    start, end = start[at_short], end[at_short]
     k = 0
     while k < len(start):
         until = max(int(np.searchsorted(end, start[k] + _PART, "right")), k + 1)
         at = start[k]
-        out[k:until] = spans(prefix(buf[at:end[until - 1]], family), start[k:until] - at, end[k:until] - at)
+        out[at_short[k:until]] = spans(prefix(buf[at:end[until - 1]], family), start[k:until] - at, end[k:until] - at)
         k = until
     return out
 
