@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import bpe, licenses, lines, metric_join, minhash, mixing, packing, quality, spotsigs, suffix
-from wardline.llm.common import table_of
+from wardline.llm import (bpe, ledger, licenses, lines, metric_join, minhash, mixing, negatives, packing, quality, spotsigs,
+                          suffix, trie)
+from wardline.llm.common import stage_table, table_of
+from wardline.llm.oracle import ORACLE_SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -89,8 +91,33 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.with_neighbours(table_of(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector's positives, where every 7th row has another label."""
+    rows = table_of(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and verdicts of every document, with the ablation of the rule that alone rejects it."""
+    rows = stage_table(ledger.ledger(table_of(spark, sf_dir, "documents")), "ledger")
+    alone = ledger.ablations(rows).filter(F.col("policy") == list(ledger.POLICIES)[-1]).select(
+        F.col("bit").alias("caught"), F.col("rule").alias("only_rule"), F.col("n_alone").alias("only_rule_docs"))
+    base = F.col("failed").bitwiseAND(F.lit(ledger.POLICIES["v1"])) != 0
+    return ledger.apply_policies(rows).join(F.broadcast(alone), "caught", "left").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
+        (F.col("caught") == 0).alias("kept"), "failed", F.array_join("kept_by", ",").alias("kept_by"), "only_rule", "only_rule_docs")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the conversations, each with the first turns of one in a hundred."""
+    convs = stage_table(trie.ordered_turns(table_of(spark, sf_dir, "conversations")), "turns")
+    c = F.col("conv_id")
+    return trie.prefix_trie(trie.with_shared_heads(convs, c - c % 100, F.crc32(c.cast("string").cast("binary")) % 6, c % 100 == 0, most=5))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pack_tokens, op2_bpe, op3_suffix_dedup, op4_license_scan, op5_line_dedup, op6_bagminhash, op7_mix, op8_quality,
-                             op9_metric_join, op10_spotsigs)
+                             op9_metric_join, op10_spotsigs, op11_hard_negatives, op12_rule_ledger, op13_prefix_trie)
 }
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
