@@ -50,10 +50,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 def with_uid(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Add ``uid`` (long), unique per row.
 
-    Where the ids are unique and not null, ``uid`` is the id and this costs one
-    aggregate over the id column.  Otherwise (repeated or null ids) the rows are
-    written once with a generated number, so that it stays the same on every read.
+    Where the ids are whole numbers, unique and not null, ``uid`` is the id and this costs one
+    aggregate over the id column.  Otherwise (repeated or null ids, or ids of another type, which may
+    become equal or fail as numbers) the rows are written once with a generated number, so that it
+    stays the same on every read.
     """
+    if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return stage_table(docs.withColumn("uid", F.monotonically_increasing_id()), "uid")
     bad = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(id_col).isNull())
     if bad.limit(1).count() == 0:
         return docs.withColumn("uid", F.col(id_col).cast("long"))

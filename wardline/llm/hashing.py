@@ -13,6 +13,8 @@ _SHORT = 32
 _pow: np.ndarray = np.ones(1, np.uint64)
 _inv: np.ndarray = np.ones(1, np.uint64)
 _chars: dict[int, np.ndarray] = {}
+_PRIME = np.uint64((1 << 31) - 1)
+_bases: dict[int, "_Base"] = {}
 
 #: Bytes that separate words: ASCII white space.
 SPACE = np.zeros(256, bool)
@@ -40,7 +42,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix(buf: np.ndarray, family: int = 0) -> np.ndarray:
-    """Running hash sums of a buffer; ``spans`` reads any span's hash off them."""
+    """Running hash sums modulo 2^64 of a buffer; ``spans`` reads any span's hash off them.
+
+    Fast, but weak on long spans of a self-similar pattern, whatever the base: for words of a few
+    bytes, and for filters that only have to agree on equal spans.
+    """
     if family not in _chars:
         _chars[family] = np.random.default_rng(1000 + family).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
     power, _ = _powers(len(buf) + 1)
@@ -55,6 +61,60 @@ def spans(pre: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((pre[end] - pre[start]) * inv[start])
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Values modulo the prime 2^31 - 1, for values below 2^63."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+class _Base:
+    """A random base modulo 2^31 - 1 with its powers, and a random number for each byte."""
+
+    def __init__(self, seed: int):
+        r = np.random.default_rng(seed)
+        self.base = int(r.integers(1 << 20, int(_PRIME) - 1))
+        self.chars = r.integers(1, int(_PRIME), 256).astype(np.uint64)
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def reach(self, n: int) -> None:
+        """Powers up to n, by doubling: those beyond m are the first m times base^m."""
+        if len(self.power) >= n:
+            return
+        p = int(_PRIME)
+        for name, base in (("power", self.base), ("inverse", pow(self.base, -1, p))):
+            have = getattr(self, name)
+            while len(have) < n:
+                have = np.concatenate([have, _fold(have * np.uint64(pow(base, len(have), p)))])
+            setattr(self, name, have)
+
+
+def strong_prefix(buf: np.ndarray, family: int = 0) -> tuple[int, np.ndarray, np.ndarray]:
+    """As ``prefix``, for ``strong_spans``, on whose hashes results may rest.
+
+    A hash is a polynomial modulo the prime 2^31 - 1 in two random bases, with random numbers for the bytes: two
+    different spans of n bytes share it with a probability of about (n / 2^31)^2, whatever they hold.  Families
+    have bases and numbers of their own, so their hashes fail independently.
+    """
+    out = []
+    for k in (2 * family, 2 * family + 1):
+        if k not in _bases:
+            _bases[k] = _Base(5000 + k)
+        own = _bases[k]
+        own.reach(len(buf) + 1)
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_fold(own.chars[buf] * own.power[: len(buf)]), out=total[1:])  # below 2^63 for any buffer in memory
+        out.append(total)
+    return family, *out
+
+
+def strong_spans(pre: tuple[int, np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the spans [start, end), of 62 bits."""
+    family, *sums = pre
+    a, b = (_fold(_fold(total[end] - total[start]) * _bases[2 * family + k].inverse[start]) for k, total in enumerate(sums))
+    return mix(a << np.uint64(31) | b)
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray | None = None,
           family: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(hash, segment) of each word: a run of bytes that are no white space (or that

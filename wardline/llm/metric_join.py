@@ -16,9 +16,11 @@ larger has more blocks).  In many dimensions 2r exceeds the spread of the distan
 get most copies; the join is then a block join of all rows, still exact.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link
-with nothing, nor do vectors of different lengths with each other; repeated rows (one id
-twice) are vectors of their own and get the same component; null ids are kept as rows
-without links; an empty table gives an empty result; extra columns are ignored.
+with nothing, nor do vectors of different lengths with each other; a cosine of exactly the threshold
+links; repeated rows (one id twice) are vectors of their own, each with its links, and so are rows
+without an id; ``component_id`` is the smallest id that links reach (ties are rows of one id), null where
+none of them has an id; ``kept`` compares the row's id with it, nulls being equal, so all rows that bear the
+smallest id are kept; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,22 +42,29 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), width)
 
 
-def unit_vectors(rows: DataFrame, vec_col: str) -> DataFrame:
-    """(uid, width, unit) of the usable vectors: doubles of unit length as bytes."""
+def unit_vectors(rows: DataFrame) -> DataFrame:
+    """(id, uid, width, unit) of the usable vectors ``v``: doubles of unit length as bytes."""
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uid, width, unit = [], [], []
-            for k, v in zip(b.column("uid").to_pylist(), b.column("v").to_pylist(), strict=True):
-                x = np.array([np.nan if c is None else c for c in v or ()], float)
-                top = np.abs(x).max(initial=0)
+            col = b.column("v")
+            width = pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy().astype(np.int64)
+            start = np.append(0, np.cumsum(width))
+            x = col.flatten().to_numpy(zero_copy_only=False).astype(float)  # null components are NaN
+            good, unit = [], []
+            for k in np.flatnonzero(width).tolist():
+                v = x[start[k]:start[k + 1]]
+                top = np.abs(v).max()
                 if np.isfinite(top) and top > 0:
-                    x = x / top  # so that squares neither overflow nor vanish
-                    uid.append(k), width.append(len(x)), unit.append((x / np.sqrt((x * x).sum())).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(width, pa.int64()), pa.array(unit, pa.binary())],
-                                             ["uid", "width", "unit"])
+                    v = v / top  # so that squares neither overflow nor vanish
+                    good.append(k)
+                    unit.append((v / np.sqrt((v * v).sum())).tobytes())
+            at = pa.array(good, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("uid").take(at), pa.array(width[good], pa.int64()), pa.array(unit, pa.binary())],
+                                             ["id", "uid", "width", "unit"])
 
-    return rows.select("uid", F.col(vec_col).cast("array<double>").alias("v")).mapInArrow(run, "uid long, width long, unit binary")
+    return rows.select("id", "uid", F.col("v").cast("array<double>").alias("v")).mapInArrow(run, f"id {kind}, uid long, width long, unit binary")
 
 
 def _assign(vectors: DataFrame, pivots: dict[int, np.ndarray], radius: float) -> DataFrame:
@@ -174,13 +183,14 @@ def _sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def near_vectors(rows: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding", *,
                  block: int = 4096, most_pivots: int = 256, seed: int = 9) -> DataFrame:
-    """(id, uid, n_links, component_id, kept) of every row.  ``uid`` is the id where ids are unique."""
+    """(id, uid, n_links, component_id, kept) of every row; ``uid`` tells rows of one id apart."""
     spark = rows.sparkSession
     prepare(spark)
-    rows = with_uid(rows.select(id_col, vec_col), id_col)
-    vectors = stage_table(unit_vectors(rows, vec_col), "unit")
+    rows = with_uid(rows.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), "id")
+    vectors = stage_table(unit_vectors(rows), "unit")
     # Equal vectors: one of them stands for all.
-    classes = stage_table(vectors.groupBy("width", "unit").agg(F.min("uid").alias("class"), F.count(F.lit(1)).alias("copies")), "class")
+    classes = stage_table(vectors.groupBy("width", "unit").agg(
+        F.min("uid").alias("class"), F.min("id").alias("low_id"), F.count(F.lit(1)).alias("copies")), "class")
     total = {r.width: r.n for r in classes.groupBy("width").agg(F.count(F.lit(1)).alias("n")).limit(1001).collect()}
     if len(total) > 1000:
         raise ValueError("more than 1000 different vector lengths")
@@ -214,9 +224,14 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, id_col: str = "vec_id"
 
     known = (classes.join(counts.withColumnRenamed("uid", "class"), "class", "left")
              .join(group.withColumnRenamed("node", "class"), "class", "left")
-             .select("width", "unit", "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                     F.coalesce("component", "class").alias("component")))
-    placed = vectors.join(known, ["width", "unit"]).select("uid", "links", "component")
-    out = rows.select(id_col, "uid").join(placed, "uid", "left").select(
-        id_col, "uid", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "uid").alias("component_id"))
-    return out.withColumn("kept", F.col("uid") == F.col("component_id"))
+             .select("width", "unit", "low_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+                     F.col("component")))
+    # The smallest id of a component, from its classes; a class of its own needs no look-up.
+    low = known.filter("component is not null").groupBy("component").agg(F.min("low_id").alias("least"))
+    known = known.join(low, "component", "left").select("width", "unit", "links", F.when(
+        F.col("component").isNull(), F.col("low_id")).otherwise(F.col("least")).alias("component_id"), F.lit(True).alias("usable"))
+    placed = vectors.join(known, ["width", "unit"]).select("uid", "links", "component_id", "usable")
+    out = rows.select("id", "uid").join(placed, "uid", "left").select(
+        F.col("id").alias(id_col), "uid", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -18,7 +18,8 @@ rows is therefore spread over many tasks.
 Defined results: null domain, language or source are values of their own (nodes named
 ``(null)``); empty or null texts have 0 tokens and are taken with the prefix that
 they stand in; repeated rows are selected one by one; equal hashes are ordered by
-(doc_id, n_tokens, uid); weights default to 1 for nodes that are not listed, and a weight of
+(doc_id, n_tokens, uid); very long texts are counted whole, and with ``fill`` one that exceeds its leaf's budget
+is passed over; weights default to 1 for nodes that are not listed, and a weight of
 0 takes nothing; an empty table or budget 0 selects nothing; extra columns are ignored.
 """
 
@@ -80,6 +81,20 @@ def leaf_budgets(budget: int, tokens: Mapping[Path, int], weights: Mapping[Path,
     return {leaf: given[leaf] for leaf in tokens}
 
 
+def balanced_budget(tokens: Mapping[Path, int], weights: Mapping[Path, float], max_epochs: int = 1) -> int:
+    """The most tokens for which no node of the first level falls short of its weight.
+
+    Nodes without tokens or with a weight of 0 have no say; below the first level shortages go to siblings.
+    """
+    room: dict[Path, int] = {}
+    for leaf, n in tokens.items():
+        if leaf and _open(leaf, weights):
+            room[leaf[:1]] = room.get(leaf[:1], 0) + n * max_epochs
+    room = {k: n for k, n in room.items() if n > 0}
+    total = sum(weights.get(k, 1.0) for k in room)
+    return int(min((n * total / weights.get(k, 1.0) for k, n in room.items()), default=0))
+
+
 def _open(leaf: Path, weights: Mapping[Path, float]) -> bool:
     return all(weights.get(leaf[:k], 1.0) > 0 for k in range(1, len(leaf) + 1))
 
@@ -104,14 +119,16 @@ def with_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *, tokens: Column | None = None,
         budget: int | None = None, budget_share: float | None = None, max_epochs: int = 1, seed: int = 7,
-        id_col: str = "doc_id", slice_rows: int = 50_000, max_leaves: int = 100_000, fill: bool = False) -> DataFrame:
-    """(id, uid, path, n_tokens, epochs) of every selected document; ``uid`` is carried where present.
+        id_col: str = "doc_id", uid_col: str | None = None, slice_rows: int = 50_000, max_leaves: int = 100_000, fill: bool = False) -> DataFrame:
+    """(id, uid, path, n_tokens, epochs) of every selected document; ``uid`` is the column ``uid_col``, or
+    the id where none is named.
 
-    ``levels`` are the columns of the tree from the root down.  Give ``budget`` tokens, or
-    ``budget_share`` of the tokens present.  ``epochs`` says how often a document is read.
+    ``levels`` are the columns of the tree from the root down.  Give ``budget`` tokens, or ``budget_share`` of
+    the tokens present, or neither: the budget is then the largest one that all nodes of the first level can
+    fill in the proportion of their weights (``balanced_budget``).  ``epochs`` says how often a document is read.
     """
     path = F.array(*[F.coalesce(c.cast("string"), F.lit("(null)")) for c in levels])
-    uid = F.col("uid") if "uid" in docs.columns else F.col(id_col).cast("long")
+    uid = F.col(uid_col if uid_col is not None else id_col).cast("long")
     rows = docs.select(F.col(id_col), uid.alias("uid"), path.alias("path"), F.col("text") if tokens is None else tokens.alias("n_tokens"))
     rows = stage_table(with_word_count(rows) if tokens is None else rows, "mix")
     present = rows.groupBy("path").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).limit(max_leaves + 1).collect()
@@ -119,7 +136,7 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
         raise ValueError(f"more than {max_leaves} leaves: the tree is no longer small")
     have = {tuple(r.path): r.t for r in present}
     if budget is None:
-        budget = int(sum(have.values()) * (1.0 if budget_share is None else budget_share))
+        budget = balanced_budget(have, weights, max_epochs) if budget_share is None else int(sum(have.values()) * budget_share)
     given = leaf_budgets(budget, have, weights, max_epochs)
 
     # Whole epochs need no order; the last one ends inside a slice of the hash range.

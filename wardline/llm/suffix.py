@@ -4,8 +4,9 @@ A byte goes if a string of ``length`` (200) bytes that covers it also starts any
 Prefix doubling ranks positions by the bytes that follow them: ranks for h bytes at a
 position and at the position h farther make the pair that ranks 2h bytes; Spark sorts
 the pairs, and a position whose pair is unique cannot repeat and goes.  Ranks are
-content hashes (two independent ones of 64 bits decide), so that equal strings have equal
-ranks on every executor without a global renumbering.
+content hashes, so that equal strings have equal ranks on every executor without a global
+renumbering.  Those that only filter are running sums modulo 2^64; those that decide are
+64 bits of XXH3 over a whole context, or polynomials modulo a prime in four random bases (124 bits).
 
 Ranking every byte of the corpus would write many times its size.  Three steps keep this
 lossless but small:
@@ -33,11 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import binary_rows, list_rows, pieces, prepare, stage_table, texts_of, utf8, with_uid
-from wardline.llm.hashing import prefix, spans
+from wardline.llm.hashing import mix, prefix, spans, strong_prefix, strong_spans
 
 
 def _smallest(value: np.ndarray, width: int) -> np.ndarray:
@@ -50,25 +52,25 @@ def _smallest(value: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(anchor, first window, last window, row) of each anchor, and the two prefix sums."""
+    """(anchor, first window, last window, row) of each anchor, and the running hash sums."""
     seed = _seed(length)
-    one, two = prefix(buf), prefix(buf, 1)
+    one = prefix(buf)
     none = np.zeros(0, np.int64)
     if len(buf) < length:
-        return none, none, none, none, one, two
+        return none, none, none, none, one
     at = np.arange(len(buf) - seed + 1)
     rank = spans(one, at, at + seed) >> np.uint64(32) << np.uint64(32) | at.astype(np.uint64)
     best = (_smallest(rank, length - seed + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     row = np.searchsorted(off, np.arange(len(best)), "right") - 1
     window = np.flatnonzero(np.arange(len(best)) + length <= off[row + 1])
     if not len(window):
-        return none, none, none, none, one, two
+        return none, none, none, none, one
     best, row = best[window], row[window]
     new = np.ones(len(window), bool)
     new[1:] = (best[1:] != best[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(window)) - 1
-    return best[first], window[first], window[last], row[first], one, two
+    return best[first], window[first], window[last], row[first], one
 
 
 def _seed(length: int) -> int:
@@ -84,11 +86,13 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in pieces(batches):
             buf, off = utf8(p.column("text"))
-            a, lo, hi, row, one, two = anchors(buf, off, length)
+            a, lo, hi, row, one = anchors(buf, off, length)
             start, end = off[row], off[row + 1]
             right = np.where(a + 2 * seed <= end, spans(one, a, np.minimum(a + 2 * seed, len(buf))) >> np.uint64(32) | np.uint64(1), 0)
             left = np.where(a - seed >= start, spans(one, np.maximum(a - seed, 0), a + seed) >> np.uint64(32) | np.uint64(1), 0)
-            around = spans(two, lo, hi + length) ^ ((a - lo) << 32 | (hi - lo)).astype(np.uint64)
+            raw = buf.tobytes()
+            around = np.array([xxhash.xxh3_64_intdigest(raw[x:z]) for x, z in zip(lo.tolist(), (hi + length).tolist(), strict=True)], np.uint64)
+            around = mix(around ^ ((a - lo) << 32 | (hi - lo)).astype(np.uint64))
             cols = [spans(one, a, a + seed).view(np.int64), p.column("uid").to_numpy()[row],
                     (a - start) << 24 | (a - lo) << 12 | (a - hi), around.view(np.int64),
                     (right.astype(np.uint64) << np.uint64(32) | left.astype(np.uint64)).view(np.int64)]
@@ -113,9 +117,9 @@ def _single_windows(docs: DataFrame, open_: DataFrame, length: int) -> DataFrame
             np.add.at(step, pos - (at & 0xFFF) + 1, -1)
             w = np.flatnonzero(np.cumsum(step)[:-1] > 0)
             row = np.searchsorted(off, w, "right") - 1
-            one, two = prefix(buf), prefix(buf, 1)
             half = length // 2
-            cols = [spans(one, w, w + half).view(np.int64), spans(two, w + half, w + length).view(np.int64),
+            one, two = (strong_prefix(buf, k) for k in (0, 1))
+            cols = [strong_spans(one, w, w + half).view(np.int64), strong_spans(two, w + half, w + length).view(np.int64),
                     p.column("uid").to_numpy()[row], w - off[row]]
             for k in range(0, len(w), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[k:k + 50_000]) for c in cols], ["x", "y", "uid", "p"])
