@@ -43,9 +43,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents for 70 % of the tokens, by the target weights, each at most once."""
+    """The most tokens that the target weights of the domains allow, each document at most once."""
     docs = with_uid(docs.select(*COLUMNS))
-    taken = mixing.mix(docs, mix_levels(), WEIGHTS, budget_share=0.7, max_epochs=1, fill=True).select("uid")
+    taken = mixing.mix(docs, mix_levels(), WEIGHTS, uid_col="uid", max_epochs=1, fill=True).select("uid")
     return _columns(docs.join(taken, "uid"))
 
 
