@@ -15,14 +15,19 @@ band with probability 0.9995, one with 0.5 in one of five).  Documents with equa
 a class, and only its first document goes on.  Within a band bucket every class is compared
 with one of them; links so found are joined to components; this is done again
 with other centres while many pairs of classes meet in a bucket but lie in different
-components, and what is left of such pairs is compared pair by pair.  Pairs inside a
+components.  The classes that are left in buckets of several components go through an exact
+set-similarity join: their items are ordered from rare to frequent, and two of them are compared if they
+share an item of their prefixes, lie in different components and pass the filters by size and place.  Edits
+make rare items, so near copies of one text that are not alike enough share none.  Pairs inside a
 component need no test, so a bucket of n alike texts costs a few n tests and no link
 between components is lost.  All tests compare the whole multisets.
 
 Defined results: words are runs of bytes that are no ASCII white space, case counts; a
 text of one to four words has one shingle; null and empty texts and texts of white space
 have none, link with nothing and are kept; repeated rows are copies of one another;
-repeated or null ids get numbers of their own, in ``uid``; an empty table gives an empty result.
+repeated or null ids, and ids that are no whole numbers, get numbers of their own, in ``uid``, which class and
+component then name; ties are settled by the smaller uid; very long texts count whole, each in one task; an empty
+table gives an empty result; extra columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -130,20 +135,66 @@ def _verified(met: DataFrame, other: str, sets: DataFrame, threshold: float) ->
     return stage_table(verify(pairs, sets, threshold).select("a", "b"), "links")
 
 
-def _shared_items(sets: DataFrame, met: DataFrame) -> DataFrame:
-    """(uid, shared): how many items of each text in ``met`` stand in another of these texts."""
+def _rarity(sets: DataFrame, buckets: int) -> np.ndarray:
+    """How many of the sets' items fall into each of ``buckets`` hash buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
         for b in batches:
-            for k in range(b.num_rows):
-                items = np.frombuffer(b.column("items")[k].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), b.column("key")[k].as_py())), pa.array(items)], ["uid", "item"])
+            items = np.frombuffer(b"".join(b.column("items").to_pylist()), np.uint64)
+            at, n = np.unique((items % np.uint64(buckets)).astype(np.int64), return_counts=True)
+            total[at] += n
+        at = np.flatnonzero(total)
+        for k in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + 50_000]), pa.array(total[at[k:k + 50_000]])], ["bucket", "n"])
+
+    rows = sets.select("items").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # ``buckets`` at most
+    out = np.zeros(buckets, np.int64)
+    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return out
+
+
+def _prefixes(sets: DataFrame, threshold: float, buckets: int = 1 << 20) -> DataFrame:
+    """(uid, n_items, item, place, indexed): the rarest items of each set, by one order for all sets.
+
+    Sets with a likeness of ``threshold`` share one of the first n - ceil(threshold n) + 1 items of the larger
+    and the first m - ceil(2 threshold / (1 + threshold) m) + 1 (``indexed``) of the smaller, whatever the order.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_rarity(sets, buckets))
 
-    own = sets.join(met.select(F.col("uid").alias("key"), "n_items").distinct(), "key").select("key", "items", "n_items")
-    lone = (own.select("key", "items").mapInArrow(run, "uid long, item long").groupBy("item")
-            .agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("n")).filter("n = 1").groupBy("uid").agg(F.count(F.lit(1)).alias("lone")))
-    return (own.select(F.col("key").alias("uid"), "n_items").join(lone, "uid", "left")
-            .select("uid", (F.col("n_items") - F.coalesce("lone", F.lit(0))).alias("shared")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            uid, n, item, place, indexed = [], [], [], [], []
+            for key, x in zip(b.column("key").to_pylist(), b.column("items").to_pylist(), strict=True):
+                h = np.frombuffer(x, np.uint64)
+                most = len(h) - int(np.ceil(threshold * len(h) - 1e-9)) + 1
+                first = np.lexsort((h, shared.value[(h % np.uint64(buckets)).astype(np.int64)]))[:most]
+                uid.append(np.full(len(first), key))
+                n.append(np.full(len(first), len(h)))
+                item.append(h[first].view(np.int64))
+                place.append(np.arange(1, len(first) + 1))
+                indexed.append(place[-1] <= len(h) - int(np.ceil(2 * threshold / (1 + threshold) * len(h) - 1e-9)) + 1)
+            if uid:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (uid, n, item, place, indexed)], ["uid", "n_items", "item", "place", "indexed"])
+
+    return sets.mapInArrow(run, "uid long, n_items long, item long, place long, indexed boolean")
+
+
+def _rest(sets: DataFrame, open_: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of texts in ``open_`` that may be alike and lie in different components.
+
+    An exact set-similarity join: common prefix items, then the filters by size and place.
+    """
+    group = open_.select("uid", "component").distinct()
+    own = sets.join(group.select(F.col("uid").alias("key")), "key").select("key", "items")
+    rows = stage_table(_prefixes(own, threshold).join(group, "uid"), "prefixes")
+    index = rows.filter("indexed").select("item", *[F.col(c).alias(f"e_{c}") for c in ("uid", "n_items", "place", "component")])
+    n, m, t = F.col("n_items"), F.col("e_n_items"), F.lit(threshold)
+    need = F.ceil(t / (1 + t) * (n + m) - F.lit(1e-9))
+    alike = (rows["item"] == index["item"]) & (F.col("e_component") != F.col("component")) & (m >= t * n - F.lit(1e-9))
+    alike &= (m < n) | ((m == n) & (F.col("e_uid") < F.col("uid")))
+    alike &= F.lit(1) + F.least(n - F.col("place"), m - F.col("e_place")) >= need
+    return rows.join(index, alike).select(F.least("uid", "e_uid").alias("a"), F.greatest("uid", "e_uid").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
@@ -186,15 +237,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                 .agg(F.sum("twice"), F.sum("n")).first())
         if (left[0] or 0) <= 8 * (left[1] or 0):
             break
-    # Whatever still lies in different components of a bucket is compared pair by pair, but
-    # for texts that cannot reach the threshold: too many of their items stand in no other text.
-    t = F.lit(threshold)
-    open_ = stage_table(open_.join(_shared_items(sets, open_), "uid").filter(F.col("shared") >= t * F.col("n_items")), "open")
-    x = open_.select("key", *[F.col(c).alias(f"e_{c}") for c in ("uid", "n_items", "component", "shared")])
-    rest = open_.join(x, "key").filter(
-        (F.col("e_uid") < F.col("uid")) & (F.col("e_component") != F.col("component"))
-        & (F.least("shared", "e_shared") * (1 + t) >= t * (F.col("n_items") + F.col("e_n_items")) - F.lit(1e-6)))
-    group = components(links.union(_verified(rest, "e_", sets, threshold)))
+    # Whatever still lies in different components of a bucket goes through an exact join by rare items.
+    rest = stage_table(verify(_rest(sets, open_, threshold), sets, threshold).select("a", "b"), "links")
+    group = components(links.union(rest))
 
     found = classes.join(group.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
         "c1", "c2", "class_id", F.coalesce("component", "class_id").alias("component_id"))
