@@ -19,6 +19,7 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,6 +110,21 @@ def hourly_mean(df: DataFrame, key, hour: str, cols: Sequence[str]) -> DataFrame
     return df.groupBy(*_list(key), hour).agg(*[F.avg(c).alias(c) for c in cols])
 
 
+def hourly_mean_all(frames: dict[str, tuple[DataFrame, Sequence[str]]], key, hour: str) -> DataFrame:
+    """Hourly means of several series merged on (key, hour), in one aggregate.
+
+    ``frames``: source name -> (series, its columns), no column in two of them.  The same rows as a FULL OUTER
+    join of one ``hourly_mean`` per series: an hour of any series has a row, with NULLs for what the others
+    lack.  ``has_<name>`` is 1 where the source has a row in that hour, 0 otherwise.
+    """
+    keys = [*_list(key), hour]
+    parts = [df.select(*keys, *cols).withColumn(f"has_{name}", F.lit(1)) for name, (df, cols) in frames.items()]
+    rows = reduce(lambda l, r: l.unionByName(r, allowMissingColumns=True), parts)
+    cols = [c for _, cs in frames.values() for c in cs]
+    return rows.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols],
+                                   *[F.coalesce(F.max(f"has_{n}"), F.lit(0)).alias(f"has_{n}") for n in frames])
+
+
 def value_counts(df: DataFrame, cols) -> DataFrame:
     return df.groupBy(*_list(cols)).agg(F.count(F.lit(1)).alias("count"))
 

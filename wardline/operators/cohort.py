@@ -85,18 +85,18 @@ def build_cohort(icustays: DataFrame, admissions: DataFrame, patients: DataFrame
     pat = patients.select("subject_id", "dob", "gender")
     sp = suspicion.select("icustay_id", "suspected_infection_time", "specimen",
                           "positiveculture", "antibiotic_time")
-    t1 = (ie.join(adm, "hadm_id").join(pat, "subject_id")
+    stays = (ie.join(adm, "hadm_id").join(pat, "subject_id")
           .join(first_service, "hadm_id", "left")
           .join(sp, "icustay_id", "left"))
     # Stay order per subject over the joined rows (as the original numbers
     # them).  A window partitioned by subject: ICU stays per patient are a
     # naturally small group, and this keeps the cohort join single in the plan.
-    t1 = order_number(t1, "subject_id", ["intime", "icustay_id"], "_rn")
+    stays = order_number(stays, "subject_id", ["intime", "icustay_id"], "_rn")
     age = F.round(diff_days("admittime", "dob").cast("double") / F.lit(specs.DAYS_PER_YEAR), 4)
     susp = F.col("suspected_infection_time")
-    t1 = t1.withColumn("_age", age).withColumn("_rn1", F.col("_rn") == 1)
+    stays = stays.withColumn("_age", age).withColumn("_rn1", F.col("_rn") == 1)
     intime = F.col("intime")
-    out = t1.select(
+    out = stays.select(
         "hadm_id", "icustay_id", "intime", "outtime",
         topcode(F.col("_age"), topcode_above, topcode_value).alias("age"),
         "gender", "ethnicity", "first_service", "dbsource",
@@ -136,28 +136,34 @@ def detect_onset(scores: DataFrame, suspicion: DataFrame, *, key: str = "icustay
     Ties on the onset time are broken by the lower score.
     """
     sp = suspicion.select(key, susp_col).where(F.col(susp_col).isNotNull())
-    step1 = (scores.select(key, start_col, end_col, score_col)
+    crossed = (scores.select(key, start_col, end_col, score_col)
              .where(F.col(score_col) >= F.lit(threshold))
              .join(sp, key)
              .where(diff_hours_boundary(start_col, susp_col).between(lo_hours, hi_hours)))
-    step3 = step1.select(key, susp_col, F.col(end_col).alias("sepsis_onset"), score_col)
-    first = first_per_key(step3, key, ["sepsis_onset", score_col])
+    candidates = crossed.select(key, susp_col, F.col(end_col).alias("sepsis_onset"), score_col)
+    first = first_per_key(candidates, key, ["sepsis_onset", score_col])
     return first.select(key, susp_col, "sepsis_onset", score_col, F.lit(1).cast("long").alias("row_id"))
 
 
-def build_cases(onsets: DataFrame, cohort: DataFrame, admissions: DataFrame, icustays: DataFrame,
-                *, min_age: float = 16, source: str = specs.SOURCE_SYSTEM) -> DataFrame:
-    """Stays with an onset inside [intime, outtime] that pass the clean-data rules."""
-    c = cohort.select("icustay_id", "hadm_id", "intime", "outtime", "age", "dbsource",
-                      "suspected_of_infection_poe")
-    j = (onsets.select("icustay_id", "sepsis_onset").join(c, "icustay_id")
-         .join(admissions.select("hadm_id", "has_chartevents_data"), "hadm_id")
-         .join(icustays.select("icustay_id", "subject_id"), "icustay_id"))
+def stay_frame(onsets: DataFrame, cohort: DataFrame, admissions: DataFrame, icustays: DataFrame) -> DataFrame:
+    """What cases and controls are chosen from: every cohort stay with its onset (NULL without one),
+    the admission's data flag and its subject.  Stored once, it serves both arms as filters."""
+    c = cohort.select("icustay_id", "hadm_id", "intime", "outtime", "age", "dbsource", "suspected_of_infection_poe")
+    return (c.join(onsets.select("icustay_id", "sepsis_onset"), "icustay_id", "left")
+            .join(admissions.select("hadm_id", "has_chartevents_data"), "hadm_id")
+            .join(icustays.select("icustay_id", "subject_id"), "icustay_id"))
+
+
+def _unclean(min_age: float, source: str) -> list[Column]:
+    return [F.col("age") <= min_age, F.col("has_chartevents_data") == 0, F.col("intime").isNull(),
+            F.col("outtime").isNull(), F.col("dbsource") != F.lit(source)]
+
+
+def select_cases(stays: DataFrame, *, min_age: float = 16, source: str = specs.SOURCE_SYSTEM) -> DataFrame:
+    """Rows of ``stay_frame`` with an onset inside [intime, outtime] that pass the clean-data rules."""
     onset = F.col("sepsis_onset")
-    kept = exclude(j, [F.col("age") <= min_age, F.col("has_chartevents_data") == 0,
-                       F.col("intime").isNull(), F.col("outtime").isNull(),
-                       F.col("dbsource") != F.lit(source), F.col("suspected_of_infection_poe") == 0,
-                       onset > F.col("outtime"), onset < F.col("intime")])
+    kept = exclude(stays, [*_unclean(min_age, source), F.col("suspected_of_infection_poe") == 0,
+                           onset > F.col("outtime"), onset < F.col("intime")])
     return kept.select(
         "icustay_id", "intime", "outtime",
         diff_hours("outtime", "intime").alias("length_of_stay"),
@@ -167,25 +173,28 @@ def build_cases(onsets: DataFrame, cohort: DataFrame, admissions: DataFrame, icu
         "subject_id")
 
 
-def build_controls(cohort: DataFrame, onsets: DataFrame, admissions: DataFrame, icustays: DataFrame,
-                   diagnoses: DataFrame, *, codes: Sequence[str] = tuple(specs.SEPSIS_ICD9_CODES),
-                   min_age: float = 16, source: str = specs.SOURCE_SYSTEM) -> DataFrame:
-    """Stays without onset whose admission carries none of ``codes`` (NOT IN,
+def select_controls(stays: DataFrame, diagnoses: DataFrame, *, codes: Sequence[str] = tuple(specs.SEPSIS_ICD9_CODES),
+                    min_age: float = 16, source: str = specs.SOURCE_SYSTEM) -> DataFrame:
+    """Rows of ``stay_frame`` without onset whose admission carries none of ``codes`` (NOT IN,
     null-aware) and that pass the clean-data rules."""
-    c = cohort.select("icustay_id", "hadm_id", "intime", "outtime", "age", "dbsource")
-    j = (c.join(onsets.select("icustay_id", "sepsis_onset"), "icustay_id", "left")
-         .join(admissions.select("hadm_id", "has_chartevents_data"), "hadm_id")
-         .join(icustays.select("icustay_id", "subject_id"), "icustay_id"))
     dx = diagnoses.where(F.col("icd9_code").isin(list(codes))).select("hadm_id")
-    j = not_in(j, "hadm_id", dx)
-    kept = exclude(j, [F.col("age") <= min_age, F.col("has_chartevents_data") == 0,
-                       F.col("intime").isNull(), F.col("outtime").isNull(),
-                       F.col("dbsource") != F.lit(source), F.col("sepsis_onset").isNotNull()])
+    kept = exclude(not_in(stays, "hadm_id", dx), [*_unclean(min_age, source), F.col("sepsis_onset").isNotNull()])
     return kept.select("icustay_id", "hadm_id", "intime", "outtime",
                        diff_hours("outtime", "intime").alias("length_of_stay"),
                        "sepsis_onset", "subject_id")
 
 
+def build_cases(onsets: DataFrame, cohort: DataFrame, admissions: DataFrame, icustays: DataFrame, **rules) -> DataFrame:
+    """Cases from their tables: ``select_cases`` of the ``stay_frame``."""
+    return select_cases(stay_frame(onsets, cohort, admissions, icustays), **rules)
+
+
+def build_controls(cohort: DataFrame, onsets: DataFrame, admissions: DataFrame, icustays: DataFrame,
+                   diagnoses: DataFrame, **rules) -> DataFrame:
+    """Controls from their tables: ``select_controls`` of the ``stay_frame``."""
+    return select_controls(stay_frame(onsets, cohort, admissions, icustays), diagnoses, **rules)
+
+
 def static_features(icustays: DataFrame, admissions: DataFrame, patients: DataFrame) -> DataFrame:
     """Per-stay static variables: gender, admission age (4 decimals), admission
     attributes, hospital-stay and ICU-stay sequence numbers and first flags."""

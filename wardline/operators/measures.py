@@ -131,7 +131,7 @@ def _prepare_events(events: DataFrame, spec, item_col: str, value_col: str,
 
 
 def measure_series(anchors: DataFrame, events: DataFrame, spec, *, keys, anchor_col: str,
-                   time_col: str, hours: float, item_col: str = "itemid",
+                   time_col: str, hours: float | str, item_col: str = "itemid",
                    value_col: str = "valuenum", how: str | None = None,
                    keep: Sequence[str] = ("icustay_id", "subject_id"),
                    out_time: str = "chart_time", keep_unlabelled: bool = False,
@@ -182,6 +182,36 @@ def lab_events_before(anchors: DataFrame, events: DataFrame, spec: LabelSpec, *,
     return out.where(F.col(value_col).isNotNull())
 
 
+def stack_anchors(arms: Sequence[tuple[DataFrame, str, dict]], horizons: Sequence[int], *,
+                  anchor_col: str = "anchor_time", horizon_col: str = "horizon") -> DataFrame:
+    """All arms and look-back lengths as one anchor frame.
+
+    ``arms`` are (anchors, their anchor column, tags): a row per anchor and horizon (hours) with
+    the anchor columns, the time in ``anchor_col`` and the tags as constant columns.  One
+    interval join with ``hours=horizon_col`` then extracts for all of them, and what used to
+    be a join per arm and length is a filter on the tags.
+    """
+    parts = []
+    for anchors, own, tags in arms:
+        a = anchors.withColumnRenamed(own, anchor_col)
+        parts.append(a.withColumns({k: F.lit(v) for k, v in tags.items()}))
+    rows = reduce(lambda x, y: x.unionByName(y), parts)
+    return rows.withColumn(horizon_col, F.explode(F.array(*[F.lit(int(h)) for h in horizons])))
+
+
+def measured_keys(anchors: DataFrame, events: DataFrame, spec, *, keys, anchor_col: str, time_col: str, hours: float | str,
+                  keep: Sequence[str], item_col: str = "itemid", value_col: str = "valuenum", event_filter: Column | None = None,
+                  **join_kw) -> DataFrame:
+    """Distinct ``keep`` values of the anchors that have any event of the spec in their window.
+
+    The presence test that the wide series would give, without building it: the join carries
+    keys and times only.
+    """
+    ev = _prepare_events(events, spec, item_col, value_col, False, isinstance(spec, LabelSpec), event_filter)
+    ev = ev.select(*{k: None for k in _event_keys(keys)}, time_col)
+    return window_join(anchors, ev, keys, anchor_col, time_col, hours, how="inner", **join_kw).select(*keep).distinct()
+
+
 def _event_keys(keys) -> list[str]:
     if isinstance(keys, str):
         return [keys]
