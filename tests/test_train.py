@@ -15,10 +15,6 @@ def test_training_smoke(spark):
     lr = M.train_lr(df, feats)
     auc = V.roc_auc(M.predict(lr, df), "label", "p").first().roc_auc
     assert auc > 0.9
-    models, metrics, curve = M.train_gbt_cv(df, feats, id_col="id", folds=3, max_iter=5)
-    assert len(models) == 3 and metrics.count() == 3 and curve.count() == 15
-    ens = M.predict_ensemble(models, df, feats, "id")
-    assert ens.count() == 120
     pairs = M.train_svm_calibrated(df, feats, id_col="id", folds=3, max_iter=10)
-    p = M.predict_svm_calibrated(pairs, df, feats, "id").select("p").collect()
+    p = M.predict_svm_calibrated(pairs, df, feats).select("p").collect()
     assert all(0.0 <= r.p <= 1.0 for r in p)

@@ -1,6 +1,5 @@
-"""Model training as MLlib jobs: logistic regression, calibrated linear SVM,
-boosted trees with fold cross-validation, grid tuning, fold-averaged
-feature importances.
+"""Model training as MLlib jobs: logistic regression and calibrated linear SVM
+(boosted trees are in ``boosting``).
 
 Training data stay distributed: MLlib fits with tree/vector aggregates over
 the partitions, predictions are ``transform`` jobs.  Folds come from
@@ -10,19 +9,17 @@ Loops run over folds and parameter sets (a handful), never over rows.
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.scalar import sigmoid
 from wardline.operators.features import stratified_folds
 
 
@@ -39,28 +36,46 @@ def _assemble(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def _prob(df: DataFrame, name: str = "p") -> DataFrame:
-    return df.withColumn(name, vector_to_array("probability")[1])
+def _linear(model, features: Sequence[str]) -> Column:
+    """w . x + b of a fitted linear model, as an expression over the feature columns.
 
+    Scores need no vectors then, and plans no longer hold the fitted model (whose training
+    summary holds the session, which cannot be sent to executors once it has observed metrics)."""
+    terms = [F.col(f).cast("double") * F.lit(float(w)) for f, w in zip(features, model.coefficients.toArray(), strict=True)]
+    return reduce(lambda x, y: x + y, terms, F.lit(float(model.intercept)))
 
-def train_lr(train: DataFrame, features: Sequence[str], label: str = "label", *, reg: float = 0.01,
-             max_iter: int = 30):
-    """L2-regularised logistic regression.
 
+ROWS_A_TASK = 100_000
+
+
+def _ready(train: DataFrame, label: str, features: Sequence[str], strength: float) -> tuple[DataFrame, float]:
+    """The assembled rows in as few partitions as they fill (every iteration of a fit is a job over them),
+    and the penalty for ``strength`` times the *sum* of the losses beside ||w||^2 / 2, for a fit that averages them."""
+    data = _assemble(features).transform(train.withColumn(label, F.col(label).cast("double")))
+    n = data.count()
+    return data.coalesce(max(1, -(-n // ROWS_A_TASK))), 1.0 / (strength * max(1, n))
+
+
+def train_lr(train: DataFrame, features: Sequence[str], label: str = "label", *, strength: float = 1.0,
+             max_iter: int = 100):
+    """L2-regularised logistic regression on the features as they are.
+
+    ``strength`` is the inverse penalty of the usual scientific-python default (1).
     Returns the fitted pipeline model; ``predict(model, df)`` adds ``p``."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=reg,
-                            elasticNetParam=0.0, maxIter=max_iter)
-    return Pipeline(stages=[_assemble(features), lr]).fit(train.withColumn(label, F.col(label).cast("double")))
+    data, reg = _ready(train, label, features, strength)
+    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0, maxIter=max_iter,
+                            standardization=False)
+    return PipelineModel([_assemble(features), lr.fit(data)])
 
 
 def predict(model, df: DataFrame, name: str = "p") -> DataFrame:
-    out = _prob(model.transform(df), name)
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+    assembler, lr = model.stages
+    return df.withColumn(name, sigmoid(_linear(lr, assembler.getInputCols())))
 
 
 def train_svm_calibrated(train: DataFrame, features: Sequence[str], label: str = "label", *,
-                         id_col: str = "id", folds: int = 5, seed: int = 42, reg: float = 0.01,
-                         max_iter: int = 20, parallelism: int = 5):
+                         id_col: str = "id", folds: int = 5, seed: int = 42, strength: float = 1.0,
+                         max_iter: int = 50, parallelism: int = 2):
     """Linear SVM with sigmoid (Platt) calibration by cross-validation.
 
     For each fold: fit ``LinearSVC`` on the other folds, fit a 1-D logistic
@@ -68,115 +83,23 @@ def train_svm_calibrated(train: DataFrame, features: Sequence[str], label: str =
     prediction is the mean calibrated probability over the folds.
     Returns a list of (svm_model, calibrator) pairs.
     """
-    data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
-    data = _assemble(features).transform(data).cache()
+    data = stratified_folds(train, id_col, label, folds, seed=seed)
+    data, reg = _ready(data, label, features, strength * (folds - 1) / folds)
+    data = data.cache()
 
     def fit_fold(k):
-        svm = LinearSVC(featuresCol="features", labelCol=label, regParam=reg, maxIter=max_iter,
-                        predictionCol="svm_pred", rawPredictionCol="svm_raw").fit(
+        svm = LinearSVC(featuresCol="features", labelCol=label, regParam=reg, maxIter=max_iter, standardization=False).fit(
             data.where(F.col("fold") != k))
-        held = svm.transform(data.where(F.col("fold") == k)).withColumn(
-            "margin", vector_to_array("svm_raw")[1]).drop("svm_pred", "svm_raw")
-        cal = Pipeline(stages=[VectorAssembler(inputCols=["margin"], outputCol="mfeat"),
-                               LogisticRegression(featuresCol="mfeat", labelCol=label, regParam=0.0,
-                                                  maxIter=max_iter)]).fit(held)
-        return svm, cal
+        held = data.where(F.col("fold") == k).select(label, _linear(svm, features).alias("margin"))
+        held = VectorAssembler(inputCols=["margin"], outputCol="margins").transform(held)
+        return svm, LogisticRegression(featuresCol="margins", labelCol=label, regParam=0.0, maxIter=max_iter).fit(held)
 
     pairs = _per_fold(fit_fold, folds, parallelism)
     data.unpersist()
     return pairs
 
 
-def predict_svm_calibrated(pairs, df: DataFrame, features: Sequence[str], id_col: str,
-                           name: str = "p") -> DataFrame:
-    base = _assemble(features).transform(df)
-    parts = []
-    for k, (svm, cal) in enumerate(pairs):
-        s = svm.transform(base).withColumn("margin", vector_to_array("svm_raw")[1]) \
-            .select(id_col, "margin").withColumn("model", F.lit(k))
-        parts.append(_prob(cal.transform(s)).select(id_col, "model", "p"))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    avg = allp.groupBy(id_col).agg(F.avg("p").alias(name))
-    return df.join(avg, id_col)
-
-
-def train_gbt_cv(train: DataFrame, features: Sequence[str], label: str = "label", *, id_col: str = "id",
-                 folds: int = 5, seed: int = 42, max_iter: int = 50, max_depth: int = 3,
-                 step_size: float = 0.1, subsample: float = 1.0, feature_subset: str = "all",
-                 parallelism: int = 5):
-    """Boosted trees, one model per fold (trained on the other folds).
-
-    Returns (models, fold_metrics, curve): ``fold_metrics`` is a DataFrame
-    (fold, auc) of held-out ROC AUC, ``curve`` a DataFrame (fold, round, loss)
-    of the held-out log-loss after every boosting round (one number per
-    round and fold); test predictions are the fold-model mean
-    (``predict_ensemble``)."""
-    data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
-    data = _assemble(features).transform(data).cache()
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    def fit_fold(k):
-        gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                            stepSize=step_size, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                            seed=seed)
-        m = gbt.fit(data.where(F.col("fold") != k))
-        held = data.where(F.col("fold") == k)
-        auc = float(ev.evaluate(m.transform(held)))
-        return m, auc, [(k, r + 1, float(v)) for r, v in enumerate(m.evaluateEachIteration(held))]
-
-    fitted = _per_fold(fit_fold, folds, parallelism)
-    data.unpersist()
-    models = [m for m, _, _ in fitted]
-    rows = [(k, auc) for k, (_, auc, _) in enumerate(fitted)]
-    curve = [row for _, _, c in fitted for row in c]
-    spark = train.sparkSession
-    metrics = spark.createDataFrame(rows, "fold int, auc double")
-    return models, metrics, spark.createDataFrame(curve, "fold int, round int, loss double")
-
-
-def predict_ensemble(models, df: DataFrame, features: Sequence[str], id_col: str, name: str = "p") -> DataFrame:
-    """Mean positive-class probability over the fold models."""
-    base = _assemble(features).transform(df)
-    parts = None
-    for k, m in enumerate(models):
-        p = _prob(m.transform(base)).select(id_col, F.lit(k).alias("model"), "p")
-        parts = p if parts is None else parts.unionByName(p)
-    return df.join(parts.groupBy(id_col).agg(F.avg("p").alias(name)), id_col)
-
-
-def mean_importance(models, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Feature importance averaged over fold models (gain-based, normalised)."""
-    acc = [0.0] * len(features)
-    for m in models:
-        imp = m.featureImportances.toArray()
-        for i, v in enumerate(imp):
-            acc[i] += float(v) / len(models)
-    return list(zip(features, acc))
-
-
-def tune(train: DataFrame, features: Sequence[str], label: str = "label", *, id_col: str = "id",
-         folds: int = 5, seed: int = 42, trials: int = 4, max_iter: int = 30) -> DataFrame:
-    """Seeded random search over depth, learning rate and feature fraction of
-    boosted trees, scored by mean held-out ROC AUC over stratified folds.
-
-    Returns one row per trial: trial, max_depth, step_size, feature_subset, auc.
-    """
-    rng = random.Random(seed)
-    data = stratified_folds(train.withColumn(label, F.col(label).cast("double")), id_col, label, folds, seed=seed)
-    data = _assemble(features).transform(data).cache()
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)
-    depths = [rng.randint(2, 10) for _ in range(trials)]
-    steps = [round(rng.uniform(0.005, 0.2), 4) for _ in range(trials)]
-    fracs = [str(round(rng.uniform(0.1, 1.0), 2)) for _ in range(trials)]
-    maps = []
-    for d, s, f in zip(depths, steps, fracs):
-        maps.append({gbt.maxDepth: d, gbt.stepSize: s, gbt.featureSubsetStrategy: f})
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps, evaluator=ev, foldCol="fold", seed=seed,
-                        numFolds=folds, parallelism=2)
-    fitted = cv.fit(data.withColumn("fold", F.col("fold").cast("int")))
-    data.unpersist()
-    rows = [(i, d, s, f, float(a)) for i, (d, s, f, a) in enumerate(zip(depths, steps, fracs, fitted.avgMetrics))]
-    return train.sparkSession.createDataFrame(rows, "trial int, max_depth int, step_size double, "
-                                                    "feature_subset string, auc double")
+def predict_svm_calibrated(pairs, df: DataFrame, features: Sequence[str], name: str = "p") -> DataFrame:
+    """Mean calibrated probability over the folds."""
+    each = [sigmoid(_linear(svm, features) * F.lit(float(cal.coefficients[0])) + F.lit(float(cal.intercept))) for svm, cal in pairs]
+    return df.withColumn(name, reduce(lambda x, y: x + y, each) / F.lit(float(len(each))))

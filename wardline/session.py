@@ -7,6 +7,10 @@ used as is.  A session without one keeps intermediates in Spark's own storage.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +73,20 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     if eager:
         kept.count()
     return kept
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the executors' import path, once per application, for functions that run there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}-core.zip"  # sent by Spark itself
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in package.rglob("*.py"):
+            out.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
