@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.scalar import recode_contains
 from wardline.functions.temporal import diff_hours
-from wardline.operators.indexing import global_index, hash_prefix_bucket
+from wardline.operators.indexing import global_index, hash_prefix_bucket, range_index
 from wardline.operators.joins import bounded_broadcast, join_null_safe
 from wardline.operators.matching import seeded_order_key
 
@@ -44,15 +44,15 @@ def one_hot(df: DataFrame, col: str, vocab: Sequence[str], drop: bool = True) ->
 
 def label_encode(df: DataFrame, col: str, name: str | None = None,
                  fit_on: DataFrame | None = None) -> DataFrame:
-    """Categories sorted, coded 0..k-1 (fit on ``fit_on`` or on ``df``).
+    """Categories sorted, coded 0..k-1 (fit on ``fit_on`` or on ``df``); NULL stays NULL.
 
-    The vocabulary is indexed with the distributed index (first character as
-    an order-preserving bucket) and joined back; NULL stays NULL.
+    The dictionary (distinct values, read in one pass) is numbered over range partitions, so it
+    may be as large as it likes and its values may share a prefix; it is broadcast if Spark finds it small.
     """
     name = name or col
-    src = (fit_on if fit_on is not None else df).select(col).where(F.col(col).isNotNull()).distinct()
-    codes = global_index(src, [col], name="_code", bucket=F.ascii(F.col(col)))
-    out = df.join(codes, col, "left")
+    src = (fit_on if fit_on is not None else df).select(F.col(col).alias("_value")).where(F.col(col).isNotNull()).distinct()
+    codes = range_index(src, ["_value"], name="_code")
+    out = df.join(codes, F.col(col) == F.col("_value"), "left").drop("_value")
     return out.withColumn(name, F.col("_code").cast("long")).drop("_code")
 
 
@@ -99,6 +99,40 @@ def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFr
     return df.withColumns(outs)
 
 
+def fold_minmax(df: DataFrame, cols: Sequence[str], fold: str = "fold", *, model: str = "model") -> DataFrame:
+    """Per fold model the min and max of every column over the *other* folds, from one pass.
+
+    The pass leaves one row per fold; the extreme over all folds but one is then the extreme of
+    the rows before it and the rows after it in that small table.  NULL folds train no model
+    and are no part of the statistics.
+    """
+    stats = df.where(F.col(fold).isNotNull()).groupBy(F.col(fold).alias(model)).agg(
+        *[f(c).cast("double").alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))])
+    order = Window.orderBy(model)  # a row per fold
+    sides = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    return stats.select(model, *[
+        pick(*[f(f"{n}_{c}").over(w) for w in sides]).alias(f"{n}_{c}")
+        for c in cols for n, f, pick in (("min", F.min, F.least), ("max", F.max, F.greatest))])
+
+
+def fold_scale(df: DataFrame, cols: Sequence[str], folds: int, fold: str = "fold", *, model: str = "model",
+               held_out: str = "is_valid") -> DataFrame:
+    """A copy of every row for each fold model, scaled with the model's own training rows.
+
+    ``model`` is the fold that the model leaves out and ``held_out`` marks the rows of that fold; scaling is
+    that of ``minmax_apply``.  The statistics are one row per fold, computed once and broadcast.
+    """
+    stats = F.broadcast(fold_minmax(df, cols, fold, model=model))
+    copies = df.withColumn(model, F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    j = copies.join(stats, model)
+    out = {}
+    for c in cols:
+        lo, hi = F.col(f"min_{c}"), F.col(f"max_{c}")
+        out[c] = (F.col(c).cast("double") - lo) / F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)
+    j = j.withColumns({**out, held_out: F.when(F.col(fold) == F.col(model), 1).otherwise(0)})
+    return j.drop(*[f"{n}_{c}" for c in cols for n in ("min", "max")])
+
+
 def forward_fill(df: DataFrame, key, order, cols: Sequence[str], fill: float | None = 0.0) -> DataFrame:
     """Per key in ``order``: carry the last non-NULL value forward, then fill
     the rest (leading NULLs) with ``fill``.  Only existing rows are filled
@@ -175,6 +209,3 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, *, seed
     idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix",
                        bucket=hash_prefix_bucket("_h", hash_digits))
     return idx.withColumn(name, (F.col("_ix") % F.lit(k)).cast("int")).drop("_h", "_ix")
-
-
-

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import bounded_broadcast, join_null_safe
+from wardline.session import materialize
 
 DEFAULT_BUCKETS = 1024
 _MAX_OFFSET_ROWS = 1_000_000
@@ -108,6 +109,30 @@ def global_index(df: DataFrame, order, *, group: Sequence[str] = (), name: str =
     return out.drop("_b", "_off")
 
 
+def range_index(df: DataFrame, order, *, name: str = "idx", rows: int | None = None, rows_a_part: int = 1_000_000) -> DataFrame:
+    """0-based dense position of each row in ``order``, for keys of any type.
+
+    The rows are range-partitioned by ``order`` and stored with their partition, which reads ``df`` once;
+    a partition's offset is the number of rows in the partitions before it (one row per partition),
+    and positions within a partition come from a window over it.  There are as many partitions as rows of
+    ``rows_a_part``, and their bounds follow the data, so a common prefix of many keys does no harm.
+    ``order`` must be a total order; a caller that has stored and counted ``df`` passes its ``rows``.
+    """
+    if rows is None:
+        df = materialize(df)
+        rows = df.count()
+    parts = max(1, -(-rows // rows_a_part))
+    keys = _order_cols(order, True)
+    if parts == 1:  # ``rows_a_part`` rows at most: one task does
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("long"))
+    placed = materialize(df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off"))
+    w = Window.partitionBy("_part").orderBy(*keys)
+    out = placed.join(F.broadcast(offsets), "_part")  # a row per partition
+    return out.withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("long")).drop("_part", "_off")
+
+
 def global_cumsum(df: DataFrame, order, cols: Sequence[str], *, group: Sequence[str] = (),
                   prefix: str = "cum_", bucket: Column | None = None,
                   buckets: int = DEFAULT_BUCKETS, ascending: bool = True) -> DataFrame:

@@ -14,11 +14,13 @@ float slicing can lose one row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardline.functions.temporal import add_fractional_hours
-from wardline.operators.indexing import global_index, hash_prefix_bucket
+from wardline.operators.indexing import global_index, hash_prefix_bucket, range_index
+from wardline.session import materialize
+from wardline.sources.io import save_with_schema
 
 
 def seeded_order_key(id_col: str, seed: int) -> F.Column:
@@ -36,31 +38,51 @@ def shuffled_index(df: DataFrame, id_col: str, seed: int, name: str = "idx",
                         bucket=hash_prefix_bucket("_h", hash_digits)).drop("_h")
 
 
-def match_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42,
-                   id_col: str = "icustay_id", onset_hour_col: str = "sepsis_onset_hour",
-                   intime_col: str = "intime", los_col: str = "length_of_stay",
-                   hash_digits: int = 3) -> DataFrame:
-    """Assign every control to one case; the control inherits the case's onset hour.
+def assign_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42, id_col: str = "icustay_id",
+                    onset_hour_col: str = "sepsis_onset_hour", intime_col: str = "intime") -> DataFrame:
+    """Every control with its case: the control columns, ``control_onset_hour``, ``control_onset_time``
+    (= intime + onset hours), ``matched_case_icustay_id`` and ``n_controls``, their number.
 
-    Output: control columns + ``control_onset_hour``, ``control_onset_time``
-    (= intime + onset hours) and ``matched_case_icustay_id``; controls whose
-    onset hour is not below their length of stay are dropped.
+    Without any case no control has a case and there are no rows.
     """
-    ctrl = controls.distinct()
-    # Rows are what is indexed, so rows are what is counted.
-    n_case = cases.select(F.count(F.lit(1))).scalar()
-    n_ctrl = ctrl.select(F.count(F.lit(1))).scalar()
-    cj = shuffled_index(ctrl, id_col, seed, "_j", hash_digits)
-    cj = cj.withColumns({"_n": n_case.cast("decimal(19,0)"), "_m": n_ctrl})
-    cj = cj.withColumn("_i", F.expr("((_j + 1) * _n + _m - 1) div _m - 1").cast("long")).drop("_n", "_m")
-    ci = global_index(cases.select(F.col(id_col).alias("matched_case_icustay_id"),
-                                   F.col(onset_hour_col).alias("control_onset_hour")),
-                      ["matched_case_icustay_id"], name="_i")
+    # Rows are what is indexed, so rows are what is counted; either side is stored once and counted there.
+    ctrl = materialize(controls.distinct())
+    case = materialize(cases.select(F.col(id_col).alias("matched_case_icustay_id"), F.col(onset_hour_col).alias("control_onset_hour")))
+    n_ctrl, n_case = ctrl.count(), case.count()
+    cj = range_index(ctrl.withColumn("_h", seeded_order_key(id_col, seed)), ["_h", id_col], name="_j", rows=n_ctrl).drop("_h")
+    place = f"(cast(_j + 1 as decimal(19, 0)) * {n_case} + {n_ctrl} - 1) div {max(n_ctrl, 1)} - 1"
+    cj = cj.withColumns({"_i": F.expr(place).cast("long"), "n_controls": F.lit(n_ctrl).cast("long")})
+    ci = range_index(case, ["matched_case_icustay_id"], name="_i", rows=n_case)
     m = cj.join(ci, "_i")
     m = m.withColumn("control_onset_time", add_fractional_hours(intime_col, "control_onset_hour"))
-    m = m.where(F.col("control_onset_hour") < F.col(los_col))
-    return m.select(*ctrl.columns, "control_onset_hour", "control_onset_time",
-                    "matched_case_icustay_id")
+    return m.select(*ctrl.columns, "control_onset_hour", "control_onset_time", "matched_case_icustay_id", "n_controls")
+
+
+def match_controls(cases: DataFrame, controls: DataFrame, *, los_col: str = "length_of_stay", **kw) -> DataFrame:
+    """Assign every control to one case; the control inherits the case's onset hour.
+
+    Controls whose onset hour is not below their length of stay are dropped after the assignment
+    (``assign_controls``, which takes the other arguments).
+    """
+    m = assign_controls(cases, controls, **kw)
+    return m.where(F.col("control_onset_hour") < F.col(los_col)).drop("n_controls")
+
+
+def write_matched(cases: DataFrame, controls: DataFrame, target: str, schema, *, los_col: str = "length_of_stay", **kw) -> int:
+    """Store the matched controls with the declared schema; returns how many were assigned.
+
+    The write observes how many controls it assigned and raises if that is not every one of them.
+    Only then are those dropped whose onset would fall after discharge.
+    """
+    assigned = Observation()
+    m = assign_controls(cases, controls, **kw).observe(
+        assigned, F.count(F.lit(1)).alias("n"), F.max("n_controls").alias("wanted"))
+    save_with_schema(m.where(F.col("control_onset_hour") < F.col(los_col)), target, schema)
+    n = assigned.get["n"]
+    wanted = assigned.get["wanted"] if n else controls.distinct().count()  # no row, no number
+    if n != wanted:
+        raise ValueError(f"{n} controls were assigned, expected {wanted}")
+    return n
 
 
 def match_ratio(cases: DataFrame, controls: DataFrame, matched: DataFrame,
