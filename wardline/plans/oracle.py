@@ -8,6 +8,9 @@ clause carries the derived tables it needs.
 
 from __future__ import annotations
 
+from wardline import specs
+from wardline.plans.testbed import CLINICAL_ITEM_LABELS
+
 CTE: dict[str, str] = {}
 DEPS: dict[str, list[str]] = {}
 
@@ -293,6 +296,18 @@ for _h in (48, 96):
     register(f"vital_series_control_{_h}h", vital_series_sql("matched", "control_onset_time", _h),
              ["matched", "chartevents", "icustays"])
 
+
+
+def _all_series_sql(series_sql) -> str:
+    """Both arms and look-back lengths of a series, with their tags."""
+    return "\nUNION ALL\n".join(
+        f"SELECT {label} AS label, {h} AS horizon, a.{col} AS anchor_time, s.* FROM ({series_sql(arm, col, h)}) s JOIN {arm} a USING (icustay_id)"
+        for label, arm, col in ((1, "cases", "sepsis_onset"), (0, "matched", "control_onset_time")) for h in (48, 96))
+
+
+register("lab_series_all", _all_series_sql(lab_series_sql), ["cases", "matched", "labevents", "icustays"])
+register("vital_series_all", _all_series_sql(vital_series_sql), ["cases", "matched", "chartevents", "icustays"])
+
 register("lab_events_before", f"""
 SELECT icustay_id, label, charttime, valuenum
 FROM (
@@ -720,9 +735,9 @@ FROM (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS grp FROM pop
 GROUP BY grp""", ["pop"])
 
 
-def _chi2_sql(col: str) -> str:
+def _chi2_sql(col: str, digits: int = 6) -> str:
     return f"""
-SELECT '{col}' AS variable, round(sum((oc - e) * (oc - e) / e), 6) AS statistic, max(dof) AS dof
+SELECT '{col}' AS variable, round(sum((oc - e) * (oc - e) / e), {digits}) AS statistic, max(dof) AS dof
 FROM (SELECT *, CASE WHEN dof = 1 THEN o + sign(e - o) * least(0.5, abs(e - o)) ELSE o END AS oc
       FROM (SELECT lvl, grp, CAST(o AS DOUBLE) AS o,
                    CAST(sum(o) OVER (PARTITION BY lvl) AS DOUBLE) * sum(o) OVER (PARTITION BY grp)
@@ -739,7 +754,7 @@ FROM (SELECT *, CASE WHEN dof = 1 THEN o + sign(e - o) * least(0.5, abs(e - o))
 
 
 register("chi2_stat", f"{_chi2_sql('gender')}\nUNION ALL\n{_chi2_sql('ethnicity')}", ["pop"])
-register("kruskal_stat", """
+_KRUSKAL = """
 WITH b AS (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS g FROM pop
            WHERE admission_age IS NOT NULL AND sepsis IS NOT NULL),
      r AS (SELECT v, g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk FROM b),
@@ -747,9 +762,19 @@ WITH b AS (SELECT CAST(admission_age AS DOUBLE) AS v, sepsis AS g FROM pop
      t AS (SELECT sum(CAST(c AS DOUBLE) * c * c - c) AS ts FROM (SELECT count(*) AS c FROM b GROUP BY v) q),
      h AS (SELECT 12.0 / (sum(n) * (sum(n) + 1)) * sum(rs * rs / n) - 3.0 * (sum(n) + 1) AS h,
                   count(*) AS k, CAST(sum(n) AS DOUBLE) AS nn FROM s)
-SELECT 'admission_age' AS variable, round(h / (1.0 - ts / (nn * nn * nn - nn)), 6) AS statistic,
+SELECT 'admission_age' AS variable, round(h / (1.0 - ts / (nn * nn * nn - nn)), {digits}) AS statistic,
        CAST(k - 1 AS BIGINT) AS dof
-FROM h, t""", ["pop"])
+FROM h, t"""
+register("kruskal_stat", _KRUSKAL.format(digits=6), ["pop"])
+# One minus the series of the lower incomplete gamma function, term by term from log-gammas.
+register("summary_pvalues", f"""
+SELECT variable, round(statistic, 6) AS statistic, dof,
+       CASE WHEN x <= 0 THEN 1.0 ELSE round(1.0 - exp(a * ln(x) - x - lgamma(a + 1.0))
+             * list_sum(list_transform(range(0, 400), lambda n: exp(n * ln(x) + lgamma(a + 1.0) - lgamma(a + n + 1.0)))), 6) END AS p_value
+FROM (SELECT *, dof / 2.0 AS a, statistic / 2.0 AS x
+      FROM ({_chi2_sql('gender', 14)}
+            UNION ALL {_chi2_sql('ethnicity', 14)}
+            UNION ALL ({_KRUSKAL.format(digits=14)})) u) v""", ["pop"])
 
 register("window_join_96h", """
 SELECT a.icustay_id, a.suspected_infection_time, a.subject_id, a.hadm_id,
@@ -767,3 +792,118 @@ JOIN (SELECT icustay_id, row_number() OVER (PARTITION BY label ORDER BY md5('42|
              count(*) OVER (PARTITION BY label) AS nl
       FROM (SELECT DISTINCT icustay_id, label FROM seq_all) d) t ON s.icustay_id = t.icustay_id""", ["seq_all"])
 register("roc_curve_auc", f"SELECT {_ROC_AUC} AS roc_auc FROM sc_c", ["sc_c"])
+
+# ---------------------------------------------------------------------------
+# per-fold scaling, matrices by cell, kept columns, ranks, stored tables
+_cte("seq_filled", _ffill_sql("seq_all", ", label"), ["seq_all"])
+_cte("seq_folds", """
+SELECT icustay_id, CAST((row_number() OVER (PARTITION BY label ORDER BY h, icustay_id) - 1) % 5 AS INTEGER) AS fold
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, icustay_id) - 1 AS ix, count(*) OVER (PARTITION BY label) AS nl
+      FROM (SELECT DISTINCT icustay_id, label, md5('42|' || CAST(icustay_id AS VARCHAR)) AS h FROM seq_all) d) t
+WHERE ix >= CAST(round(nl * 0.1) AS BIGINT)""", ["seq_all"])
+_SEQC = ["hr", *LABC, *VITC]
+register("fold_scaled_sequences", f"""
+WITH base AS (SELECT f.*, t.fold FROM seq_filled f JOIN seq_folds t USING (icustay_id)),
+     others AS (SELECT m.model, {", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in _SEQC)}
+                FROM base b JOIN (SELECT CAST(range AS INTEGER) AS model FROM range(5)) m ON b.fold <> m.model GROUP BY m.model)
+SELECT o.model, CAST(b.fold = o.model AS INTEGER) AS is_valid, b.icustay_id, b.hr AS hour, b.label,
+       {", ".join(f"round((b.{c} - o.min_{c}) / CASE WHEN o.max_{c} = o.min_{c} THEN 1.0 ELSE o.max_{c} - o.min_{c} END, 6) AS {c}" for c in _SEQC)}
+FROM base b CROSS JOIN others o""", ["seq_filled", "seq_folds"])
+_CELLS = f"[{', '.join(f'CAST({c} AS DOUBLE)' for c in _SEQC)}]"
+_cte("seq_steps", f"""
+SELECT icustay_id, CAST(count(*) OVER (PARTITION BY icustay_id) AS INTEGER) AS length,
+       CAST(row_number() OVER (PARTITION BY icustay_id ORDER BY hr) - 1 AS INTEGER) AS step, {_CELLS} AS cells
+FROM seq_filled""", ["seq_filled"])
+register("sequence_cells", f"""
+SELECT icustay_id, length, step, unnest(range(0, {len(_SEQC)}))::INTEGER AS feature, unnest(cells) AS value FROM seq_steps""", ["seq_steps"])
+register("padded_cells", f"""
+WITH stays AS (SELECT DISTINCT icustay_id, length FROM seq_steps),
+     dealt AS (SELECT *, (row_number() OVER (ORDER BY md5('42|' || CAST(icustay_id AS VARCHAR)), icustay_id) - 1) // 8 AS batch FROM stays),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY length DESC, icustay_id) - 1 AS pos,
+                       max(length) OVER (PARTITION BY batch) AS longest FROM dealt),
+     grid AS (SELECT icustay_id, batch, pos, length, unnest(range(0, longest))::INTEGER AS step FROM placed)
+SELECT g.icustay_id, g.batch, g.pos, g.length, g.step, unnest(range(0, {len(_SEQC)}))::INTEGER AS feature,
+       unnest(coalesce(s.cells, [0.0::DOUBLE for x in range(0, {len(_SEQC)})])) AS value
+FROM grid g LEFT JOIN seq_steps s USING (icustay_id, step)""", ["seq_steps"])
+register("kept_columns", f"""
+SELECT measure, round(f, 6) AS fraction, f >= 0.5 AS kept
+FROM (SELECT unnest([{", ".join(f"'{f}'" for f in ARM_FEATS)}]) AS measure,
+             unnest([{", ".join(f"count({f}) / CAST(count(*) AS DOUBLE)" for f in ARM_FEATS)}]) AS f FROM arms) t""", ["arms"])
+register("average_rank", """
+SELECT o_orderkey, o_orderpriority, price,
+       rank() OVER (PARTITION BY o_orderpriority ORDER BY price)
+         + (count(*) OVER (PARTITION BY o_orderpriority, price) - 1) / 2.0::DOUBLE AS rank
+FROM (SELECT o_orderkey, o_orderpriority, CAST(floor(o_totalprice / 1000) AS BIGINT) AS price FROM orders) o""", [])
+register("matched_controls_table", "SELECT * FROM matched", ["matched"])
+register("bucketed_lab_stats", """
+SELECT l.hadm_id, round(avg(valuenum), 6) AS lab_avg, max(valuenum) AS lab_max, min(valuenum) AS lab_min,
+       round(coalesce(stddev_samp(valuenum), 0.0), 6) AS lab_stddev
+FROM labevents l JOIN admissions a ON a.hadm_id = l.hadm_id AND l.charttime >= a.admittime
+WHERE valuenum IS NOT NULL GROUP BY l.hadm_id""", ["labevents", "admissions"])
+register("derived_tables", """
+SELECT icustay_id, suspected_infection_time AS at, 'suspicion' AS source_table FROM suspicion
+UNION ALL SELECT icustay_id, endtime, 'scores' FROM scores""", ["suspicion", "scores"])
+register("curve_csv", f"SELECT fpr, tpr FROM ({BODIES['roc_curve'][0]}) c", ["sc_c"])
+
+# ---------------------------------------------------------------------------
+# the clinical item tables, as rows to join
+
+
+def _lit(v) -> str:
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _values(rows, *cols: str) -> str:
+    return f"(VALUES {', '.join('(' + ', '.join(_lit(v) for v in r) + ')' for r in rows)}) v({', '.join(cols)})"
+
+
+def _real_items(log: str, items) -> str:
+    return f"SELECT * REPLACE (([{', '.join(map(str, items))}])[itemid % {len(items)} + 1]::BIGINT AS itemid) FROM {log}"
+
+
+def _cleaned_labs(labels, bounds, log: str) -> str:
+    """Labelled labs, NULL where the value lies outside the limits of its item."""
+    return f"""
+SELECT l.*, m.label AS kind, CASE WHEN l.valuenum < b.low OR l.valuenum > b.high THEN NULL ELSE l.valuenum END AS amount
+FROM ({log}) l JOIN (SELECT * FROM {_values(labels, "itemid", "label")}) m USING (itemid)
+LEFT JOIN (SELECT itemid, low::DOUBLE AS low, high::DOUBLE AS high FROM {_values(bounds, "itemid", "low", "high")}) b USING (itemid)
+WHERE l.valuenum > 0"""
+
+
+_cte("real_labs", _cleaned_labs(specs.LAB_LABELS, specs.LAB_SERIES_BOUNDS,
+                                _real_items("labevents", [i for i, _ in specs.LAB_LABELS] + specs.LAB_UNLABELLED)), ["labevents"])
+register("clinical_lab_series", _series_sql(
+    "cases", "sepsis_onset", 48, "LEFT JOIN", "SELECT *, charttime AS taken FROM real_labs",
+    "m.hadm_id = w.hadm_id AND m.subject_id = w.subject_id", {c: f"'{c}'" for c in specs.LAB_COLUMNS}), ["cases", "real_labs", "icustays"])
+_RULE_ROWS = [(i, lo, int(lo_in), hi, int(hi_in), mid) for ids, lo, lo_in, hi, hi_in, mid in specs.VITAL_RULES for i in ids]
+_SHOWN = [mid for mid, _ in specs.VITAL_COLUMNS]
+_cte("real_vitals", f"""
+SELECT c.*, CASE WHEN coalesce(CASE WHEN r.low_in = 1 THEN c.valuenum >= r.low ELSE c.valuenum > r.low END, r.low IS NULL)
+                  AND coalesce(CASE WHEN r.high_in = 1 THEN c.valuenum <= r.high ELSE c.valuenum < r.high END, r.high IS NULL)
+             THEN r.measure END AS kind,
+       CASE WHEN itemid IN ({", ".join(map(str, specs.VITAL_FAHRENHEIT))}) THEN (c.valuenum - 32) / 1.8 ELSE c.valuenum END AS amount
+FROM ({_real_items("chartevents", specs.VITAL_ITEMS)}) c
+JOIN (SELECT itemid, low::DOUBLE AS low, low_in, high::DOUBLE AS high, high_in, measure
+      FROM {_values(_RULE_ROWS, "itemid", "low", "low_in", "high", "high_in", "measure")}) r USING (itemid)
+WHERE c.error = 0 AND r.measure IN ({", ".join(map(str, _SHOWN))})""", ["chartevents"])
+_VITAL_SERIES = _series_sql("cases", "sepsis_onset", 48, "JOIN", "SELECT *, charttime AS taken FROM real_vitals",
+                            "m.icustay_id = w.icustay_id", {n: str(i) for i, n in specs.VITAL_COLUMNS})
+register("clinical_vital_series", f"SELECT * REPLACE (round(TempC, 9) AS TempC) FROM ({_VITAL_SERIES}) s", ["cases", "real_vitals", "icustays"])
+_cte("hourly_labs", _cleaned_labs(specs.HOURLY_LAB_LABELS, specs.HOURLY_LAB_BOUNDS, _real_items("labevents", specs.HOURLY_LAB_ITEMS)), ["labevents"])
+register("clinical_lab_events", """
+SELECT s.icustay_id, l.kind AS label, l.charttime, l.amount AS valuenum
+FROM suspicion s JOIN icustays i ON i.icustay_id = s.icustay_id JOIN hourly_labs l ON l.hadm_id = i.hadm_id
+WHERE l.amount IS NOT NULL AND l.charttime BETWEEN s.suspected_infection_time - INTERVAL 48 HOUR AND s.suspected_infection_time""",
+         ["suspicion", "icustays", "hourly_labs"])
+_PANEL_ROWS = ["(lower(label) LIKE '%" + pat.lower() + "%')" if kind == "like" else f"(label = '{pat}')" for _, kind, pat, _ in specs.LAB_PANELS]
+_PANEL_COLS = ", ".join(
+    f"round(avg(valuenum) FILTER (panel = '{n}'), 6) AS {n}_avg, max(valuenum) FILTER (panel = '{n}') AS {n}_max, "
+    f"min(valuenum) FILTER (panel = '{n}') AS {n}_min, round(CASE WHEN count(*) FILTER (panel = '{n}') > 0 THEN "
+    f"coalesce(stddev_samp(valuenum) FILTER (panel = '{n}'), 0.0) END, 6) AS {n}_stddev" for n, *_ in specs.LAB_PANELS)
+register("clinical_panels", f"""
+WITH dictionary AS (SELECT p_partkey AS itemid, ([{", ".join(_lit(x) for x in CLINICAL_ITEM_LABELS)}])[p_partkey % {len(CLINICAL_ITEM_LABELS)} + 1] AS label FROM part),
+     members AS ({" UNION ALL ".join(f"SELECT itemid, '{n}' AS panel, '{col}' AS needs FROM dictionary WHERE {cond}" for (n, _, _, col), cond in zip(specs.LAB_PANELS, _PANEL_ROWS, strict=True))})
+SELECT subject_id, {_PANEL_COLS}
+FROM panel_events e JOIN members m USING (itemid)
+WHERE CASE WHEN needs = 'value' THEN e.value IS NOT NULL ELSE e.valuenum IS NOT NULL END
+GROUP BY subject_id""", ["panel_events"])

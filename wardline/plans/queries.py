@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators import cohort as C
-from wardline.operators.measures import lab_events_before, measure_series
+from wardline.operators.measures import lab_events_before, measure_series, measured_keys, stack_anchors
 from wardline.plans.testbed import DIAGNOSIS_CODES, SURGICAL, Testbed, lab_spec, vital_spec
 from wardline.session import materialize
 
@@ -48,13 +48,22 @@ def controls_of(tb: Testbed) -> DataFrame:
                             tb.diagnoses, codes=DIAGNOSIS_CODES)
 
 
+def stays_m(tb: Testbed) -> DataFrame:
+    """Cohort stays with onset, subject and data flag, checkpointed once per query: cases and
+    controls are filters of it."""
+    def build():
+        # Stays and admissions are read several times below: they are derived once.
+        tb.icustays, tb.admissions = materialize(tb.icustays), materialize(tb.admissions)
+        return materialize(C.stay_frame(onsets_of(tb), cohort_of(tb), tb.admissions, tb.icustays))
+    return tb.memo("stays", build)
+
+
 def cases_m(tb: Testbed) -> DataFrame:
-    """Cases, checkpointed once per query (small, reused anchors)."""
-    return tb.memo("cases", lambda: materialize(cases_of(tb)))
+    return tb.memo("cases", lambda: C.select_cases(stays_m(tb)))
 
 
 def controls_m(tb: Testbed) -> DataFrame:
-    return tb.memo("controls", lambda: materialize(controls_of(tb)))
+    return tb.memo("controls", lambda: C.select_controls(stays_m(tb), tb.diagnoses, codes=DIAGNOSIS_CODES))
 
 
 def series_anchors(tb: Testbed, anchors: DataFrame, anchor_col: str) -> DataFrame:
@@ -63,7 +72,7 @@ def series_anchors(tb: Testbed, anchors: DataFrame, anchor_col: str) -> DataFram
     the arm: onsets are the cases', assigned onsets the matched controls')."""
     def build():
         a = anchors.select("icustay_id", anchor_col).join(
-            tb.icustays.select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
+            stays_m(tb).select("icustay_id", "subject_id", "hadm_id"), "icustay_id", "left")
         return materialize(a)
     return tb.memo(f"anchors:{anchor_col}", build)
 
@@ -81,6 +90,41 @@ def vital_series(tb: Testbed, anchors: DataFrame, anchor_col: str, hours: int) -
                           event_filter=F.col("error") == 0)
 
 
+ANCHOR_TAGS = ["label", "horizon", "icustay_id", "subject_id", "anchor_time"]
+
+
+def both_arms(tb: Testbed, horizons: tuple[int, ...] = (48,)) -> DataFrame:
+    """Cases (label 1, anchored at onset) and matched controls (label 0, at the assigned
+    onset) with their subject and admission, one row per horizon, built once per query."""
+    def build():
+        ids = stays_m(tb).select("icustay_id", "subject_id", "hadm_id")
+        arms = [(cases_m(tb).select("icustay_id", "sepsis_onset"), "sepsis_onset", {"label": 1}),
+                (matched_of(tb).select("icustay_id", "control_onset_time"), "control_onset_time", {"label": 0})]
+        return materialize(stack_anchors(arms, horizons).join(ids, "icustay_id", "left"))
+    return tb.memo(f"both_arms:{horizons}", build)
+
+
+def both_labs(tb: Testbed, horizons: tuple[int, ...] = (48,), how: str = "left") -> DataFrame:
+    """Lab series of all arms and horizons: one scan of the lab log."""
+    return measure_series(both_arms(tb, horizons), tb.labevents, lab_spec(), keys=["subject_id", "hadm_id"],
+                          anchor_col="anchor_time", time_col="charttime", hours="horizon", how=how, keep=ANCHOR_TAGS)
+
+
+def both_vitals(tb: Testbed, horizons: tuple[int, ...] = (48,)) -> DataFrame:
+    """Vital series of all arms and horizons: one scan of the chart log."""
+    return measure_series(both_arms(tb, horizons), tb.chartevents, vital_spec(), keys="icustay_id",
+                          anchor_col="anchor_time", time_col="charttime", hours="horizon", keep=ANCHOR_TAGS,
+                          event_filter=F.col("error") == 0)
+
+
+def with_measurements(tb: Testbed, how_many_hours: int = 48) -> list[DataFrame]:
+    """(label, subject_id) of the anchors that have labs, and of those that have vitals."""
+    common = {"anchor_col": "anchor_time", "time_col": "charttime", "hours": "horizon", "keep": ["label", "subject_id"]}
+    anchors = both_arms(tb, (how_many_hours,))
+    return [measured_keys(anchors, tb.labevents, lab_spec(), keys=["subject_id", "hadm_id"], **common),
+            measured_keys(anchors, tb.chartevents, vital_spec(), keys="icustay_id", event_filter=F.col("error") == 0, **common)]
+
+
 # ---------------------------------------------------------------------------
 @query("base_cohort")
 def q_base_cohort(spark, sf_dir):
@@ -155,6 +199,18 @@ def _control_series(kind: str, hours: int):
     return run
 
 
+def _all_series(kind: str):
+    def run(spark, sf_dir):
+        tb = Testbed(spark, sf_dir)
+        return both_labs(tb, (48, 96)) if kind == "lab" else both_vitals(tb, (48, 96))
+    return run
+
+
+# All arms and look-back lengths from one join each; the eight series above are filters of these.
+for _kind in ("lab", "vital"):
+    QUERIES[f"{_kind}_series_all"] = _all_series(_kind)
+
+
 for _kind in ("lab", "vital"):
     for _h in (48, 96):
         QUERIES[f"{_kind}_series_control_{_h}h"] = _control_series(_kind, _h)

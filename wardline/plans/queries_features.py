@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
+from wardline import specs
 from wardline.functions import scalar as S
 from wardline.functions import temporal as T
 from wardline.operators import aggregates as A
@@ -12,12 +16,16 @@ from wardline.operators import evaluate as V
 from wardline.operators import features as X
 from wardline.operators.cohort import demographics, first_per_key, static_features
 from wardline.operators.joins import anti, concat, not_in, outer_merge, semi_all
-from wardline.plans.queries import (QUERIES, cases_m, cases_of, controls_of, lab_series, matched_of, query,
-                                    vital_series)
+from wardline.operators.indexing import avg_rank
+from wardline.operators.matching import write_matched
+from wardline.operators.measures import lab_events_before, measure_series
+from wardline.plans.queries import (QUERIES, both_labs, both_vitals, cases_m, cases_of, controls_m, controls_of, lab_series,
+                                    matched_of, query, series_anchors, vital_series, with_measurements)
 from wardline.plans.testbed import (DIAGNOSIS_CODES, SEGMENT_DEFAULT, SEGMENT_KEYWORDS, TEST_PANELS,
                                     Testbed)
 from wardline.functions.scalar import recode_contains
 from wardline.session import materialize
+from wardline.sources.io import load_csv, load_table, save, save_bucketed, save_csv, scratch_path
 
 LAB_COLS = ["C0", "C1", "C2", "C3", "C4", "V0", "V1", "V2"]
 VIT_COLS = ["HeartRate", "SpO2", "TempC", "SVV", "FiO2"]
@@ -96,18 +104,21 @@ def q_forward_fill(spark, sf_dir):
 
 def sequence_frame(tb: Testbed) -> DataFrame:
     """Hourly labs + vitals of cases and matched controls, merged, filled,
-    restricted to stays with both labs and vitals, with the label."""
-    cases = cases_m(tb)
-    matched = matched_of(tb)
-    parts = []
-    for anchors, col, label in ((cases, "sepsis_onset", 1), (matched, "control_onset_time", 0)):
-        labs = hourly(tb, lab_series(tb, anchors, col, 48), anchors, col, LAB_COLS)
-        vits = hourly(tb, vital_series(tb, anchors, col, 48), anchors, col, VIT_COLS)
-        m = outer_merge([labs, vits], ["icustay_id", "hr"])
-        m = semi_all(m, "icustay_id", [labs, vits])
-        parts.append(m.withColumn("label", F.lit(label)))
-    allrows = concat(parts)
-    return X.forward_fill(allrows, "icustay_id", "hr", LAB_COLS + VIT_COLS, 0.0)
+    restricted to stays with both labs and vitals, with the label.
+
+    One lab and one vital extraction serve both arms, one aggregate merges their hours,
+    and the presence test reads the merged rows."""
+    series = {"labs": (both_labs(tb, how="inner"), LAB_COLS), "vitals": (both_vitals(tb), VIT_COLS)}
+    hours = {}
+    for name, (rows, cols) in series.items():
+        rows = X.exclude_horizon(rows, "anchor_time", "chart_time", 3)
+        hours[name] = (rows.withColumn("hr", S.reversed_hour_index("hr_feature", 45)), cols)
+    m = A.hourly_mean_all(hours, ["label", "icustay_id"], "hr")
+    stay = Window.partitionBy("icustay_id")
+    m = m.withColumns({f"_{n}": F.max(f"has_{n}").over(stay) for n in hours})
+    m = m.where(" and ".join(f"_{n} = 1" for n in hours))
+    m = m.select("icustay_id", "hr", *LAB_COLS, *VIT_COLS, "label")
+    return X.forward_fill(m, "icustay_id", "hr", LAB_COLS + VIT_COLS, 0.0)
 
 
 @query("sequence_frame")
@@ -154,22 +165,18 @@ def q_demographics_without(spark, sf_dir):
     return demographics(tb.patients, tb.admissions, tb.diagnoses, with_dx=False, codes=DIAGNOSIS_CODES)
 
 
-def static_frames(tb: Testbed):
-    st = tb.memo("static", lambda: materialize(static_of(tb)))
-    case_st = st.join(cases_m(tb).select("icustay_id"), "icustay_id", "left_semi")
-    ctrl_st = st.join(matched_of(tb).select("icustay_id"), "icustay_id", "left_semi")
-    return case_st, ctrl_st
+def labelled_static(tb: Testbed) -> DataFrame:
+    """Static rows of cases (label 1) and matched controls (label 0)."""
+    arms = concat([cases_m(tb).select("icustay_id", F.lit(1).alias("label")),
+                   matched_of(tb).select("icustay_id", F.lit(0).alias("label"))]).distinct()
+    return static_of(tb).join(arms, "icustay_id")
 
 
 def model_frame(tb: Testbed) -> DataFrame:
     """Static model frame (gender code, age, race dummies, label)."""
-    case_st, ctrl_st = static_frames(tb)
-    parts = []
-    for st, label in ((case_st, 1), (ctrl_st, 0)):
-        f = st.select("gender", "ethnicity", "admission_age", "icustay_id").withColumn("label", F.lit(label))
-        f = f.withColumn("ethnicity", recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT))
-        parts.append(f)
-    both = concat(parts)
+    both = labelled_static(tb).select(
+        "gender", recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"),
+        "admission_age", "icustay_id", "label")
     vocab = X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
     both = X.one_hot(both, "ethnicity", vocab)
     return X.label_encode(both, "gender")
@@ -199,24 +206,16 @@ def q_label_encode(spark, sf_dir):
 def summary_population(tb: Testbed) -> DataFrame:
     """First static row per subject (by age), subjects present in both the
     lab and vital series, case row wins over control row."""
-    case_st, ctrl_st = static_frames(tb)
-    cases = cases_m(tb)
-    matched = matched_of(tb)
-    parts = []
-    for st, anchors, col, flag, prio in ((case_st, cases, "sepsis_onset", "Yes", 0),
-                                         (ctrl_st, matched, "control_onset_time", "No", 1)):
-        first = first_per_key(st.select("subject_id", "admission_age", "gender", "ethnicity", "icustay_id"),
-                              "subject_id", ["admission_age", "icustay_id"])
-        labs = lab_series(tb, anchors, col, 48).where(F.col("chart_time").isNotNull())
-        vits = vital_series(tb, anchors, col, 48)
-        first = semi_all(first, "subject_id", [labs, vits])
-        first = first.select(
-            "subject_id", "admission_age",
-            S.binary_recode("gender", "F", "Female", "Male").alias("gender"),
-            S.recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"),
-            F.lit(flag).alias("sepsis"), F.lit(prio).alias("_prio"))
-        parts.append(first)
-    both = concat(parts)
+    # A row per label and subject, then per subject with the case (label 1) first.
+    first = first_per_key(labelled_static(tb).select("label", "subject_id", "admission_age", "gender", "ethnicity", "icustay_id"),
+                          ["label", "subject_id"], ["admission_age", "icustay_id"])
+    for present in with_measurements(tb):
+        first = first.join(present, ["label", "subject_id"], "left_semi")
+    both = first.select(
+        "subject_id", "admission_age",
+        S.binary_recode("gender", "F", "Female", "Male").alias("gender"),
+        S.recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"),
+        F.when(F.col("label") == 1, "Yes").otherwise("No").alias("sepsis"), (1 - F.col("label")).alias("_prio"))
     return first_per_key(both, "subject_id", ["_prio"]).drop("_prio")
 
 
@@ -255,7 +254,8 @@ def q_summary_pvalues(spark, sf_dir):
     pop = materialize(summary_population(Testbed(spark, sf_dir)))
     stats = concat([A.chi2_stat(pop, "gender", "sepsis"), A.chi2_stat(pop, "ethnicity", "sepsis"),
                     A.kruskal_stat(pop, "admission_age", "sepsis")])
-    return stats.withColumn("p_value", A.chi2_pvalue(F.col("statistic"), F.col("dof")))
+    stats = stats.withColumn("p_value", A.chi2_pvalue(F.col("statistic"), F.col("dof")))
+    return rounded(stats, ["statistic", "p_value"])
 
 
 # ---------------------------------------------------------------------------
@@ -286,15 +286,12 @@ MEASURE_FEATS = [f"{c}_{s}" for c in LAB_COLS + VIT_COLS for s in ("mean", "medi
 def stacked_frame(tb: Testbed) -> DataFrame:
     """C12 + D3 + G1: static rows of cases and of matched controls, each merged with the statistics of
     all labs and vitals of its subject in that arm, stacked with the label."""
-    parts = []
-    for st, anchors, col, label in zip(static_frames(tb), (cases_m(tb), matched_of(tb)),
-                                       ("sepsis_onset", "control_onset_time"), (1, 0), strict=True):
-        labs = A.agg_features(lab_series(tb, anchors, col, 48), "subject_id", LAB_COLS)
-        vits = A.agg_features(vital_series(tb, anchors, col, 48), "subject_id", VIT_COLS)
-        st = st.select("icustay_id", "subject_id", F.lit(label).alias("label"), "gender", "admission_age",
-                       recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"))
-        parts.append(st.join(labs, "subject_id").join(vits, "subject_id").drop("subject_id"))
-    return concat(parts)
+    st = labelled_static(tb).select(
+        "icustay_id", "subject_id", "label", "gender", "admission_age",
+        recode_contains(F.col("ethnicity"), SEGMENT_KEYWORDS, SEGMENT_DEFAULT).alias("ethnicity"))
+    labs = A.agg_features(both_labs(tb), ["label", "subject_id"], LAB_COLS)
+    vits = A.agg_features(both_vitals(tb), ["label", "subject_id"], VIT_COLS)
+    return st.join(labs, ["label", "subject_id"]).join(vits, ["label", "subject_id"]).drop("subject_id")
 
 
 @query("static_measure_merge_arms")
@@ -330,7 +327,7 @@ def q_drop_sparse(spark, sf_dir):
 def q_static_measure_merge(spark, sf_dir):
     tb = Testbed(spark, sf_dir)
     cases = cases_m(tb)
-    st, _ = static_frames(tb)
+    st = static_of(tb).join(cases.select("icustay_id"), "icustay_id", "left_semi")
     labs = A.agg_features(lab_series(tb, cases, "sepsis_onset", 48), "icustay_id", ["C0", "V0"], ("mean",))
     vits = A.agg_features(vital_series(tb, cases, "sepsis_onset", 48), "icustay_id", ["HeartRate"], ("mean",))
     out = st.select("icustay_id", "gender", "admission_age").join(labs, "icustay_id").join(vits, "icustay_id")
@@ -515,9 +512,12 @@ __all__ = ["QUERIES"]
 
 # ---------------------------------------------------------------------------
 # training (rows-only checks: statistical, not bit-equal)
+from wardline.operators import boosting as B  # noqa: E402
 from wardline.operators import train as M  # noqa: E402
 
 MODEL_FEATURES = ["admission_age", "gender"] + X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT)
+FOLDS = 5
+TRIALS, ROUNDS, PATIENCE = 50, 1000, 100
 
 
 def training_frames(tb: Testbed):
@@ -529,14 +529,13 @@ def training_frames(tb: Testbed):
 
 
 def measured_frames(tb: Testbed):
-    """Train and test rows of the stacked frame: encoded, imputed with its medians (a measure without any
-    value is 0), scaled."""
+    """Train and test rows of the stacked frame (a plain 25 % test split, seed 0): encoded, imputed with the medians
+    of all rows (a measure without any value is 0) and scaled over all rows, before the split."""
     features = MODEL_FEATURES + MEASURE_FEATS
     mf = X.one_hot(materialize(stacked_frame(tb)), "ethnicity", X.recode_vocab(SEGMENT_KEYWORDS, SEGMENT_DEFAULT))
     mf = A.impute_median(X.label_encode(mf, "gender"), MEASURE_FEATS).na.fill(0.0, MEASURE_FEATS)
-    mf = X.stratified_split(mf, "icustay_id", "label", 0.1, seed=SEED)
-    stats = X.minmax_fit(mf.where(F.col("is_test") == 0), features)
-    mf = materialize(X.minmax_apply(mf, stats, features))
+    mf = X.minmax_apply(mf, X.minmax_fit(mf, features), features)
+    mf = materialize(X.random_split(mf, "icustay_id", 0.25, seed=0))
     return mf.where(F.col("is_test") == 0), mf.where(F.col("is_test") == 1), features
 
 
@@ -550,51 +549,66 @@ def q_train_lr(spark, sf_dir):
 @query("train_svm")
 def q_train_svm(spark, sf_dir):
     train, test, features = measured_frames(Testbed(spark, sf_dir))
-    pairs = M.train_svm_calibrated(train, features, id_col="icustay_id", folds=5, seed=SEED)
-    return M.predict_svm_calibrated(pairs, test, features, "icustay_id").select("icustay_id", "label", "p")
+    pairs = M.train_svm_calibrated(train, features, id_col="icustay_id", folds=FOLDS, seed=SEED)
+    return M.predict_svm_calibrated(pairs, test, features).select("icustay_id", "label", "p")
 
 
-def _gbt(tb: Testbed):
-    return tb.memo("gbt", lambda: _fit_gbt(tb))
+def _search(tb: Testbed):
+    """Binned training frame, the results of all trials, and the test rows."""
+    def build():
+        train, test = training_frames(tb)
+        frame = B.binned_frame(train, MODEL_FEATURES, id_col="icustay_id", folds=FOLDS, seed=SEED)
+        results = B.search(tb.spark, frame, B.sample_space(TRIALS, SEED), folds=FOLDS, rounds=ROUNDS, patience=PATIENCE, seed=SEED)
+        return frame, materialize(results), test
+    return tb.memo("search", build)
 
 
-def _fit_gbt(tb: Testbed):
-    train, test = training_frames(tb)
-    models, metrics, curve = M.train_gbt_cv(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED,
-                                            max_iter=20, max_depth=3)
-    return models, metrics, curve, test
+def _best(tb: Testbed):
+    """The best trial, its fold models as a table of nodes, and their predictions of the test rows."""
+    def build():
+        frame, results, test = _search(tb)
+        best = B.best_trial(results)
+        nodes = materialize(B.fit_folds(tb.spark, frame, best, folds=FOLDS, rounds=best["rounds"], seed=SEED))
+        return best, nodes, B.predict_folds(test, nodes, frame, "icustay_id")
+    return tb.memo("best", build)
+
+
+@query("tune")
+def q_tune(spark, sf_dir):
+    """Every trial with its score, the mean held-out AUC over all rounds up to the best."""
+    _, results, _ = _search(Testbed(spark, sf_dir))
+    return results.drop("aucs")
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf_dir):
-    models, _, _, test = _gbt(Testbed(spark, sf_dir))
-    return M.predict_ensemble(models, test, MODEL_FEATURES, "icustay_id").select("icustay_id", "label", "p")
+    """Mean probability of the best trial's fold models on the test rows."""
+    return _best(Testbed(spark, sf_dir))[2].select("icustay_id", "label", "p")
 
 
-@query("gbt_fold_metrics")
-def q_gbt_fold_metrics(spark, sf_dir):
-    _, metrics, _, _ = _gbt(Testbed(spark, sf_dir))
-    return V.cv_band(metrics.withColumn("round", F.lit(0)), "round", "auc")
+def _fold_curve(tb: Testbed) -> DataFrame:
+    _, results, _ = _search(tb)
+    return B.fold_curve(tb.spark, B.best_trial(results)["aucs"])
 
 
 @query("gbt_cv_curve")
 def q_gbt_cv_curve(spark, sf_dir):
-    """Per boosting round, mean / sd / 95 % band of the held-out loss over folds."""
-    _, _, curve, _ = _gbt(Testbed(spark, sf_dir))
-    return V.cv_band(curve, "round", "loss")
+    """Per boosting round, mean / sd / 95 % band of the held-out AUC over the folds of the best trial."""
+    return V.cv_band(_fold_curve(Testbed(spark, sf_dir)), "round", "auc")
 
 
-@query("top_importance")
-def q_top_importance(spark, sf_dir):
-    models, _, _, _ = _gbt(Testbed(spark, sf_dir))
-    imp = spark.createDataFrame(M.mean_importance(models, MODEL_FEATURES), "feature string, importance double")
-    return V.top_k(imp, "importance", 10, ["feature"])
+@query("gbt_fold_metrics")
+def q_gbt_fold_metrics(spark, sf_dir):
+    """Band of the held-out AUC at the best round."""
+    curve = _fold_curve(Testbed(spark, sf_dir))
+    return V.cv_band(curve.where(F.col("round") == curve.agg(F.max("round")).first()[0]), "round", "auc")
 
 
-@query("tune")
-def q_tune(spark, sf_dir):
-    train, _ = training_frames(Testbed(spark, sf_dir))
-    return M.tune(train, MODEL_FEATURES, id_col="icustay_id", folds=5, seed=SEED, trials=3, max_iter=10)
+@query("top_importance")
+def q_top_importance(spark, sf_dir):
+    """The ten features that split most often, from the saved node tables."""
+    _, nodes, _ = _best(Testbed(spark, sf_dir))
+    return V.top_k(B.importances(nodes, MODEL_FEATURES, FOLDS), "splits", 10, ["feature"])
 
 
 # ---------------------------------------------------------------------------
@@ -630,6 +644,158 @@ def q_roc_curve_auc(spark, sf_dir):
 @query("model_metrics")
 def q_model_metrics(spark, sf_dir):
     """J7-J11 on model output: metrics of the fold-ensemble predictions on the test split."""
-    models, _, _, test = _gbt(Testbed(spark, sf_dir))
-    preds = M.predict_ensemble(models, test, MODEL_FEATURES, "icustay_id")
-    return V.classification_metrics(preds, "label", "p")
+    return V.classification_metrics(materialize(_best(Testbed(spark, sf_dir))[2]), "label", "p")
+
+
+# ---------------------------------------------------------------------------
+# p-values, per-fold scaling, ranks, sequences by cell, sparse columns
+def _train_sequences(tb: Testbed) -> DataFrame:
+    """Sequence rows of the training stays with the fold of their stay."""
+    seq = materialize(rounded(sequence_frame(tb), LAB_COLS + VIT_COLS))
+    stays = X.stratified_split(seq.select("icustay_id", "label").distinct(), "icustay_id", "label", 0.1, seed=SEED)
+    folds = X.stratified_folds(stays.where(F.col("is_test") == 0), "icustay_id", "label", FOLDS, seed=SEED)
+    return seq.join(folds.select("icustay_id", "fold"), "icustay_id")
+
+
+@query("fold_scaled_sequences")
+def q_fold_scaled_sequences(spark, sf_dir):
+    """The training sequences once per fold model, scaled with the rows of the other folds."""
+    rows = materialize(_train_sequences(Testbed(spark, sf_dir)))
+    cols = ["hr", *LAB_COLS, *VIT_COLS]
+    out = X.fold_scale(rows.withColumn("hour", F.col("hr")), cols, FOLDS)
+    return rounded(out.select("model", "is_valid", "icustay_id", "hour", "label", *cols), cols)
+
+
+@query("average_rank")
+def q_average_rank(spark, sf_dir):
+    """M2: average rank of every order's total price within its priority."""
+    o = Testbed(spark, sf_dir).table("orders").select("o_orderkey", "o_orderpriority", F.floor(F.col("o_totalprice") / 1000).alias("price"))
+    return avg_rank(o, "price", group=["o_orderpriority"])
+
+
+@query("sequence_cells")
+def q_sequence_cells(spark, sf_dir):
+    """X6, a row per cell of the assembled matrices."""
+    seqs = q_sequences(spark, sf_dir)
+    return _cells(seqs.select("icustay_id", "length", F.posexplode("seq").alias("step", "row")), ["icustay_id", "length", "step"])
+
+
+@query("padded_cells")
+def q_padded_cells(spark, sf_dir):
+    """X7, a row per cell of the padded matrices."""
+    seqs = q_padded_sequences(spark, sf_dir)
+    keys = ["icustay_id", "batch", "pos", "length"]
+    return _cells(seqs.select(*keys, F.posexplode("padded").alias("step", "row")), [*keys, "step"])
+
+
+def _cells(rows: DataFrame, keys) -> DataFrame:
+    return rows.select(*keys, F.posexplode("row").alias("feature", "value"))
+
+
+@query("kept_columns")
+def q_kept_columns(spark, sf_dir):
+    """Every measure column with its share of values, and whether ``drop_sparse`` keeps it."""
+    w = materialize(stacked_measures(Testbed(spark, sf_dir)))
+    kept = [c for c in X.drop_sparse(w, MEASURE_FEATS, 0.5).columns if c in MEASURE_FEATS]
+    fractions = w.agg(*[(F.count(c) / F.count(F.lit(1))).alias(c) for c in MEASURE_FEATS])
+    long = fractions.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.round(c, 6).alias("fraction"))
+                                                for c in MEASURE_FEATS])).alias("e")).select("e.*")
+    return long.withColumn("kept", F.col("measure").isin(kept))
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks
+MATCHED_SCHEMA = ("icustay_id long, hadm_id long, intime timestamp_ntz, outtime timestamp_ntz, length_of_stay double, "
+                  "subject_id long, control_onset_time timestamp_ntz, control_onset_hour double, matched_case_icustay_id long")
+
+
+@query("matched_controls_table")
+def q_matched_controls_table(spark, sf_dir):
+    """Matched controls stored with their declared schema, the row count checked by the write, read back."""
+    tb = Testbed(spark, sf_dir)
+    schema = T_.StructType.fromDDL(MATCHED_SCHEMA)
+    path = scratch_path(spark, "matched_controls")
+    write_matched(cases_m(tb), controls_m(tb), path, schema, seed=SEED)
+    out = spark.read.parquet(path)
+    if out.schema != schema:
+        raise ValueError(f"stored schema {out.schema.simpleString()}")
+    return out
+
+
+@query("bucketed_lab_stats")
+def q_bucketed_lab_stats(spark, sf_dir):
+    """The lab log stored in hash buckets of the admission; the join with admissions and
+    the statistics per admission shuffle the log no more."""
+    tb = Testbed(spark, sf_dir)
+    labs = save_bucketed(tb.labevents.where(F.col("valuenum").isNotNull()), "labevents", ["hadm_id"], LOG_BUCKETS)
+    adm = materialize(tb.admissions.select("hadm_id", "admittime"))
+    rows = labs.join(adm, "hadm_id").where(F.col("charttime") >= F.col("admittime"))
+    out = A.group_stats(rows, "hadm_id", "valuenum", "lab")
+    return rounded(out, ["lab_avg", "lab_stddev"])
+
+
+LOG_BUCKETS = 16
+
+
+@query("derived_tables")
+def q_derived_tables(spark, sf_dir):
+    """A2, A4: derived tables stored by name and passed through as they are, each row with its table."""
+    tb = Testbed(spark, sf_dir)
+    parts = []
+    for name, df in (("suspicion", tb.suspicion.select("icustay_id", F.col("suspected_infection_time").alias("at"))),
+                     ("scores", tb.scores.select("icustay_id", F.col("endtime").alias("at")))):
+        table = f"{name}_{uuid.uuid4().hex[:12]}"
+        save(df, table, path=scratch_path(spark, name))
+        parts.append(load_table(spark, table).withColumn("source_table", F.lit(name)))
+    return concat(parts)
+
+
+@query("curve_csv")
+def q_curve_csv(spark, sf_dir):
+    """ROC points written as CSV with a header and read back with a schema."""
+    path = scratch_path(spark, "roc")
+    save_csv(V.roc_curve(Testbed(spark, sf_dir).scored, "y", "p").select("fpr", "tpr"), path)
+    return rounded(load_csv(spark, path, "fpr double, tpr double"), ["fpr", "tpr"], 9)
+
+
+# ---------------------------------------------------------------------------
+# the clinical item tables (``specs``) on logs that bear their item ids
+def clinical_labs(tb: Testbed) -> DataFrame:
+    return tb.clinical(tb.labevents, [i for i, _ in specs.LAB_LABELS] + specs.LAB_UNLABELLED)
+
+
+@query("clinical_lab_series")
+def q_clinical_lab_series(spark, sf_dir):
+    """B6, B7, G5 with all 47 labelled items: 40 columns in the 48 h before onset."""
+    tb = Testbed(spark, sf_dir)
+    return measure_series(series_anchors(tb, cases_m(tb), "sepsis_onset"), clinical_labs(tb), specs.lab_series_spec(),
+                          keys=["subject_id", "hadm_id"], anchor_col="sepsis_onset", time_col="charttime", hours=48)
+
+
+@query("clinical_vital_series")
+def q_clinical_vital_series(spark, sf_dir):
+    """B8, B9, G6 with the ordered range rules of all charted items: 23 columns in the 48 h before onset."""
+    tb = Testbed(spark, sf_dir)
+    charts = tb.clinical(tb.chartevents, specs.VITAL_ITEMS)
+    out = measure_series(series_anchors(tb, cases_m(tb), "sepsis_onset"), charts, specs.vital_series_spec(), keys="icustay_id",
+                         anchor_col="sepsis_onset", time_col="charttime", hours=48, event_filter=F.col("error") == 0)
+    return rounded(out, ["TempC"], 9)
+
+
+@query("clinical_lab_events")
+def q_clinical_lab_events(spark, sf_dir):
+    """B12, G8 with the 26 hourly items: long rows of the 48 h before the suspicion of infection."""
+    tb = Testbed(spark, sf_dir)
+    anchors = materialize(tb.suspicion.select("icustay_id", "suspected_infection_time").join(
+        tb.icustays.select("icustay_id", "hadm_id"), "icustay_id"))
+    labs = tb.clinical(tb.labevents, specs.HOURLY_LAB_ITEMS)
+    return lab_events_before(anchors, labs, specs.hourly_lab_spec(), keys="hadm_id", anchor_col="suspected_infection_time",
+                             time_col="charttime", hours=48)
+
+
+@query("clinical_panels")
+def q_clinical_panels(spark, sf_dir):
+    """D2 with the nine clinical panels."""
+    tb = Testbed(spark, sf_dir)
+    out = A.panel_stats(tb.panel_events, tb.clinical_dictionary, specs.LAB_PANELS)
+    return rounded(out, [f"{p[0]}_{s}" for p in specs.LAB_PANELS for s in ("avg", "stddev")])

@@ -36,6 +36,9 @@ DIAGNOSIS_CODES = ["1-URGENT"]
 SURGICAL = ["CSURG", "TSURG"]
 SEGMENT_KEYWORDS = ["O", "BUILD", "AUTO", "HOUSE"]
 SEGMENT_DEFAULT = "OTHER"
+# dictionary labels that the clinical panels look for, and some that only resemble them
+CLINICAL_ITEM_LABELS = ["WBC", "wbc, Ascites", "Creatinine", "Anion Gap", "Calculated Anion Gap", "Sodium, Whole Blood", "Hemoglobin", "Lactate",
+                        "Lactate Dehydrogenase", "Potassium", "Urea Nitrogen", "Glucose, CSF", "Hematocrit", "Creatinine, Urine"]
 # per-subject lab panels over the part dictionary: (name, test, pattern, filter column)
 TEST_PANELS = [
     ("econ", "like", "econ", "valuenum"),
@@ -178,6 +181,18 @@ class Testbed:
                         F.when(F.col("value") >= 300, 1).otherwise(0).alias("error"))
 
 
+    def clinical(self, log: DataFrame, items: list[int]) -> DataFrame:
+        """The log with the clinical item ids ``items`` in place of the synthetic ones, by position."""
+        ids = F.array(*[F.lit(i).cast("long") for i in items])
+        return log.withColumn("itemid", F.element_at(ids, (F.col("itemid") % len(items) + 1).cast("int")))
+
+    @cached_property
+    def clinical_dictionary(self) -> DataFrame:
+        """Parts as lab items, with one of the ``CLINICAL_ITEM_LABELS`` each."""
+        names = F.array(*[F.lit(x) for x in CLINICAL_ITEM_LABELS])
+        return self.table("part").select(F.col("p_partkey").alias("itemid"), F.element_at(
+            names, (F.col("p_partkey") % len(CLINICAL_ITEM_LABELS) + 1).cast("int")).alias("label"))
+
     @cached_property
     def panel_events(self) -> DataFrame:
         """Long lab log for per-subject panels: ``lineitem`` (subject = supplier,
