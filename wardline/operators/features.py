@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from wardline.functions.scalar import recode_contains
 from wardline.functions.temporal import diff_hours
-from wardline.operators.indexing import global_index, hash_prefix_bucket, range_index
+from wardline.operators.indexing import global_index, hash_digits_for, hash_prefix_bucket, range_index
 from wardline.operators.joins import bounded_broadcast, join_null_safe
 from wardline.operators.matching import seeded_order_key
+from wardline.session import materialize
 
 
 def _list(x) -> list[str]:
@@ -166,7 +167,7 @@ def pad_sequences(df: DataFrame, key: str, seq: str = "seq", length: str = "leng
     the batch by length desc, then key).
     """
     keyed = df.withColumn("_h", seeded_order_key(key, seed))
-    idx = global_index(keyed, ["_h", key], name="_ix", bucket=hash_prefix_bucket("_h")).drop("_h")
+    idx = global_index(keyed, ["_h", key], name="_ix", bucket=hash_prefix_bucket("_h", hash_digits_for(df.count()))).drop("_h")
     b = idx.withColumn("batch", F.floor(F.col("_ix") / F.lit(batch_size)).cast("long"))
     w = Window.partitionBy("batch")
     width = F.size(F.element_at(F.col(seq), 1))
@@ -179,15 +180,21 @@ def pad_sequences(df: DataFrame, key: str, seq: str = "seq", length: str = "leng
 
 
 # ---------------------------------------------------------------------------
+def _label_counts(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """(label, _nl) with the rows per label, broadcast where there are few labels (checked), and all rows."""
+    n = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl")))
+    rows, labels = n.agg(F.coalesce(F.sum("_nl"), F.lit(0)), F.count(F.lit(1))).first()
+    return bounded_broadcast(n, 1_000_000, labels)[0], rows
+
+
 def stratified_split(df: DataFrame, id_col: str, label: str, frac: float, *, seed: int = 42,
-                     name: str = "is_test", hash_digits: int = 3) -> DataFrame:
+                     name: str = "is_test", hash_digits: int | None = None) -> DataFrame:
     """Per label, the first ``round(n_label * frac)`` rows of the seeded order
     are test (``is_test`` = 1), the rest train: same class proportions."""
+    n, rows = _label_counts(df, label)
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
     idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix",
-                       bucket=hash_prefix_bucket("_h", hash_digits))
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nl"))
-    n, _ = bounded_broadcast(n, 1_000_000)      # one row per label value, size checked
+                       bucket=hash_prefix_bucket("_h", hash_digits or hash_digits_for(rows)))
     j = join_null_safe(idx, n, [label])
     cut = F.round(F.col("_nl") * F.lit(float(frac))).cast("long")
     return j.withColumn(name, (F.col("_ix") < cut).cast("int")).drop("_h", "_ix", "_nl")
@@ -202,10 +209,10 @@ def random_split(df: DataFrame, id_col: str, frac: float, *, seed: int = 0,
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, *, seed: int = 42,
-                     name: str = "fold", hash_digits: int = 3) -> DataFrame:
+                     name: str = "fold", hash_digits: int | None = None) -> DataFrame:
     """Fold = position in the seeded order within the label, modulo k: folds are
     disjoint, complete and balanced per label (sizes differ by at most 1)."""
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
     idx = global_index(keyed, ["_h", id_col], group=[label], name="_ix",
-                       bucket=hash_prefix_bucket("_h", hash_digits))
+                       bucket=hash_prefix_bucket("_h", hash_digits or hash_digits_for(df.count())))
     return idx.withColumn(name, (F.col("_ix") % F.lit(k)).cast("int")).drop("_h", "_ix")

@@ -6,8 +6,8 @@ moves every row into one task.  Here the order key is first cut into
 order-preserving buckets (quantile splits of a numeric key, or a fixed-width
 prefix of a hash string); per-bucket counts/sums form a table bounded by the
 bucket count, whose running offsets are computed on that small table and
-broadcast back.  The final window is partitioned by bucket, so no task sees
-more than about ``rows / buckets`` rows.  The result does not depend on
+broadcast back.  The final window is partitioned by bucket, and the number of buckets grows with
+the rows, so no task sees more than about ``ROWS_A_BUCKET`` rows per bucket.  The result does not depend on
 where the bucket boundaries fall, only on the total order, so approximate
 split points are exact here.
 """
@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from wardline.operators.joins import bounded_broadcast, join_null_safe
 from wardline.session import materialize
 
-DEFAULT_BUCKETS = 1024
+#: Rows that one bucket is to hold; the number of buckets follows from the number of rows.
+ROWS_A_BUCKET = 200_000
+#: Bounds of the number of quantile buckets (the upper one bounds the offsets table and the sketch).
+FEWEST_BUCKETS, MOST_BUCKETS = 16, 20_000
 _MAX_OFFSET_ROWS = 1_000_000
 
 
@@ -43,13 +46,24 @@ def hash_prefix_bucket(hex_col, digits: int = 3) -> Column:
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
 
 
-def quantile_bucket(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS,
-                    rel_err: float = 0.001, ascending: bool = True) -> tuple[DataFrame, str]:
+def buckets_for(rows: int, rows_a_bucket: int = ROWS_A_BUCKET) -> int:
+    """Quantile buckets for so many rows."""
+    return max(FEWEST_BUCKETS, min(MOST_BUCKETS, -(-rows // rows_a_bucket)))
+
+
+def hash_digits_for(rows: int, rows_a_bucket: int = ROWS_A_BUCKET) -> int:
+    """Leading hex digits of a hash that cut so many rows into buckets of about ``rows_a_bucket`` (5 at most)."""
+    return next((d for d in range(1, 5) if 16**d * rows_a_bucket >= rows), 5)
+
+
+def quantile_bucket(df: DataFrame, col: str, buckets: int, rel_err: float | None = None,
+                    ascending: bool = True) -> tuple[DataFrame, str]:
     """Add ``_b``: bucket of numeric ``col`` from approximate quantile splits.
 
-    Only ``buckets - 1`` split points reach the driver (bounded).  NULLs get
-    bucket -1 (first when ascending), NaN the last bucket.
+    Only ``buckets - 1`` split points reach the driver (bounded); ``rel_err`` is a quarter of a bucket unless
+    given.  NULLs get bucket -1 (first when ascending), NaN the last bucket.
     """
+    rel_err = 0.25 / buckets if rel_err is None else rel_err
     probs = [i / buckets for i in range(1, buckets)]
     dcol = "_bq_x"
     d = df.withColumn(dcol, F.col(col).cast("double"))
@@ -72,7 +86,7 @@ def _with_bucket(df, order, bucket, buckets, ascending):
     lead = _list(order)[0]
     if not isinstance(lead, str):
         raise ValueError("pass bucket= when the leading order key is an expression")
-    out, _ = quantile_bucket(df, lead, buckets, ascending=ascending)
+    out, _ = quantile_bucket(df, lead, buckets_for(df.count()) if buckets is None else buckets, ascending=ascending)
     return out
 
 
@@ -83,7 +97,7 @@ def _offsets(small: DataFrame, group: list[str], value: str) -> DataFrame:
 
 def _broadcast_offsets(offsets: DataFrame, group: list[str]) -> DataFrame:
     """Without groups the offsets table has at most one row per bucket (a bound
-    known by construction: <= 4096 hash buckets or ``buckets`` + 1 quantile
+    known by construction: 16^5 hash buckets or ``MOST_BUCKETS`` + 1 quantile
     buckets), so it is broadcast directly; with groups its size is checked."""
     if not group:
         return F.broadcast(offsets)
@@ -92,11 +106,12 @@ def _broadcast_offsets(offsets: DataFrame, group: list[str]) -> DataFrame:
 
 
 def global_index(df: DataFrame, order, *, group: Sequence[str] = (), name: str = "idx",
-                 bucket: Column | None = None, buckets: int = DEFAULT_BUCKETS,
+                 bucket: Column | None = None, buckets: int | None = None,
                  ascending: bool = True) -> DataFrame:
     """0-based dense position of each row in ``order`` (within ``group``).
 
-    ``order`` must be a total order (add a unique tie-breaker).
+    ``order`` must be a total order (add a unique tie-breaker).  Without ``bucket`` the leading key is cut at
+    quantiles into ``buckets``, whose number follows from that of the rows unless given.
     """
     group = list(group)
     b = _with_bucket(df, order, bucket, buckets, ascending)
@@ -135,7 +150,7 @@ def range_index(df: DataFrame, order, *, name: str = "idx", rows: int | None = N
 
 def global_cumsum(df: DataFrame, order, cols: Sequence[str], *, group: Sequence[str] = (),
                   prefix: str = "cum_", bucket: Column | None = None,
-                  buckets: int = DEFAULT_BUCKETS, ascending: bool = True) -> DataFrame:
+                  buckets: int | None = None, ascending: bool = True) -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order`` (within ``group``)."""
     group, cols = list(group), list(cols)
     b = _with_bucket(df, order, bucket, buckets, ascending)

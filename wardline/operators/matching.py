@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wardline.functions.temporal import add_fractional_hours
-from wardline.operators.indexing import global_index, hash_prefix_bucket, range_index
+from wardline.operators.indexing import range_index
 from wardline.session import materialize
 from wardline.sources.io import save_with_schema
 
@@ -28,14 +28,10 @@ def seeded_order_key(id_col: str, seed: int) -> F.Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
 
 
-def shuffled_index(df: DataFrame, id_col: str, seed: int, name: str = "idx",
-                   hash_digits: int = 3) -> DataFrame:
-    """0-based position in the seeded random order (ties on the hash by id).
-
-    ``hash_digits`` hex digits of the hash form the buckets (16**digits)."""
+def shuffled_index(df: DataFrame, id_col: str, seed: int, name: str = "idx", rows: int | None = None) -> DataFrame:
+    """0-based position in the seeded random order (ties on the hash by id); ``rows`` as for ``range_index``."""
     keyed = df.withColumn("_h", seeded_order_key(id_col, seed))
-    return global_index(keyed, ["_h", id_col], name=name,
-                        bucket=hash_prefix_bucket("_h", hash_digits)).drop("_h")
+    return range_index(keyed, ["_h", id_col], name=name, rows=rows).drop("_h")
 
 
 def assign_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42, id_col: str = "icustay_id",
@@ -49,7 +45,7 @@ def assign_controls(cases: DataFrame, controls: DataFrame, *, seed: int = 42, id
     ctrl = materialize(controls.distinct())
     case = materialize(cases.select(F.col(id_col).alias("matched_case_icustay_id"), F.col(onset_hour_col).alias("control_onset_hour")))
     n_ctrl, n_case = ctrl.count(), case.count()
-    cj = range_index(ctrl.withColumn("_h", seeded_order_key(id_col, seed)), ["_h", id_col], name="_j", rows=n_ctrl).drop("_h")
+    cj = shuffled_index(ctrl, id_col, seed, "_j", n_ctrl)
     place = f"(cast(_j + 1 as decimal(19, 0)) * {n_case} + {n_ctrl} - 1) div {max(n_ctrl, 1)} - 1"
     cj = cj.withColumns({"_i": F.expr(place).cast("long"), "n_controls": F.lit(n_ctrl).cast("long")})
     ci = range_index(case, ["matched_case_icustay_id"], name="_i", rows=n_case)
