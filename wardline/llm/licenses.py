@@ -7,8 +7,10 @@ twice its size, wherever a block holds enough of its words.  The wording of a wi
 alone and with the template as raw zstandard dictionary: the more of the template it shares, the
 more its size falls.  If that saves ``least_reduction`` of the template's own compressed size, the
 window is compared word by word, and every stretch with differences of at most ``most_differences``
-of the template's words is confirmed; where such stretches overlap, the one with the fewest
-differences counts.  One pass over the documents, no shuffle.
+of the template's words is confirmed, unless it lacks a word that sets the template's license apart (a name,
+a version), holds one of another license, or is denied; where such stretches overlap, the one with the fewest
+differences counts, then the one that saves more bytes.  A notice that two licenses share counts for the one whose
+further clause stands in the same paragraph.  One pass over the documents, no shuffle.
 
 Defined results: null and empty texts have no blocks; every document has one result row,
 repeated rows one each; ties go to the template that saves more bytes, then to its place; case and punctuation do not count;
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -30,30 +32,75 @@ from pyspark.sql import DataFrame
 from wardline.llm.common import pieces, prepare, texts_of
 
 #: Words that every license line of interest holds one of (lower case).
-CUES = ("licens", "licenc", "copyright", "rights reserved", "public domain", "creative commons", "permission is hereby", "redistribution and use")
-#: Short notices of common licenses.
+CUES = ("licens", "licenc", "copyright", "rights reserved", "public domain", "creative commons", "permission is hereby", "redistribution and use", "permission to use",
+        "general public")
+_FREE = ("This {work} is free software: you can redistribute it and/or modify it under the terms of the {license} as published by the "
+         "Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+
+
+def _gnu(kind: str, version: str, work: str = "program") -> tuple[str, ...]:
+    name = f"GNU {kind}General Public License"
+    short = {"": "GPL", "Lesser ": "LGPL", "Affero ": "AGPL"}[kind]
+    spdx = f"{short}-{version}" if "." in version else f"{short}-{version}.0"
+    return (f"This work is licensed under the {name}, version {version}.", f"Licensed under the {name} version {version}",
+            _FREE.format(work=work, license=name, version=version), f"{name} v{version}",
+            *[f"SPDX-License-Identifier: {spdx}{x}" for x in ("", "-only", "-or-later")])
+
+
+def _cc(code: str, name: str, version: str) -> tuple[str, ...]:
+    return (f"Licensed under CC {code} {version}.", f"This work is licensed under a Creative Commons {name} {version} International License.",
+            f"Creative Commons {name} {version}", f"SPDX-License-Identifier: CC-{code}-{version}")
+
+
+#: Short notices and headers of common licenses.
 TEMPLATES = {
-    "MIT": ("Released under the MIT License.", "Licensed under the MIT License.",
+    "MIT": ("Released under the MIT License.", "Licensed under the MIT License.", "Distributed under the MIT License.", "MIT License",
+            "SPDX-License-Identifier: MIT",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Apache License 2.0", "Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",
-                "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-                "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "BSD-3-Clause": ("Released under the BSD 3-Clause License.",
+    "GPL-3.0": _gnu("", "3"),
+    "GPL-2.0": _gnu("", "2"),
+    "LGPL-3.0": _gnu("Lesser ", "3"),
+    "LGPL-2.1": _gnu("Lesser ", "2.1", "library"),
+    "AGPL-3.0": _gnu("Affero ", "3"),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-2-Clause",
                      "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.",),
-    "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
+    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
+                     "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+                     "this software without specific prior written permission."),
+    "ISC": ("ISC License", "Released under the ISC License.", "SPDX-License-Identifier: ISC",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+            "above copyright notice and this permission notice appear in all copies."),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "CC-BY-4.0": _cc("BY", "Attribution", "4.0"),
+    "CC-BY-3.0": _cc("BY", "Attribution", "3.0"),
+    "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike", "4.0"),
+    "CC-BY-SA-3.0": _cc("BY-SA", "Attribution-ShareAlike", "3.0"),
+    "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial", "4.0"),
+    "CC-BY-ND-4.0": _cc("BY-ND", "Attribution-NoDerivatives", "4.0"),
+    "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike", "4.0"),
+    "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives", "4.0"),
+    "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "all-rights-reserved": ("All rights reserved.",),
 }
+#: Words that set licenses apart.  A stretch has those of its template and no others.
+APART = frozenset((
+    "mit apache gnu general lesser affero mozilla bsd isc eclipse 2-clause 3-clause 4-clause cc cc0 by-sa by-nc by-nd by-nc-sa by-nc-nd attribution "
+    "attribution-sharealike attribution-noncommercial attribution-noderivatives attribution-noncommercial-sharealike "
+    "attribution-noncommercial-noderivatives sharealike noncommercial noderivatives spdx-license-identifier").split())
+_VERSION = re.compile(r"v?\d+(?:\.\d+)*")
+#: Words that deny what follows.
+DENIALS = frozenset(("not", "never", "neither", "nor", "cannot", "isn", "aren"))
+#: Words before a stretch in which a denial turns it down.
+REACH = 5
+#: A notice that begins another license too: in a paragraph that also holds the other's own clause it is the other.
+BEGINS = {TEMPLATES["BSD-2-Clause"][-1]: TEMPLATES["BSD-3-Clause"][-1]}
 #: Cues as they stand in running text, also wrapped and behind comment marks, or a word split by a hyphen.
 _CUE = re.compile("|".join(r"[\W_]+(?:(?:rem|dnl|c)[\W_]+)?".join(cue.split()) for cue in CUES) + r"|-[ \t\r]*\n")
+#: First parts of license identifiers.
+_CODES = frozenset(("gpl", "lgpl", "agpl", "apache", "mpl", "bsd", "cc", "cc0"))
 _WORD = re.compile(r"[^\W_]+(?:[-.][^\W_]+)*")
 
 
@@ -61,7 +108,14 @@ def wording(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def paragraphs(text: str, own: Mapping[str, int]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+def marks(words: list[str]) -> set[str]:
+    """The words that set licenses apart, among ``words``."""
+    out = {w for w in words if w in APART or _VERSION.fullmatch(w) or "-" in w and w.split("-")[0] in _CODES}
+    # "This library is free software" says nothing of the license, "Library General Public License" does.
+    return out | {"library" for a, b in zip(words, words[1:], strict=False) if (a, b) == ("library", "general")}
+
+
+def paragraphs(text: str, own: set[str]) -> Iterator[tuple[list[str], list[int], list[int]]]:
     """(words, line of each word, place of each word in its line) of every paragraph of a text.  Comment
     marks that are words go, and words split at the end of a line are joined if ``own`` has them."""
     words, at, place, split = [], [], [], False
@@ -105,7 +159,14 @@ class Matcher:
                 given = zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
                 self.templates.append((name, wanted, int(most_differences * len(wanted)), self._size(wanted), given))
         self.ids = {w: k for k, w in enumerate(sorted({w for t in self.templates for w in t[1]}))}
+        # Words of the templates, and their first parts up to a hyphen, which may end a line.
+        self.known = {w[:k] for w in self.ids for k in [len(w), *(i for i, c in enumerate(w) if c == "-")]}
         self.own = [np.array([w in t[1] for w in self.ids] + [False]) for t in self.templates]
+        self.apart = [marks(t[1]) for t in self.templates]
+        place = {tuple(t[1]): k for k, t in enumerate(self.templates)}
+        ends = [[place.get(tuple(wording(x))) for x in pair] for pair in BEGINS.items()]
+        self.begins = {a: b for a, b in ends if a is not None and b is not None}
+        self.denials = [sum(w in DENIALS for w in t[1]) for t in self.templates]
 
     def __call__(self, words: list[str]) -> list[tuple[int, str, int, float]]:
         """(first word, license, differing words, size reduction) of the licenses of a block, which do
@@ -115,8 +176,15 @@ class Matcher:
             at = bisect(taken, (start, end))
             if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
                 taken.insert(at, (start, end))
-                out.append((start, self.templates[k][0], found, reduction))
-        return sorted(out)
+                out.append((start, k, found, reduction))
+        seen = {x[1] for x in out}
+        return sorted((start, self.templates[self.begins[k] if self.begins.get(k) in seen else k][0], *rest) for start, k, *rest in out)
+
+    def _fits(self, k: int, words: list[str], start: int, end: int) -> bool:
+        """Whether a stretch has the words that set template k apart, no others of that kind, and is not denied."""
+        part = words[start:end]
+        return (marks(part) == self.apart[k]
+                and sum(w in DENIALS for w in words[max(0, start - REACH):end]) <= self.denials[k])
 
     def _confirmed(self, words: list[str]) -> Iterator[tuple[int, int, int, int, int, float]]:
         """(differing words, minus the bytes saved, template, start, end, size reduction) of the
@@ -128,7 +196,8 @@ class Matcher:
                 saved = self._size(part) - len(given.compress(" ".join(part).encode()))
                 if saved >= self.least * size:
                     for found, i, j in stretches(wanted, part, most):
-                        yield found, -saved, k, start + i, start + j, saved / size
+                        if self._fits(k, words, start + i, start + j):
+                            yield found, -saved, k, start + i, start + j, saved / size
 
     def _size(self, words: list[str]) -> int:
         return len(self.alone.compress(" ".join(words).encode()))
@@ -188,7 +257,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "
             for text in p.column("text").to_pylist():
                 n, own = 0, []
                 if _CUE.search(text.lower()):
-                    for words, at, place in paragraphs(text, match.ids):
+                    for words, at, place in paragraphs(text, match.known):
                         cues = cue_lines(words, at)
                         if cues:
                             n += len(cues)
