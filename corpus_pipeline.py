@@ -3,7 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and
 read again as the next stage's ``docs``.  All but the last return the columns of
 ``documents``.  Defined results for odd rows are those of the operators: null texts
-count as empty, repeated ids are told apart by a number per row.
+count as empty, rows of one id or without one are told apart by a number per row (of copies the
+first one stays), ties go to the smaller number, very long texts are read whole, an empty table gives an
+empty result, and columns other than those of ``documents`` are dropped, whatever their names.
 """
 
 from __future__ import annotations
