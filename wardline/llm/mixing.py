@@ -124,8 +124,8 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     the id where none is named.
 
     ``levels`` are the columns of the tree from the root down.  Give ``budget`` tokens, or ``budget_share`` of
-    the tokens present, or neither: the budget is then the largest one that all nodes of the first level can
-    fill in the proportion of their weights (``balanced_budget``).  ``epochs`` says how often a document is read.
+    the tokens present, or neither: the budget is then all tokens present, or the most that all nodes of the
+    first level can fill in the proportion of their weights (``balanced_budget``), if that is less.  ``epochs`` says how often a document is read.
     """
     path = F.array(*[F.coalesce(c.cast("string"), F.lit("(null)")) for c in levels])
     uid = F.col(uid_col if uid_col is not None else id_col).cast("long")
@@ -136,7 +136,8 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
         raise ValueError(f"more than {max_leaves} leaves: the tree is no longer small")
     have = {tuple(r.path): r.t for r in present}
     if budget is None:
-        budget = balanced_budget(have, weights, max_epochs) if budget_share is None else int(sum(have.values()) * budget_share)
+        present_tokens = sum(have.values())
+        budget = min(present_tokens, balanced_budget(have, weights, max_epochs)) if budget_share is None else int(present_tokens * budget_share)
     given = leaf_budgets(budget, have, weights, max_epochs)
 
     # Whole epochs need no order; the last one ends inside a slice of the hash range.
