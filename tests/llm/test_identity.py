@@ -118,14 +118,3 @@ def test_a_column_named_uid_is_no_identity_of_a_mix(spark):
     assert sorted(r.uid for r in got.collect()) == sorted(r.doc_id for r in got.collect()) and got.count() == 6
     odd = docs_of(spark, odd_rows()).withColumn("uid", F.lit(None).cast("long"))
     assert mixing.mix(odd, [F.col("lang")], {}, budget_share=1.0).count() == len(odd_rows())
-
-
-def test_balanced_budget():
-    tokens = {("a", "x"): 100, ("a", "y"): 100, ("b", "x"): 30, ("c", "x"): 0, ("d", "x"): 50}
-    weights = {("a",): 2, ("b",): 1, ("c",): 9, ("d",): 0}
-    got = mixing.balanced_budget(tokens, weights)
-    assert got == 90  # b has 30 of the third that it is to be
-    given = mixing.leaf_budgets(got, tokens, weights)
-    assert given[("b", "x")] == 30 and given[("a", "x")] + given[("a", "y")] == 60 and given[("d", "x")] == 0
-    assert mixing.balanced_budget(tokens, weights, max_epochs=3) == 270
-    assert mixing.balanced_budget({}, {}) == mixing.balanced_budget({("a",): 0}, {}) == 0

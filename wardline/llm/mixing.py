@@ -81,20 +81,6 @@ def leaf_budgets(budget: int, tokens: Mapping[Path, int], weights: Mapping[Path,
     return {leaf: given[leaf] for leaf in tokens}
 
 
-def balanced_budget(tokens: Mapping[Path, int], weights: Mapping[Path, float], max_epochs: int = 1) -> int:
-    """The most tokens for which no node of the first level falls short of its weight.
-
-    Nodes without tokens or with a weight of 0 have no say; below the first level shortages go to siblings.
-    """
-    room: dict[Path, int] = {}
-    for leaf, n in tokens.items():
-        if leaf and _open(leaf, weights):
-            room[leaf[:1]] = room.get(leaf[:1], 0) + n * max_epochs
-    room = {k: n for k, n in room.items() if n > 0}
-    total = sum(weights.get(k, 1.0) for k in room)
-    return int(min((n * total / weights.get(k, 1.0) for k, n in room.items()), default=0))
-
-
 def _open(leaf: Path, weights: Mapping[Path, float]) -> bool:
     return all(weights.get(leaf[:k], 1.0) > 0 for k in range(1, len(leaf) + 1))
 
@@ -124,8 +110,7 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     the id where none is named.
 
     ``levels`` are the columns of the tree from the root down.  Give ``budget`` tokens, or ``budget_share`` of
-    the tokens present, or neither: the budget is then all tokens present, or the most that all nodes of the
-    first level can fill in the proportion of their weights (``balanced_budget``), if that is less.  ``epochs`` says how often a document is read.
+    the tokens present, or neither for as many tokens as are present.  ``epochs`` says how often a document is read.
     """
     path = F.array(*[F.coalesce(c.cast("string"), F.lit("(null)")) for c in levels])
     uid = F.col(uid_col if uid_col is not None else id_col).cast("long")
@@ -136,8 +121,7 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
         raise ValueError(f"more than {max_leaves} leaves: the tree is no longer small")
     have = {tuple(r.path): r.t for r in present}
     if budget is None:
-        present_tokens = sum(have.values())
-        budget = min(present_tokens, balanced_budget(have, weights, max_epochs)) if budget_share is None else int(present_tokens * budget_share)
+        budget = int(sum(have.values()) * (1.0 if budget_share is None else budget_share))
     given = leaf_budgets(budget, have, weights, max_epochs)
 
     # Whole epochs need no order; the last one ends inside a slice of the hash range.
