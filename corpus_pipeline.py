@@ -46,8 +46,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many tokens as there are, by the target weights: a document stands once for every epoch that
-    it is read (four at most), so small domains repeat and large ones are cut.  Fewer tokens only where the
-    weights of the domains cannot be met otherwise."""
+    it is read (four at most), so small domains repeat and large ones are cut; what a domain cannot fill goes to
+    the others."""
     docs = with_uid(docs.select(*COLUMNS))
     taken = mixing.mix(docs, mix_levels(), WEIGHTS, uid_col="uid", max_epochs=4, fill=True).select("uid", "epochs")
     rows = docs.join(taken, "uid").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs").cast("int"))))
