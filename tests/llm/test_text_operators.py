@@ -391,6 +391,24 @@ def test_a_long_document_does_not_end_its_leaf(spark, slice_rows):
     assert long_first
 
 
+def test_rounds_of_a_fill_leave_no_work_in_the_plan(spark):
+    """The result reads what the rounds have written; joins and sorts of all rounds in one plan filled the driver."""
+    size = {k: 2 ** (k % 11) + k % 5 for k in range(120)}
+    df = docs_of(spark, [(k, " ".join(["w"] * n), "en", "s0", 0) for k, n in size.items()])
+    budget = sum(size.values()) * 5 // 3
+    out = mixing.mix(df, [F.col("lang")], {}, budget=budget, max_epochs=3, fill=True, slice_rows=7)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "Aggregate" not in plan
+    got, rest = {r.doc_id: r.epochs for r in out.collect()}, budget - sum(size.values())
+    order = {r.doc_id: r.h for r in spark.createDataFrame(list(size.items()), "doc_id long, n long").select(
+        "doc_id", F.xxhash64(F.lit(7), F.lit(1).cast("long"), "doc_id", "n").alias("h")).collect()}
+    want = {}
+    for k in sorted(size, key=order.get):
+        want[k] = 1 + (size[k] <= rest)
+        rest -= size[k] * (want[k] - 1)
+    assert got == want and out.count() == len(size)
+
+
 def test_mixing_odd_rows(spark, odd, none):
     out = mixing.mix(odd, [F.col("lang"), F.col("source")], {}, budget_share=1.0).collect()
     assert len(out) == len(odd_rows()) and {tuple(r.path) for r in out} >= {("(null)", "s"), ("en", "(null)")}

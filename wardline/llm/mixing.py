@@ -127,45 +127,52 @@ def mix(docs: DataFrame, levels: list[Column], weights: Mapping[Path, float], *,
     # Whole epochs need no order; the last one ends inside a slice of the hash range.
     plan = [(list(leaf), *divmod(b, have[leaf]), max(1, -(-r.n // slice_rows)))
             for r in present for leaf in [tuple(r.path)] for b in [given[leaf]] if b > 0]
-    spark = docs.sparkSession
-    small = spark.createDataFrame(plan, "path array<string>, whole long, rest long, slices long")
     order = F.xxhash64(F.lit(seed), "whole", id_col, "n_tokens")
-    rows = rows.join(F.broadcast(small), "path").withColumn("order", order)  # one row per leaf
+    rows = _with_leaves(rows, [r[:2] for r in plan], "whole long").withColumn("order", order)
     columns = (id_col, "uid", "path", "n_tokens", (F.col("whole") + F.col("extra")).alias("epochs"))
-    out = _prefix(rows, id_col)
+    leaves = [(path, rest, slices) for path, _, rest, slices in plan]
     if not fill:
-        return out.select(*columns).filter("epochs > 0")
-    done, room = [], {tuple(r[0]): r[2] for r in plan}
+        return _prefix(rows, leaves, id_col).select(*columns).filter("epochs > 0")
+    # Every round writes what it takes: the plans of all rounds together would fill the driver.
+    done, kept = [], rows.columns
     while True:
-        out = stage_table(out, "mix-fill")
-        for r in out.filter("extra > 0").groupBy("path").agg(F.sum("n_tokens").alias("t")).collect():
-            room[tuple(r.path)] -= r.t
-        now = spark.createDataFrame([(list(k), v) for k, v in room.items()], "path array<string>, rest long")
-        out = out.drop("rest", "slices").join(F.broadcast(now), "path")
+        out = stage_table(_prefix(rows, leaves, id_col), "mix-fill")
+        left = F.col("extra") == 0
+        found = out.groupBy("path", "rest").agg(
+            F.sum(F.when(~left, F.col("n_tokens"))).alias("taken"), F.min(F.when(left, F.col("n_tokens"))).alias("least"),
+            F.count(F.when(left, F.lit(1))).alias("n")).collect()
         # What does not fit now never will: the room of a leaf only shrinks.
-        fits = (F.col("extra") == 0) & (F.col("rest") > 0) & (F.col("n_tokens") <= F.col("rest"))
-        done.append(out.filter(~fits).select(*columns))
-        out = out.filter(fits)
-        counts = [(r.path, max(1, -(-r.n // slice_rows))) for r in out.groupBy("path").agg(F.count(F.lit(1)).alias("n")).collect()]
-        if not counts:
-            return reduce(DataFrame.unionByName, done).filter("epochs > 0")
-        out = _prefix(out.join(F.broadcast(spark.createDataFrame(counts, "path array<string>, slices long")), "path"), id_col)
+        leaves = [(r.path, room, max(1, -(-r.n // slice_rows))) for r in found for room in [r.rest - (r.taken or 0)]
+                  if room > 0 and r.least is not None and r.least <= room]
+        if not leaves:
+            return reduce(DataFrame.unionByName, [*done, out.select(*columns).filter("epochs > 0")])
+        out = _with_leaves(out.drop("rest"), [r[:2] for r in leaves], "rest long", "left")
+        fits = F.coalesce(left & (F.col("n_tokens") <= F.col("rest")), F.lit(False))
+        done.append(stage_table(out.filter(~fits).select(*columns).filter("epochs > 0"), "mix-done"))
+        rows = out.filter(fits).select(*kept)
 
 
-def _prefix(rows: DataFrame, id_col: str) -> DataFrame:
-    """All rows, with ``extra`` 1 for those in the longest prefix of their leaf within ``rest``."""
+def _with_leaves(rows: DataFrame, values: list[tuple], columns: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the values of their leaf, one row per leaf."""
+    small = rows.sparkSession.createDataFrame(values, f"path array<string>, {columns}")
+    return rows.join(F.broadcast(small), "path", how)
+
+
+def _prefix(rows: DataFrame, leaves: list[tuple], id_col: str) -> DataFrame:
+    """The rows of ``leaves`` (path, rest, slices) with ``rest``, and ``extra`` 1 for those in the longest
+    prefix of their leaf within ``rest``.  The driver gets the slice where each leaf's prefix ends."""
     place = ((F.col("order").cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col("slices")).cast("long")
-    kept = rows.columns
-    rows = rows.withColumn("slice", place)
-    sums = rows.filter("rest > 0").groupBy("path", "slice").agg(F.sum("n_tokens").alias("t"))
-    w = Window.partitionBy("path").orderBy("slice")
-    start = sums.withColumn("start", F.sum("t").over(w) - F.col("t")).select("path", "slice", "start", "t")
-    # One row per slice of slice_rows rows: joined by key, its size is for Spark to judge.
-    placed = rows.join(start, ["path", "slice"], "left")
-    inside = (F.col("start") <= F.col("rest")) & (F.col("start") + F.col("t") > F.col("rest"))
-    before = F.coalesce(F.col("start") + F.col("t") <= F.col("rest"), F.lit(False))
-    run = F.sum("n_tokens").over(Window.partitionBy("path", "slice").orderBy("order", id_col, "n_tokens", "uid")
+    sums = (_with_leaves(rows, leaves, "rest long, slices long").filter("rest > 0")
+            .groupBy("path", "rest", place.alias("slice")).agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")))
+    start = F.sum("t").over(Window.partitionBy("path").orderBy("slice")) - F.col("t")
+    ends = {tuple(r.path): (r.slice, r.start) for r in sums.withColumn("start", start).filter(
+        (F.col("start") <= F.col("rest")) & (F.col("start") + F.col("t") > F.col("rest"))).select("path", "slice", "start").collect()}
+    known = [(*x, *ends.get(tuple(x[0]), (None, None))) for x in leaves]
+    placed = _with_leaves(rows, known, "rest long, slices long, end long, start long").withColumn("slice", place)
+    inside = F.col("slice").eqNullSafe(F.col("end"))
+    before = (F.col("rest") > 0) & (F.col("end").isNull() | (F.col("slice") < F.col("end")))
+    run = F.sum("n_tokens").over(Window.partitionBy("path").orderBy("order", id_col, "n_tokens", "uid")
                                  .rowsBetween(Window.unboundedPreceding, 0))
-    whole = placed.filter(~F.coalesce(inside, F.lit(False))).withColumn("extra", before.cast("long"))
-    cut = placed.filter(inside).withColumn("extra", (F.col("start") + run <= F.col("rest")).cast("long"))
-    return whole.unionByName(cut).select(*[c for c in kept if c != "extra"], "extra")
+    whole = placed.filter(~inside).withColumn("extra", before.cast("long"))
+    cut = placed.filter(inside).withColumn("extra", F.coalesce(F.col("start") + run <= F.col("rest"), F.lit(True)).cast("long"))
+    return whole.unionByName(cut).select(*rows.columns, "rest", "extra")
