@@ -143,6 +143,56 @@ def test_sampled_rows_are_bounded(spark, data):
     assert frame.bins.shape == (50, 1) and len(frame.edges[0]) > 40
 
 
+def _repeated(n=3000):
+    """Rows of 24 cells at most, with a missing value among them."""
+    r = np.random.default_rng(4)
+    a, b, c = r.integers(0, 4, n), r.integers(0, 3, n), r.integers(0, 2, n)
+    y = (r.random(n) < 0.15 + 0.1 * a + 0.2 * (b == 1) * c).astype(float)
+    return B.BinnedFrame(list("abc"), [np.arange(3.0), np.arange(2.0), np.arange(1.0)], np.stack([a, b, c], 1).astype(np.uint8), y, np.arange(n) % 3)
+
+
+def test_rounds_work_on_cells_and_give_the_trees_of_all_rows(monkeypatch):
+    f, sizes, grow = _repeated(), [], B.grow
+    monkeypatch.setattr(B, "grow", lambda bins, *more: sizes.append(len(bins)) or grow(bins, *more))
+    params = {"num_leaves": 7, "learning_rate": 0.1, "feature_fraction": 1.0, "max_depth": 4}
+    for fold in range(3):
+        model, train, held = B._Booster(f, fold, params, 3), f.fold != fold, f.fold == fold
+        score = np.full(len(f.label), model.start)
+        for _ in range(12):
+            p = 1 / (1 + np.exp(-score[train]))
+            want = grow(f.bins[train], p - f.label[train], p * (1 - p), np.arange(3), 7, 4)
+            got = model.step()
+            assert [(*n[:4], n[6]) for n in got] == [(*n[:4], n[6]) for n in want] and len(got) > 5
+            assert [n[4:6] for n in got] == [pytest.approx((0.1 * n[4], n[5]), rel=1e-6, abs=1e-9) for n in want]
+            score += 0.1 * B.tree_values(want, f.bins)
+            assert model.held_out_auc() == pytest.approx(B.auc(f.label[held], np.round(score[held], 9)))
+    assert max(sizes) <= 24
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5), st.integers(0, 3)), min_size=1, max_size=12))
+def test_auc_of_counts_equals_that_of_the_rows(groups):
+    y = np.concatenate([np.repeat([1.0, 0.0], [p, q]) for p, q, _ in groups])
+    s = np.concatenate([np.full(p + q, float(k)) for p, q, k in groups])
+    p, q, k = (np.array(v, float) for v in zip(*groups, strict=True))
+    assert B.auc(p, k, p + q) == pytest.approx(B.auc(y, s) if len(y) else 0.5)
+
+
+def test_prediction_of_repeated_cells_equals_that_of_every_row(spark):
+    f = _repeated(600)
+    names = f.features
+    df = spark.createDataFrame([(i, *map(float, x), int(y)) for i, (x, y) in enumerate(zip(f.bins - 0.5, f.label, strict=True))],
+                               "id long, a double, b double, c double, label int")
+    nodes = B.fit_folds(spark, f, {"num_leaves": 5, "learning_rate": 0.2, "feature_fraction": 0.7, "max_depth": 3}, folds=3, rounds=4).collect()
+    got = {r.id: r.p for r in B.predict_folds(df, spark.createDataFrame(nodes, B._NODES), f, "id").collect()}
+    bins = np.stack([B.bin_values(f.bins[:, k] - 0.5, f.edges[k]) for k in range(len(names))], 1)
+    total = 0.0
+    for fold in range(3):
+        trees = [[(n.feature, n.bin, n.left, n.right, n.value) for n in sorted(nodes, key=lambda n: n.node) if (n.fold, n.round) == (fold, r)] for r in range(5)]
+        total = total + 1 / (1 + np.exp(-sum(B.tree_values(t, bins) for t in trees))) / 3
+    assert len(got) == 600 and [got[i] for i in range(600)] == pytest.approx(list(total))
+
+
 def test_importances_of_a_hand_made_tree(spark):
     rows = [(0, 0, 0, -1, 0, -1, -1, 0.1, 0.0, 9), (0, 1, 0, 1, 3, 1, 2, 0.0, 4.0, 9), (0, 1, 1, -1, 0, -1, -1, 0.5, 0.0, 5),
             (0, 1, 2, 0, 1, 3, 4, 0.0, 2.0, 4), (0, 1, 3, -1, 0, -1, -1, 0.5, 0.0, 2), (0, 1, 4, -1, 0, -1, -1, 0.5, 0.0, 2),

@@ -3,7 +3,9 @@
 A fit works on a *binned frame*: quantile edges of every feature over all rows, and the
 bin numbers of at most ``max_rows`` rows (a documented bound on what is fitted on; the
 rows with the smallest seeded hash).  Trials are rows of a DataFrame, one task each; the
-binned frame is broadcast, a byte per row and feature.  Within a trial the folds
+binned frame is broadcast, a byte per row and feature.  Rows whose bins agree in every feature
+are one cell: they stay together in every tree, so trees grow on the cells with their numbers of
+rows and positives, and a round costs as much as there are cells.  Within a trial the folds
 grow their trees round by round together, the mean held-out AUC of every round decides when
 to stop, and each tree adds its leaf values to one running score per row, so that the AUC
 of every round comes from a single pass.  Scores, importances and curves are
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,19 @@ class BinnedFrame:
     label: np.ndarray
     fold: np.ndarray
 
+    @cached_property
+    def cells(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct rows of ``bins``, and the cell of every row."""
+        return distinct_rows(self.bins)
+
+
+def distinct_rows(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and the place of every row among them."""
+    if not bins.size:
+        return bins[:1], np.zeros(len(bins), np.int64)
+    cells, at = np.unique(bins, axis=0, return_inverse=True)
+    return cells, at.reshape(-1)
+
 
 def bin_values(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """0 for a missing value, else 1 + the number of edges below the value."""
@@ -77,19 +93,25 @@ def sample_space(trials: int, seed: int, space: Mapping[str, tuple] = SPACE) ->
     return out
 
 
-def auc(y: np.ndarray, score: np.ndarray) -> float:
-    """Area under the ROC curve, ties counting half; 0.5 where a class is absent."""
-    _, at, n = np.unique(score, return_inverse=True, return_counts=True)
+def auc(y: np.ndarray, score: np.ndarray, count: np.ndarray | None = None) -> float:
+    """Area under the ROC curve, ties counting half; 0.5 where a class is absent.  With ``count``, entry i
+    stands for count[i] rows of the same score, y[i] of them positive."""
+    _, at = np.unique(score, return_inverse=True)
+    n = np.bincount(at, count)
     rank = (np.cumsum(n) - (n - 1) / 2)[at]
     pos = y.sum()
-    neg = len(y) - pos
-    return 0.5 if not pos or not neg else float((rank[y > 0].sum() - pos * (pos + 1) / 2) / (pos * neg))
+    neg = n.sum() - pos
+    return 0.5 if not pos or not neg else float(((rank * y).sum() - pos * (pos + 1) / 2) / (pos * neg))
 
 
-def grow(bins: np.ndarray, grad: np.ndarray, hess: np.ndarray, features: np.ndarray, num_leaves: int, max_depth: int) -> list[tuple]:
+def grow(bins: np.ndarray, grad: np.ndarray, hess: np.ndarray, features: np.ndarray, num_leaves: int, max_depth: int,
+         count: np.ndarray | None = None) -> list[tuple]:
     """Nodes (feature, bin, left, right, value, gain, rows) of one tree; a leaf has feature -1.
 
-    A row goes left if its bin is at most the node's."""
+    A row goes left if its bin is at most the node's.  With ``count``, entry i stands for count[i] rows,
+    whose gradients and Hessians ``grad`` and ``hess`` add up."""
+    if count is None:
+        count = np.ones(len(bins))
     width = int(bins.max(initial=0)) + 1
     place = bins[:, features].astype(np.int64) + np.arange(len(features)) * width
 
@@ -97,7 +119,7 @@ def grow(bins: np.ndarray, grad: np.ndarray, hess: np.ndarray, features: np.ndar
         flat = place[rows].reshape(-1)
         repeat = len(features)
         return np.stack([np.bincount(flat, w, repeat * width).reshape(repeat, width) for w in
-                         (np.repeat(grad[rows], repeat), np.repeat(hess[rows], repeat), np.ones(len(flat)))])
+                         (np.repeat(grad[rows], repeat), np.repeat(hess[rows], repeat), np.repeat(count[rows], repeat))])
 
     def best(h):
         left = h.cumsum(2)[:, :, :-1]
@@ -113,10 +135,10 @@ def grow(bins: np.ndarray, grad: np.ndarray, hess: np.ndarray, features: np.ndar
         return float(gain.reshape(-1)[k]), k // gain.shape[1], k % gain.shape[1]
 
     def may_split(rows, depth):
-        return depth < max_depth and len(rows) >= 2 * MIN_ROWS
+        return depth < max_depth and count[rows].sum() >= 2 * MIN_ROWS
 
     def leaf(rows, depth, h):
-        nodes.append([-1, 0, -1, -1, -grad[rows].sum() / max(hess[rows].sum(), MIN_HESSIAN), 0.0, len(rows)])
+        nodes.append([-1, 0, -1, -1, -grad[rows].sum() / max(hess[rows].sum(), MIN_HESSIAN), 0.0, int(count[rows].sum())])
         if may_split(rows, depth):
             open_.append((*best(h), len(nodes) - 1, rows, depth, h))
         return len(nodes) - 1
@@ -158,28 +180,37 @@ class _Booster:
     """One fold's model while it grows."""
 
     def __init__(self, frame: BinnedFrame, fold: int, params: Mapping, seed: int):
-        self.frame, self.fold, self.params, self.seed, self.round = frame, fold, params, seed, 0
-        self.train = np.flatnonzero(frame.fold != fold)
-        self.held = np.flatnonzero(frame.fold == fold)
-        share = np.clip(frame.label[self.train].mean() if len(self.train) else 0.5, 1e-6, 1 - 1e-6)
+        self.fold, self.params, self.seed, self.round = fold, params, seed, 0
+        self.bins, at = frame.cells
+
+        def per_cell(rows):
+            return np.bincount(at[rows], minlength=len(self.bins)).astype(float), np.bincount(at[rows], frame.label[rows], len(self.bins))
+
+        count, positive = per_cell(frame.fold != fold)
+        self.rows = int(count.sum())
+        self.train = np.flatnonzero(count)
+        self.count, self.positive = count[self.train], positive[self.train]
+        self.held, self.held_positive = per_cell(frame.fold == fold)
+        share = np.clip(positive.sum() / self.rows if self.rows else 0.5, 1e-6, 1 - 1e-6)
         self.start = float(np.log(share / (1 - share)))
-        self.score = np.full(len(frame.label), self.start)
+        self.score = np.full(len(self.bins), self.start)
 
     def step(self) -> list[tuple]:
         """Grow the next tree and add it to the scores."""
-        f, p = self.frame, 1 / (1 + np.exp(-self.score[self.train]))
-        k = f.bins.shape[1]
+        p = 1 / (1 + np.exp(-self.score[self.train]))
+        k = self.bins.shape[1]
         rng = np.random.default_rng([self.seed, self.fold, self.round])
         chosen = np.sort(rng.permutation(k)[:max(1, round(k * self.params["feature_fraction"]))])
-        nodes = grow(f.bins[self.train], p - f.label[self.train], p * (1 - p), chosen, self.params["num_leaves"], self.params["max_depth"])
+        nodes = grow(self.bins[self.train], self.count * p - self.positive, self.count * p * (1 - p), chosen,
+                     self.params["num_leaves"], self.params["max_depth"], self.count)
         rate = self.params["learning_rate"]
         nodes = [(*n[:4], rate * n[4], *n[5:]) for n in nodes]
-        self.score += tree_values(nodes, f.bins)
+        self.score += tree_values(nodes, self.bins)
         self.round += 1
         return nodes
 
     def held_out_auc(self) -> float:
-        return auc(self.frame.label[self.held], self.score[self.held])
+        return auc(self.held_positive, self.score, self.held)
 
 
 def cross_validate(frame: BinnedFrame, params: Mapping, folds: int, rounds: int, patience: int, seed: int) -> np.ndarray:
@@ -248,7 +279,7 @@ def fit_folds(spark, frame: BinnedFrame, params: Mapping, *, folds: int = 5, rou
         for b in batches:
             for fold in b.column("fold").to_pylist():
                 model = _Booster(shared.value, fold, params, seed)
-                rows = [(fold, 0, 0, -1, 0, -1, -1, model.start, 0.0, len(model.train))]
+                rows = [(fold, 0, 0, -1, 0, -1, -1, model.start, 0.0, model.rows)]
                 for r in range(1, rounds + 1):
                     rows += [(fold, r, k, *n) for k, n in enumerate(model.step())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -273,11 +304,11 @@ def predict_folds(df: DataFrame, nodes: DataFrame, frame: BinnedFrame, id_col: s
         trees, edges = shared.value
         for b in batches:
             x = [b.column(k + 1).to_numpy(zero_copy_only=False).astype(float) for k in range(len(edges))]
-            bins = np.stack([bin_values(v, e) for v, e in zip(x, edges, strict=True)], 1)
-            total = np.zeros(b.num_rows)
+            cells, at = distinct_rows(np.stack([bin_values(v, e) for v, e in zip(x, edges, strict=True)], 1))
+            total = np.zeros(len(cells))
             for model in trees.values():
-                total += 1 / (1 + np.exp(-sum(tree_values(t, bins) for t in model.values())))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total / max(1, len(trees)))], ["_id", name])
+                total += 1 / (1 + np.exp(-sum(tree_values(t, cells) for t in model.values())))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array((total / max(1, len(trees)))[at])], ["_id", name])
 
     scored = df.select(F.col(id_col).alias("_id"), *cols).mapInArrow(run, f"_id {kind}, {name} double")
     return df.join(scored, df[id_col] == F.col("_id")).drop("_id")
