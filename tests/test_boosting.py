@@ -143,6 +143,37 @@ def test_sampled_rows_are_bounded(spark, data):
     assert frame.bins.shape == (50, 1) and len(frame.edges[0]) > 40
 
 
+def test_every_row_of_a_large_frame_counts(spark):
+    df = spark.range(120_000).selectExpr("id", "if(id % 7 = 0, null, cast(id % 13 as double)) a", "double(id % 3) b", "int(id % 5 = 0) label")
+    frame = B.binned_frame(df, ["a", "b"], folds=3)
+    assert frame.count.sum() == 120_000 and (frame.count * frame.label).sum() == 24_000 and len(frame.bins) == 14 * 3 * 2 * 3
+    assert frame.count[frame.bins[:, 0] == 0].sum() == 17_143
+    each = [frame.count[(frame.fold == k) & (frame.label == y)].sum() for k in range(3) for y in (0, 1)]
+    assert each == [32_000, 8_000] * 3
+    assert B._Booster(frame, 0, {}, 3).rows == 80_000
+    nodes = B.fit_folds(spark, frame, B.sample_space(1, 3)[0], folds=3, rounds=1)
+    assert [r.rows for r in nodes.where("round = 0").collect()] == [80_000] * 3
+
+
+def test_counted_entries_give_the_models_of_the_rows(spark, data, monkeypatch):
+    features = ["a", "b", "c"]
+    rows = B.binned_frame(data, features, folds=3, bins=4)
+    monkeypatch.setattr(B, "CELLS_ABOVE", 100)
+    counted = B.binned_frame(data, features, folds=3, bins=4)
+    assert rows.count is None and counted.count.sum() == 420 and len(counted.bins) < 200
+    assert [e.tolist() for e in rows.edges] == [e.tolist() for e in counted.edges]
+    many = lambda f, n: sorted(zip(f.bins.tolist(), f.label, f.fold, strict=True)) if n is None else sorted(
+        x for x, k in zip(zip(f.bins.tolist(), f.label, f.fold, strict=True), n.tolist(), strict=True) for _ in range(k))
+    assert many(rows, None) == many(counted, counted.count)
+    # Rows as cells (they are more than CELLS_ABOVE now) and entries are the same sums.
+    params = {"num_leaves": 7, "learning_rate": 0.1, "feature_fraction": 0.7, "max_depth": 4}
+    whole = B.BinnedFrame(features, rows.edges, rows.bins, rows.label, rows.fold)
+    for fold in range(3):
+        one, other = B._Booster(whole, fold, params, 3), B._Booster(counted, fold, params, 3)
+        assert [one.step() for _ in range(8)] == [other.step() for _ in range(8)] and one.held_out_auc() == other.held_out_auc()
+    assert B.cross_validate(whole, params, 3, 20, 5, 1).tolist() == B.cross_validate(counted, params, 3, 20, 5, 1).tolist()
+
+
 def _repeated(n):
     """Rows of 24 cells at most, with a missing value among them."""
     r = np.random.default_rng(4)

@@ -1,12 +1,12 @@
 """Boosted trees: parameter search, staged held-out AUC, fold ensembles, importances.
 
-A fit works on a *binned frame*: quantile edges of every feature over all rows, and the
-bin numbers of at most ``max_rows`` rows (a documented bound on what is fitted on; the
-rows with the smallest seeded hash).  Trials are rows of a DataFrame, one task each; the
-binned frame is broadcast, a byte per row and feature.  Rows whose bins agree in every feature
-are one cell: they stay together in every tree, so trees grow on the cells with their numbers of
-rows and positives, and a round costs as much as there are cells.  Small frames (``CELLS_ABOVE``)
-add up row by row, as sums by cell may round otherwise and so decide between equal gains.  Within a trial the folds
+A fit works on a *binned frame*: quantile edges of every feature and the bin numbers of all
+rows.  Trials are rows of a DataFrame, one task each; the binned frame is broadcast.  Rows whose bins
+agree in every feature are one cell: they stay together in every tree, so trees grow on the cells with
+their numbers of rows and positives, and a round costs as much as there are cells.  The executors bin and
+count: the driver gets one entry for every cell, label and fold, however many rows there are (few where
+features have few bins together; as many as rows where they are many and wide).  Small frames (``CELLS_ABOVE``)
+come and add up row by row, as sums by cell may round otherwise and so decide between equal gains.  Within a trial the folds
 grow their trees round by round together, the mean held-out AUC of every round decides when
 to stop, and each tree adds its leaf values to one running score per row, so that the AUC
 of every round comes from a single pass.  Scores, importances and curves are
@@ -40,18 +40,21 @@ SPACE = {"num_leaves": (2, 21, 1), "learning_rate": (0.005, 0.2, None), "feature
 
 @dataclass
 class BinnedFrame:
-    """Bins of the rows to fit on, their labels and folds, and the edges that define the bins."""
+    """Bins of the rows to fit on, their labels and folds, and the edges that define the bins.
+
+    With ``count``, entry i stands for count[i] rows with these bins, this label and this fold."""
 
     features: list[str]
     edges: list[np.ndarray]
     bins: np.ndarray
     label: np.ndarray
     fold: np.ndarray
+    count: np.ndarray | None = None
 
     @cached_property
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct rows of ``bins``, and the cell of every row."""
-        if len(self.bins) <= CELLS_ABOVE:
+        """The distinct rows of ``bins``, and the cell of every entry."""
+        if self.count is None and len(self.bins) <= CELLS_ABOVE:
             return self.bins, np.arange(len(self.bins))
         return distinct_rows(self.bins)
 
@@ -70,20 +73,45 @@ def bin_values(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def binned_frame(df: DataFrame, features: Sequence[str], label: str = "label", *, id_col: str = "id", folds: int = 5, seed: int = 42,
-                 bins: int = 64, max_rows: int = 100_000) -> BinnedFrame:
-    """Bin a training frame.  The driver gets ``bins`` edges a feature and ``max_rows`` rows at most."""
+                 bins: int = 64, max_rows: int | None = None) -> BinnedFrame:
+    """Bin a training frame, all of its rows unless the caller wants ``max_rows`` at most (those with the smallest
+    seeded hash).  The driver gets ``bins`` edges a feature and, above ``CELLS_ABOVE`` rows, an entry a cell, label and fold."""
     if not 2 <= bins <= 250:
         raise ValueError("bins must be 2 to 250")
     features = list(features)
     values = [F.col(c).cast("double").alias(c) for c in features]
     data = stratified_folds(df, id_col, label, folds, seed=seed).select(id_col, F.col(label).cast("int").alias("_y"), "fold", *values)
     edges = [np.unique([v for v in q if np.isfinite(v)]) for q in data.approxQuantile(features, [k / bins for k in range(1, bins)], 0.001)]
-    rows = data.orderBy(seeded_order_key(id_col, seed + 1), id_col).limit(max_rows).drop(id_col).toArrow()
+    if max_rows is None and df.count() > CELLS_ABOVE:
+        return _counted_frame(data.drop(id_col), features, edges)
+    rows = data.orderBy(seeded_order_key(id_col, seed + 1), id_col)
+    rows = (rows if max_rows is None else rows.limit(max_rows)).drop(id_col).toArrow()
     x = [rows.column(c).to_numpy().astype(float) for c in features]
     binned = np.stack([bin_values(v, e) for v, e in zip(x, edges, strict=True)], 1) if features else np.zeros((rows.num_rows, 0), np.uint8)
     return BinnedFrame(features, edges, binned, rows.column("_y").to_numpy().astype(float), rows.column("fold").to_numpy())
 
 
+def _counted_frame(data: DataFrame, features: list[str], edges: list[np.ndarray]) -> BinnedFrame:
+    """The entries of all rows of ``data`` (_y, fold and the features), binned and counted where they lie: a cell
+    is its bins as bytes."""
+    ship_package(data.sparkSession)
+    data = data.select("_y", "fold", *[F.col(c).alias(f"_x{k}") for k, c in enumerate(features)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [b.column(k + 2).to_numpy(zero_copy_only=False).astype(float) for k in range(len(edges))]
+            binned = np.stack([bin_values(v, e) for v, e in zip(x, edges, strict=True)], 1) if edges else np.zeros((b.num_rows, 0), np.uint8)
+            cells, at = distinct_rows(binned)
+            names = pa.array([c.tobytes() for c in cells], pa.binary()).take(pa.array(at))
+            part = pa.table([b.column(0), b.column(1), names], ["_y", "fold", "cell"]).group_by(["_y", "fold", "cell"], use_threads=False).aggregate([([], "count_all")])
+            yield from part.select(["_y", "fold", "cell", "count_all"]).rename_columns(["_y", "fold", "cell", "n"]).combine_chunks().to_batches()
+
+    counted = data.mapInArrow(run, "_y int, fold int, cell binary, n long").groupBy("cell", "fold", "_y").agg(F.sum("n").alias("n"))
+    rows = counted.orderBy("cell", "fold", "_y").toArrow()
+    binned = np.frombuffer(b"".join(rows.column("cell").to_pylist()), np.uint8).reshape(rows.num_rows, len(features))
+    return BinnedFrame(features, edges, binned, rows.column("_y").to_numpy().astype(float), rows.column("fold").to_numpy(), rows.column("n").to_numpy())
+
+
 def sample_space(trials: int, seed: int, space: Mapping[str, tuple] = SPACE) -> list[dict]:
     """Seeded draws: uniform, or uniform and rounded to the step."""
     rng = np.random.default_rng(seed)
@@ -188,7 +216,8 @@ class _Booster:
         self.bins, at = frame.cells
 
         def per_cell(rows):
-            return np.bincount(at[rows], minlength=len(self.bins)).astype(float), np.bincount(at[rows], frame.label[rows], len(self.bins))
+            n = np.ones(int(rows.sum())) if frame.count is None else frame.count[rows]
+            return np.bincount(at[rows], n, len(self.bins)), np.bincount(at[rows], n * frame.label[rows], len(self.bins))
 
         count, positive = per_cell(frame.fold != fold)
         self.rows = int(count.sum())
