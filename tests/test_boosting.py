@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wardline.operators import boosting as B
@@ -174,6 +175,14 @@ def test_counted_entries_give_the_models_of_the_rows(spark, data, monkeypatch):
     assert B.cross_validate(whole, params, 3, 20, 5, 1).tolist() == B.cross_validate(counted, params, 3, 20, 5, 1).tolist()
 
 
+def test_search_uses_rows_behind_the_first_hundred_thousand(spark):
+    """Only in rows behind the first 100,000 of the seeded order does ``a`` tell the label."""
+    place = F.row_number().over(Window.orderBy(B.seeded_order_key("id", 43), "id"))
+    df = spark.range(130_000).withColumn("at", place).selectExpr("id", "double(id % 2) a", "int(if(at <= 100000, id % 3 = 0, id % 2 = 0)) label")
+    got = B.search(spark, B.binned_frame(df, ["a"], folds=3), [B.sample_space(1, 3)[0]], folds=3, rounds=2, patience=1).first()
+    assert got.score > 0.55
+
+
 def _repeated(n):
     """Rows of 24 cells at most, with a missing value among them."""
     r = np.random.default_rng(4)
