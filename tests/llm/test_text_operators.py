@@ -470,6 +470,41 @@ def test_vectors_equal_brute_force(spark):
     assert metric_join.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("kind", "width"), [("float", 3), ("double", 3), ("float", 40)])
+def test_vectors_are_stored_once_and_meet_where_they_lie(spark, monkeypatch, kind, width):
+    rng = np.random.default_rng(width)
+    x = (rng.normal(size=(40, width))[rng.integers(0, 40, 500)] + rng.normal(size=(500, width)) * 0.25) * np.exp(rng.normal(size=(500, 1)))
+    x = np.vstack([x.astype(np.float32), x[:20].astype(np.float32) * np.float32(4), np.eye(width)[:2]]).astype(float)
+    df = spark.createDataFrame([(1000 - k, v) for k, v in enumerate(x.tolist())], f"vec_id long, embedding array<{kind}>")
+    staged, stage = {}, metric_join.stage_table
+
+    def told(df, name):
+        staged[name] = df._jdf.queryExecution().executedPlan().toString(), stage(df, name)
+        return staged[name][1]
+
+    monkeypatch.setattr(metric_join, "stage_table", told)
+    got = {r.vec_id: r for r in metric_join.near_vectors(df, block=16).collect()}
+    # Comparing deals and copies no vectors, and each is in one block.
+    assert "Exchange" not in staged["found"][0] and "CartesianProduct" in staged["found"][0]
+    blocks = staged["blocks"][1].collect()
+    members = np.concatenate([np.frombuffer(b.uid, np.int64) for b in blocks])
+    assert len(set(members.tolist())) == len(members) == staged["class"][1].count() == 502
+    assert all(len(b.raw) == len(b.uid) // 8 * width * (4 if kind == "float" else 8) for b in blocks) and len({b.block for b in blocks}) == len(blocks) > 30
+    # Every two blocks meet once at most, each one with itself; in three dimensions most are too far apart.
+    met = [(r.a_block, r.b_block) for r in metric_join._pairs(staged["blocks"][1], np.sqrt(0.2)).select("a_block", "b_block").collect()]
+    pairs = {tuple(sorted(m)) for m in met}
+    assert len(pairs) == len(met) and {(b.block, b.block) for b in blocks} <= pairs
+    assert len(pairs) < len(blocks) ** 2 / 4 or width > 3
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    assert near.sum() > 2000
+    low = 1000 - np.arange(len(x))
+    for _ in x:
+        low = np.array([low[n].min() for n in near])
+    assert [got[1000 - k].n_links for k in range(len(x))] == (near.sum(1) - 1).tolist()
+    assert [got[1000 - k].component_id for k in range(len(x))] == low.tolist()
+
+
 # -- 10 fingerprints
 def test_neighbours_and_likeness(spark, odd, none):
     rows = [(k, "The cat of the house is on " + prose(k, 40 + k)) for k in range(40)] + [(100, ""), (101, None), (102, "!!"), (103, "zebra")]
